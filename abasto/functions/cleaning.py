@@ -40,8 +40,7 @@ def filled(value: Column | str) -> Column:
 
 
 def is_blank(value: Column | str) -> Column:
-    value = _column(value)
-    return value.isNull() | (F.trim(value) == "")
+    return F.coalesce(F.trim(_column(value)), F.lit("")) == ""
 
 
 def has_key(value: Column | str) -> Column:
@@ -65,13 +64,15 @@ def whole_number(value: Column | str, mode: str = "strict", target: str = "int")
 
 
 def calendar_day(value: Column | str, mode: str = "strict") -> Column:
-    """``yymmdd`` or ``yyyy-mm-dd``; any other text is NULL. Lenient mode trims first."""
+    """``yymmdd`` or ``yyyy-mm-dd``; any other text is NULL. Lenient mode trims first.
+
+    The short layout is spelt out in the long one, so that one plain cast reads both.
+    """
     lenient = _check(mode)
     value = F.trim(_column(value)) if lenient else _column(value)
-    parse = F.try_to_date if lenient else F.to_date
-    century = F.when(F.substring(value, 1, 2) >= CENTURY_PIVOT, "19").otherwise("20")
-    return (
-        F.when(value.rlike(SIX_DIGITS), parse(F.concat(century, value), "yyyyMMdd"))
-        .when(value.rlike(ISO_DAY), parse(value, "yyyy-MM-dd"))
-        .otherwise(F.lit(None).cast("date"))
+    year, month, day = (F.substring(value, start, 2) for start in (1, 3, 5))
+    century = F.when(year >= CENTURY_PIVOT, "19").otherwise("20")
+    text = F.when(value.rlike(SIX_DIGITS), F.concat(century, year, F.lit("-"), month, F.lit("-"), day)).when(
+        value.rlike(ISO_DAY), value
     )
+    return text.try_cast("date") if lenient else text.cast("date")

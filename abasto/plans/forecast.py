@@ -14,7 +14,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+
+from abasto.sources.tables import stage
 
 # Months ahead, lags, and the widths of the bands (95 % and 80 % of a normal distribution).
 HORIZON = 6
@@ -235,8 +236,9 @@ def autoregressive(
     One learner is fitted over the windows of all series (the established ones are small neural networks fitted to
     one series, so the numbers differ). Series that cannot be fitted get the flat forecast. Not floored at zero.
     """
+    history = stage(history, "series")  # read several times below: by the fit, the bands and the last windows
     flat = flat_fallback(history, series)
-    lagged = _lagged(history, series, LAGS).persist(StorageLevel.MEMORY_AND_DISK)
+    lagged = _lagged(history, series, LAGS)
     training = lagged.filter(F.size("lags") == LAGS).withColumn("features", array_to_vector("lags"))
     by_series = list(series)
     columns = [*by_series, "ds", "yhat", "yhat_lower", "yhat_upper", "method"]

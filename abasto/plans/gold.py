@@ -74,9 +74,14 @@ def with_latest_stock(demand: DataFrame, stock: DataFrame) -> DataFrame:
     return demand.join(closing, on, "left").drop("_item", "_mes")
 
 
-def monthly_demand(receipts: DataFrame, groups: DataFrame, quantity: str = "solcan") -> DataFrame:
-    """Monthly item demand, from silver receipts: their request and item codes are still the recorded ones."""
-    rows = with_latest_stock(demand(receipts, groups, quantity), latest_stock(receipts))
+def monthly_demand(
+    receipts: DataFrame, groups: DataFrame, quantity: str = "solcan", movements: DataFrame | None = None
+) -> DataFrame:
+    """Monthly item demand, from silver receipts: their request and item codes are still the recorded ones.
+
+    ``movements`` are the receipts as read for the closing stock, where a narrower reading of them is at hand.
+    """
+    rows = with_latest_stock(demand(receipts, groups, quantity), latest_stock(movements or receipts))
     return rows.select(
         "artcitem",
         "artgrinv",

@@ -29,7 +29,7 @@ TYPE_NAMES = {
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, position: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, position: bool = False
 ) -> DataFrame:
     """A parquet table, with the position of every row when asked for."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -39,6 +39,17 @@ def read_parquet(
     return table
 
 
+def spread_small(df: DataFrame, at_least: int = 1 << 20, below: int = 128 << 20) -> DataFrame:
+    """Use all cores for a file table that is smaller than one split and may be a single row group, hence one task.
+
+    The size is Spark's own estimate from the file listing. A table of one split or more is returned as it is.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if at_least <= size < below:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df
+
+
 def read_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
     """Run SQL text; named frames are referred to as ``{name}``."""
     return spark.sql(text, **frames)

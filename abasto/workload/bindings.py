@@ -10,9 +10,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abasto.plans import gold
 from abasto.schemas import BRONZE, columns_of
 from abasto.session import configure
-from abasto.sources.tables import POSITION, read_parquet
+from abasto.sources.tables import POSITION, read_parquet, spread_small
+
+# The columns of the benchmark tables. Given at reading, so no footer is read to find them.
+RAW = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def money(value: Column) -> Column:
@@ -25,8 +42,8 @@ def _text(value: Column) -> Column:
 
 def _text_day(day: Column, selector: Column) -> Column:
     """A day in one of two layouts, or a text that is no day."""
-    kind = F.pmod(selector, F.lit(3))
-    return F.when(kind == 0, F.date_format(day, "yyMMdd")).when(kind == 1, F.date_format(day, "yyyy-MM-dd")).otherwise("n/a")
+    kind, iso = F.pmod(selector, F.lit(3)), _text(day)
+    return F.when(kind == 0, F.replace(F.substring(iso, 3, 8), F.lit("-"), F.lit(""))).when(kind == 1, iso).otherwise("n/a")
 
 
 class Tables:
@@ -37,7 +54,7 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str, position: bool = False) -> DataFrame:
-        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", position=position)
+        return spread_small(read_parquet(self.spark, f"{self.folder}/{name}.parquet", RAW[name], position))
 
     # -- silver-shaped, typed --------------------------------------------------------------------------------------
 
@@ -308,3 +325,10 @@ class Tables:
             "recepcion": self.receipts(),
             "solicitudes": self.requests(catalogue=True),
         }
+
+
+def monthly_demand(t: Tables) -> DataFrame:
+    """Monthly demand of the tables; the closing stock does not read the item texts."""
+    return gold.monthly_demand(
+        t.receipts(request_date=False), t.groups(), movements=t.receipts(request_date=False, catalogue=False)
+    )
