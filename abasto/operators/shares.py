@@ -4,26 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abasto.operators.ranking import top_per_group
 
 
-def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:
-    """Measure over its total, as a double; NULL measures add nothing. The total is a one-row subquery."""
-    total = df.agg(F.sum(measure)).scalar()
+def share_of_total(df: DataFrame, measure: str, name: str, total: Column | None = None) -> DataFrame:
+    """Measure over its total, as a double; NULL measures add nothing.
+
+    The total is a one-row subquery. Where ``df`` is itself grouped, pass the total of the rows it was grouped from:
+    they need no second grouping for it.
+    """
+    total = df.agg(F.sum(measure)).scalar() if total is None else total
     return df.withColumn(name, F.try_divide(F.col(measure).cast("double"), total.cast("double")))
 
 
 def spread_over_shares(
-    forecast: DataFrame, shares: DataFrame, share: str, key: str, columns: Sequence[str] = (), rows: int = 15
+    forecast: DataFrame,
+    shares: DataFrame,
+    share: str,
+    key: str,
+    columns: Sequence[str] = (),
+    rows: int = 15,
+    floor: float | None = None,
 ) -> DataFrame:
     """Every month's total times every share, and of each month the largest ``rows``.
 
     The forecast of one series (a handful of months) reaches the shares as one array value. Per month only the best
-    rows of each task are shuffled. A negative total puts the smallest shares first.
+    rows of each task are shuffled. A negative total puts the smallest shares first, unless ``floor`` lifts it.
     """
+    if floor is not None:
+        forecast = forecast.withColumn("yhat", F.greatest("yhat", F.lit(float(floor))))
     months = forecast.agg(F.array_sort(F.collect_list(F.struct("ds", "yhat")))).scalar()
     estimated = (
         shares.withColumn("_month", F.explode(months))

@@ -129,13 +129,10 @@ def trailing_year(receipts: DataFrame) -> DataFrame:
 
 def product_share(receipts: DataFrame, items: DataFrame, groups: DataFrame) -> DataFrame:
     """Each item's share of the stock recorded in the trailing year. Names join after the reduction."""
-    per_item = (
-        trailing_year(receipts)
-        .filter(F.col("artstock").isNotNull())
-        .groupBy("artcitem")
-        .agg(F.sum("artstock").alias("stock_total"))
-    )
-    shared = share_of_total(per_item, "stock_total", "participacion")
+    recorded = trailing_year(receipts).filter(F.col("artstock").isNotNull())
+    per_item = recorded.groupBy("artcitem").agg(F.sum("artstock").alias("stock_total"))
+    total = recorded.agg(F.sum("artstock")).scalar()
+    shared = share_of_total(per_item, "stock_total", "participacion", total)
     described = lookup(shared, items, "artcitem", "artcitem", ["artdes", "artgrinv"])
     named = lookup(described, groups.withColumnRenamed("nombre", "grupo"), "artgrinv", "artgrinv", ["grupo"])
     return named.select("artcitem", "artdes", "grupo", "stock_total", "participacion")

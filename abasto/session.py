@@ -44,13 +44,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_folder(spark: SparkSession) -> str:
     """The folder for staged tables: the one the cluster names, or a temporary one on a single machine."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="abasto-")
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix="abasto-")
         context.setCheckpointDir(folder)
-        folder = context.getCheckpointDir()
-    return folder
+    return folder.rstrip("/")

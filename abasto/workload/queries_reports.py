@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from abasto.operators import keys, shares
-from abasto.plans import forecast, gold, normalized, quality, reconcile, reports
+from abasto.operators import keys
+from abasto.plans import forecast, gold, normalized, outlook, quality, reconcile, reports
 from abasto.plans import silver as silver_plans
 from abasto.schemas import BRONZE
 from abasto.sources.tables import union_all
@@ -613,26 +613,36 @@ def fc_future_months(t):
     return forecast.future_months(reports.stock_monthly(t.receipts(request_date=False), ("artgrinv",)), ["artgrinv"])
 
 
+def _seasonal_sql(source: str, series: str = "", prefix: str = "") -> str:
+    """Line, mean residual of each calendar month (with two years of history), band, observed and coming months."""
+    by = f"{series}, " if series else ""
+    over = f"PARTITION BY {series}" if series else ""
+    joined = f"USING ({series})" if series else "ON true"
+    same = f"p.{series} = q.{series} AND" if series else ""
+    return f"""
+    WITH {prefix}numbered AS (SELECT *, CAST(row_number() OVER ({over} ORDER BY ds) - 1 AS DOUBLE) AS t
+                      FROM {source} WHERE y IS NOT NULL),
+    {prefix}fit AS (SELECT {by}count(*) AS n, max(ds) AS last_ds, max(ds) - min(ds) >= 730 AS yearly,
+                   coalesce(regr_slope(y, t), 0) AS slope, coalesce(regr_intercept(y, t), max(y)) AS intercept
+            FROM {prefix}numbered {f"GROUP BY {series}" if series else ""}),
+    {prefix}pattern AS (SELECT {by}month(ds) AS m, avg(y - (intercept + slope * t)) AS p
+                FROM {prefix}numbered JOIN {prefix}fit {joined} WHERE yearly GROUP BY {by}month(ds)),
+    {prefix}band AS (SELECT {f"q.{series}, " if series else ""}1.2816 * stddev_pop(y - (intercept + slope * t) - coalesce(p, 0)) AS band
+             FROM {prefix}numbered q JOIN {prefix}fit {joined} LEFT JOIN {prefix}pattern p ON {same} m = month(ds)
+             {f"GROUP BY q.{series}" if series else ""}),
+    {prefix}points AS (SELECT {by}ds, t FROM {prefix}numbered
+               UNION ALL SELECT {by}CAST(last_ds + to_months(CAST(step AS INTEGER)) AS DATE), n - 1 + step
+               FROM {prefix}fit CROSS JOIN range(1, 7) r(step)),
+    {prefix}curve AS (SELECT {f"q.{series}, " if series else ""}q.ds, intercept + slope * q.t + coalesce(p, 0) AS yhat, band, q.ds > last_ds AS is_future
+              FROM {prefix}points q JOIN {prefix}fit {joined} JOIN {prefix}band {joined}
+              LEFT JOIN {prefix}pattern p ON {same} m = month(q.ds))"""
+
+
 @query(
     "fc_seasonal_trend",
-    """WITH numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY artgrinv ORDER BY ds) - 1 AS DOUBLE) AS t
-                      FROM s_group WHERE y IS NOT NULL),
-    fit AS (SELECT artgrinv, count(*) AS n, max(ds) AS last_ds, max(ds) - min(ds) >= 730 AS yearly,
-                   coalesce(regr_slope(y, t), 0) AS slope, coalesce(regr_intercept(y, t), max(y)) AS intercept
-            FROM numbered GROUP BY 1),
-    pattern AS (SELECT artgrinv, month(ds) AS m, avg(y - (intercept + slope * t)) AS p
-                FROM numbered JOIN fit USING (artgrinv) WHERE yearly GROUP BY 1, 2),
-    band AS (SELECT artgrinv, 1.2816 * stddev_pop(y - (intercept + slope * t) - coalesce(p, 0)) AS band
-             FROM numbered JOIN fit USING (artgrinv) LEFT JOIN pattern ON pattern.artgrinv = numbered.artgrinv AND m = month(ds)
-             GROUP BY 1),
-    points AS (SELECT artgrinv, ds, t FROM numbered
-               UNION ALL SELECT artgrinv, CAST(last_ds + to_months(CAST(step AS INTEGER)) AS DATE), n - 1 + step
-               FROM fit CROSS JOIN range(1, 7) r(step))
-    SELECT q.artgrinv, q.ds, round(intercept + slope * q.t + coalesce(p, 0), 2) AS yhat,
-           round(intercept + slope * q.t + coalesce(p, 0) - band, 2) AS yhat_lower,
-           round(intercept + slope * q.t + coalesce(p, 0) + band, 2) AS yhat_upper, q.ds > last_ds AS is_future
-    FROM points q JOIN fit USING (artgrinv) JOIN band USING (artgrinv)
-    LEFT JOIN pattern ON pattern.artgrinv = q.artgrinv AND m = month(q.ds)""",
+    _seasonal_sql("s_group", "artgrinv")
+    + """ SELECT artgrinv, ds, round(yhat, 2) AS yhat, round(yhat - band, 2) AS yhat_lower,
+          round(yhat + band, 2) AS yhat_upper, is_future FROM curve""",
     yhat=2,
     yhat_lower=2,
     yhat_upper=2,
@@ -693,15 +703,22 @@ def fc_price_forest(t):
 @query(
     "fc_allocate_top15",
     _line_sql("s_stock")
-    + """ SELECT artcitem, artdes, grupo, ds AS mes,
-                 round(participacion * yhat, 4) AS cantidad_estimada
-          FROM (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY participacion * yhat DESC NULLS LAST, artcitem NULLS LAST) AS rn
-                FROM ahead CROSS JOIN r_share) WHERE rn <= 15""",
+    + ","
+    + _seasonal_sql("s_stock", prefix="y_").removeprefix("\n    WITH")
+    + """,
+    coming AS (SELECT 'linear' AS model, ds, yhat FROM ahead
+               UNION ALL SELECT 'seasonal', ds, yhat FROM y_curve WHERE is_future)
+    SELECT model, artcitem, artdes, grupo, ds AS mes, round(participacion * yhat, 4) AS cantidad_estimada
+    FROM (SELECT *, row_number() OVER (PARTITION BY model, ds ORDER BY participacion * yhat DESC NULLS LAST, artcitem NULLS LAST) AS rn
+          FROM coming CROSS JOIN r_share) WHERE rn <= 15""",
     cantidad_estimada=4,
 )
 def fc_allocate_top15(t):
     items = normalized.items(t.items(), t.groups())
     receipts = normalized.receipts_without_id(t.receipts(False, False), items=items)
-    share = reports.product_share(receipts, items, t.groups())
-    ahead = forecast.linear_trend(reports.stock_monthly(t.receipts(False, False)))
-    return shares.spread_over_shares(ahead, share, "participacion", "artcitem", ["artdes", "grupo"])
+    return union_all(
+        [
+            outlook.product_outlook(receipts, items, t.groups(), model).select(F.lit(model).alias("model"), "*")
+            for model in ("linear", "seasonal")
+        ]
+    )
