@@ -41,14 +41,17 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
 def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """``left_key NOT IN (SELECT right_key ...)`` with its NULL rule, as a distributed anti join.
 
-    One NULL on the right leaves no row; a NULL on the left passes only if the right side is empty.
+    One NULL on the right leaves no row; a NULL on the left passes only if the right side is empty. Right keys are
+    made distinct first, so that a frequent one is small. They are grouped along with their hash, which makes the join
+    exchange them by the key alone: with plain exchanges on both sides it can split a frequent key of the left side.
     """
     facts = right.agg(
         F.count("*").alias("_n"), F.count_if(F.col(right_key).isNull()).alias("_nulls")
     )
     empty = facts.select(F.col("_n") == 0).scalar()
     no_nulls = facts.select(F.col("_nulls") == 0).scalar()
-    keys = right.select(F.col(right_key).alias("_right_key")).filter(F.col("_right_key").isNotNull()).distinct()
+    keys = right.select(F.col(right_key).alias("_right_key")).filter(F.col("_right_key").isNotNull())
+    keys = keys.groupBy("_right_key", F.hash("_right_key").alias("_hash")).agg(F.count("*").alias("_copies"))
     kept = left.join(keys, F.col(left_key) == F.col("_right_key"), "left_anti")
     return kept.filter(empty | (no_nulls & F.col(left_key).isNotNull()))
 

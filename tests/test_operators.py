@@ -86,6 +86,22 @@ def test_hot_key_is_split_at_run_time(spark, settings, hot):
     assert len(collected) == 60000 and sum(row.k is not None for row in collected) == wanted
 
 
+def test_hot_key_of_an_anti_join_is_split(spark, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+    )
+    left = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 2000).alias("k"), F.col("id").alias("v")
+    )
+    kept = lookups.not_in(left, spark.range(60000).select((F.col("id") % 1500).alias("r")), "k", "r")
+    collected = kept.collect()
+    assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
+    assert len(collected) == sum(1 for i in range(60000) if i % 3 == 0 or i % 2000 >= 1500)
+
+
 def test_latest_row_is_chosen_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
     best = ranking.first_per_group(df, ["g"], [F.desc("v")])
