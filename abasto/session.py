@@ -42,12 +42,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for staged tables: the one the cluster names, or a temporary one on a single machine."""
+    """The folder for staged tables, in the folder the cluster names; a temporary one on a single machine without it.
+
+    Spark gives every application a folder of its own under ``spark.checkpoint.dir``; that one is used where it is, so
+    that staged tables go when the application's checkpoints are cleared.
+    """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
+    named, own = spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()
+    if named is not None and (own is None or named.rstrip("/") not in own):
+        return named.rstrip("/")
+    if own is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="abasto-")
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="abasto-"))
+        own = context.getCheckpointDir()
+    return own.rstrip("/")

@@ -35,8 +35,8 @@ def clean_text(t):
 
 @query(
     "clean_numeric",
-    f"SELECT acreruc, CAST({decimal_of('acreruc')} AS DOUBLE) AS code, CAST({decimal_of('acrecodi')} AS DOUBLE) AS owed "
-    "FROM (SELECT acreruc, ' S/ ' || CAST(s_acctbal AS DECIMAL(15,2)) || ' ' AS acrecodi FROM b_suppliers)",
+    f"SELECT acreruc, CAST({decimal_of('acreruc')} AS DOUBLE) AS code, CAST({decimal_of('balance')} AS DOUBLE) AS owed "
+    f"FROM (SELECT acreruc, ' S/ ' || CAST(s_acctbal AS {MONEY}) || ' ' AS balance FROM b_suppliers)",
 )
 def clean_numeric(t):
     balance = t.raw("supplier").select(
