@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from abasto.llm import op05_packing, op09_token_files
+from abasto.llm import op02_substrings, op05_packing, op08_jaccard, op09_token_files
 from abasto.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,11 +19,22 @@ def query(function):
     return function
 
 
+@query
+def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = op02_substrings.dedup(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "spans")
+
+
 @query
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return op05_packing.pack(table(spark, folder, "documents"))
 
 
+@query
+def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return op08_jaccard.join(table(spark, folder, "documents"))
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return op09_token_files.round_trip(table(spark, folder, "documents"))
