@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abasto.llm import op02_substrings, op05_packing, op08_jaccard, op09_token_files
+from abasto.llm import (
+    op01_decontaminate,
+    op02_substrings,
+    op04_sharding,
+    op05_packing,
+    op06_secrets,
+    op08_jaccard,
+    op09_token_files,
+)
+from abasto.llm import op10_quality as quality
 from abasto.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,17 +28,35 @@ def query(function):
     return function
 
 
+SHARDS = [f"shard-{number:03d}" for number in range(256)]
+
+
+@query
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return op01_decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = op02_substrings.dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "spans")
 
 
+@query
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return op04_sharding.place(table(spark, folder, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
 @query
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return op05_packing.pack(table(spark, folder, "documents"))
 
 
+@query
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return op06_secrets.scan(table(spark, folder, "documents"))
+
+
 @query
 def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return op08_jaccard.join(table(spark, folder, "documents"))
@@ -38,3 +65,9 @@ def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return op09_token_files.round_trip(table(spark, folder, "documents"))
+
+
+@query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
