@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from abasto.llm import (
     op01_decontaminate,
     op02_substrings,
+    op03_html,
     op04_sharding,
     op05_packing,
     op06_secrets,
+    op07_covertree,
     op08_jaccard,
     op09_token_files,
 )
@@ -42,6 +44,11 @@ def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "spans")
 
 
+@query
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    return op03_html.extract(table(spark, folder, "pages"))
+
+
 @query
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return op04_sharding.place(table(spark, folder, "documents").select("doc_id"), "doc_id", SHARDS)
@@ -57,6 +64,11 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return op06_secrets.scan(table(spark, folder, "documents"))
 
 
+@query
+def op7_covertree(spark: SparkSession, folder: str) -> DataFrame:
+    return op07_covertree.join(table(spark, folder, "embeddings"))
+
+
 @query
 def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return op08_jaccard.join(table(spark, folder, "documents"))
