@@ -20,6 +20,20 @@ def primary_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.filter((F.col("n_rows") > 1) | any_null)
 
 
+def violation_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
+    """One row: ``_key``, rows whose key is NULL in part or not their own; ``_null``, rows with a NULL in ``columns``."""
+    any_null, missing = F.lit(False), F.lit(False)
+    for key in keys:
+        any_null = any_null | F.col(key).isNull()
+    for name in columns:
+        missing = missing | F.col(name).isNull()
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.count_if(missing).alias("_m"))
+    return counted.agg(
+        F.coalesce(F.sum(F.when((F.col("_n") > 1) | any_null, F.col("_n"))), F.lit(0)).alias("_key"),
+        F.coalesce(F.sum("_m"), F.lit(0)).alias("_null"),
+    )
+
+
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with a NULL in a column that may not have one, and the names of those columns."""
     names = F.concat_ws(",", *(F.when(F.col(name).isNull(), name) for name in columns))

@@ -20,9 +20,19 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns
     return fact.join(side, F.col(fact_key) == F.col("_dim_key"), how).drop("_dim_key")
 
 
+def distinct_keys(dim: DataFrame, key: str, name: str) -> DataFrame:
+    """The keys of a table, each once, without NULL, as column ``name``.
+
+    They are grouped along with their hash, which makes a join exchange them by the key alone: with plain exchanges on
+    both sides it can split a frequent key of the other side.
+    """
+    keys = dim.select(F.col(key).alias(name)).filter(F.col(name).isNotNull())
+    return keys.groupBy(name, F.hash(name).alias("_hash")).agg(F.count("*").alias("_copies")).select(name)
+
+
 def known_or_null(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
-    """Keep every fact row; a key the dimension does not have becomes NULL. The dimension key is unique."""
-    side = dim.select(F.col(dim_key).alias("_dim_key"))
+    """Keep every fact row once; a key the dimension does not have becomes NULL."""
+    side = distinct_keys(dim, dim_key, "_dim_key")
     joined = fact.join(side, F.col(fact_key) == F.col("_dim_key"), "left")
     return joined.withColumn(fact_key, F.col("_dim_key")).drop("_dim_key")
 
@@ -41,19 +51,17 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
 def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """``left_key NOT IN (SELECT right_key ...)`` with its NULL rule, as a distributed anti join.
 
-    One NULL on the right leaves no row; a NULL on the left passes only if the right side is empty. Right keys are
-    made distinct first, so that a frequent one is small. They are grouped along with their hash, which makes the join
-    exchange them by the key alone: with plain exchanges on both sides it can split a frequent key of the left side.
+    One NULL on the right leaves no row, and then no row of the left is joined; a NULL on the left passes only if the
+    right side is empty. Right keys are made distinct first, so that a frequent one is small.
     """
     facts = right.agg(
         F.count("*").alias("_n"), F.count_if(F.col(right_key).isNull()).alias("_nulls")
     )
     empty = facts.select(F.col("_n") == 0).scalar()
     no_nulls = facts.select(F.col("_nulls") == 0).scalar()
-    keys = right.select(F.col(right_key).alias("_right_key")).filter(F.col("_right_key").isNotNull())
-    keys = keys.groupBy("_right_key", F.hash("_right_key").alias("_hash")).agg(F.count("*").alias("_copies"))
-    kept = left.join(keys, F.col(left_key) == F.col("_right_key"), "left_anti")
-    return kept.filter(empty | (no_nulls & F.col(left_key).isNotNull()))
+    possible = left.filter(empty | (no_nulls & F.col(left_key).isNotNull()))
+    keys = distinct_keys(right, right_key, "_right_key")
+    return possible.join(keys, F.col(left_key) == F.col("_right_key"), "left_anti")
 
 
 def attach_to_few(few: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

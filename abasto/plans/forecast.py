@@ -2,7 +2,7 @@
 
 A series is ``(series columns..., ds, y)``: at most one row per month, months without data are missing rows, and the
 series columns may be none. Frames here are already reduced to months, so a partition of one series is as long as its
-calendar. Months with a NULL value are left out.
+calendar. Months with a NULL value are left out of a fit, but a forecast begins after the last month of the series.
 """
 
 from __future__ import annotations
@@ -47,9 +47,10 @@ def fill_missing_months(history: DataFrame, series: Sequence[str] = ()) -> DataF
 
 
 def _numbered(history: DataFrame, series: Sequence[str]) -> DataFrame:
-    """Position of every month in its series, counting from zero over the months that are there."""
+    """Position of every month with a value in its series, from zero, and the last month with or without one."""
     window = _partition(series).orderBy("ds")
-    return history.filter(F.col("y").isNotNull()).withColumn("_t", (F.row_number().over(window) - 1).cast("double"))
+    ended = history.withColumn("_end", F.max("ds").over(_partition(series)))
+    return ended.filter(F.col("y").isNotNull()).withColumn("_t", (F.row_number().over(window) - 1).cast("double"))
 
 
 def _trend(history: DataFrame, series: Sequence[str]) -> DataFrame:
@@ -81,7 +82,7 @@ def linear_trend(
         .groupBy(*series)
         .agg(
             F.count("*").alias("_n"),
-            F.max("ds").alias("_last"),
+            F.max("_end").alias("_last"),
             F.first("_slope").alias("_slope"),
             F.first("_intercept").alias("_intercept"),
             (F.stddev_pop(F.col("y") - F.col("_line")) * BAND_95).alias("_band"),
@@ -131,7 +132,7 @@ def seasonal_trend(history: DataFrame, series: Sequence[str] = (), horizon: int
     # Of each series: the line, the band, and at most twelve pattern values.
     fit = fitted.groupBy(*series).agg(
         F.count("*").alias("_n"),
-        F.max("ds").alias("_last"),
+        F.max("_end").alias("_last"),
         F.first("_slope").alias("_slope"),
         F.first("_intercept").alias("_intercept"),
         (F.stddev_pop(F.col("y") - F.col("yhat")) * BAND_80).alias("_band"),
@@ -201,7 +202,8 @@ def _lagged(history: DataFrame, series: Sequence[str], lags: int) -> DataFrame:
     before = whole.orderBy("ds").rowsBetween(-lags, -1)
     low, high = F.min("y").over(whole), F.max("y").over(whole)
     return (
-        history.filter(F.col("y").isNotNull())
+        history.withColumn("_end", F.max("ds").over(whole))
+        .filter(F.col("y").isNotNull())
         .withColumn("_low", low)
         .withColumn("_range", high - low)
         .filter(F.col("_range") > 0)
@@ -216,12 +218,12 @@ def lag_features(history: DataFrame, series: Sequence[str] = (), lags: int = LAG
     return windows.select(*series, "ds", "lags", "target")
 
 
-def _regressor(learner: str):
+def _regressor(learner: str, rounds: int):
     columns = {"featuresCol": "features", "labelCol": "target", "predictionCol": "_predicted"}
     if learner == "linear":
         return LinearRegression(**columns, regParam=1e-6)
     if learner == "gbt":
-        return GBTRegressor(**columns, seed=42, maxIter=30)
+        return GBTRegressor(**columns, seed=42, maxIter=rounds)
     raise ValueError(f"learner is linear or gbt, not {learner!r}")
 
 
@@ -230,31 +232,35 @@ def autoregressive(
     series: Sequence[str] = (),
     horizon: int = HORIZON,
     learner: str = "linear",
+    rounds: int = 30,
 ) -> DataFrame:
     """Regression on the last twelve months, fed its own output for the months ahead, with a 95 % band.
 
     One learner is fitted over the windows of all series (the established ones are small neural networks fitted to
-    one series, so the numbers differ). Series that cannot be fitted get the flat forecast. Not floored at zero.
+    one series, so the numbers differ); ``rounds`` is the number of trees of the boosted learner. Series that cannot
+    be fitted get the flat forecast, one without any value zeros. Not floored at zero.
     """
     history = stage(history, "series")  # read several times below: by the fit, the bands and the last windows
+    ends = history.groupBy(*series).agg(F.max("ds").alias("_end"))
     flat = flat_fallback(history, series)
+    flat = flat.join(ends, list(series)) if series else flat.withColumn("_end", ends.scalar())
     lagged = _lagged(history, series, LAGS)
     training = lagged.filter(F.size("lags") == LAGS).withColumn("features", array_to_vector("lags"))
     by_series = list(series)
     columns = [*by_series, "ds", "yhat", "yhat_lower", "yhat_upper", "method"]
 
-    constant = flat.filter((F.col("method") != "model") & F.col("last_ds").isNotNull())
+    constant = flat.filter((F.col("method") != "model") & F.col("_end").isNotNull())
     steps = F.explode(F.sequence(F.lit(1), F.lit(horizon)))
     flat_rows = (
         constant.withColumn("_step", steps)
-        .withColumn("ds", F.expr("add_months(last_ds, _step)"))
+        .withColumn("ds", F.expr("add_months(_end, _step)"))
         .withColumns({"yhat": F.col("base"), "yhat_lower": F.col("base"), "yhat_upper": F.col("base")})
         .select(*columns)
     )
     if training.isEmpty():
         return flat_rows
 
-    model = _regressor(learner).fit(training)
+    model = _regressor(learner, rounds).fit(training)
     residual = (F.col("target") - F.col("_predicted")) * F.col("_range")
     bands = model.transform(training).groupBy(*by_series).agg((F.stddev_pop(residual) * BAND_95).alias("_band"))
     # The last twelve scaled values of each series, oldest first.
@@ -263,7 +269,7 @@ def autoregressive(
         .filter(F.col("_rank") == 1)
         .select(
             *by_series,
-            F.col("ds").alias("_last"),
+            F.col("_end").alias("_last"),
             "_low",
             "_range",
             F.slice(F.concat("lags", F.array("target")), -LAGS, LAGS).alias("_window"),
@@ -295,15 +301,24 @@ def autoregressive(
     return fitted_rows.unionByName(flat_rows)
 
 
-def price_forest(training: DataFrame, quantity: float = 100.0, trees: int = 100, seed: int = 42) -> DataFrame:
-    """Price expected for a quantity, from a random forest on the priced requests.
+def price_forest(
+    training: DataFrame, quantity: float = 100.0, trees: int = 100, seed: int = 42, depth: int = 30, bins: int = 1024
+) -> DataFrame:
+    """Price expected for a quantity, from a random forest on the priced requests, with a fixed seed.
 
-    The trees have a depth limit, which the established unlimited ones lack, and a fixed seed.
+    The established trees have no limit; ``depth`` is by default the deepest that the library grows. ``bins`` bounds the
+    quantities between which a tree can split: with fewer different ones than that, every split is possible.
     """
     numbers = training.select(F.col("solcan").cast("double").alias("solcan"), F.col("solpre").cast("double").alias("solpre"))
     assembler = VectorAssembler(inputCols=["solcan"], outputCol="features", handleInvalid="skip")
     forest = RandomForestRegressor(
-        featuresCol="features", labelCol="solpre", predictionCol="precio_estimado", numTrees=trees, maxDepth=8, seed=seed
+        featuresCol="features",
+        labelCol="solpre",
+        predictionCol="precio_estimado",
+        numTrees=trees,
+        maxDepth=depth,
+        maxBins=bins,
+        seed=seed,
     )
     model = forest.fit(assembler.transform(numbers))
     asked = numbers.sparkSession.range(1).select(F.lit(quantity).alias("solcan"))

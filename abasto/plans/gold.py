@@ -17,25 +17,29 @@ def supplier_metrics(receipts: DataFrame, suppliers: DataFrame, quantity: str =
     """Per known supplier: receipts, mean and sample deviation of the lead time in days, and quantity.
 
     Receipts are reduced to one row per supplier code before the (unique) supplier keys are joined. The quantity is
-    the requested one by default, as in the established tables; pass ``nrdcac`` for the received one.
+    the requested one by default, as in the established tables; pass ``nrdcac`` for the received one. Mean and
+    deviation come from exact sums, so they do not depend on how the receipts are dealt to tasks.
     """
-    days = F.datediff("nrcfec", "solfec")
+    days = F.datediff("nrcfec", "solfec").cast("bigint")
     per_code = (
         receipts.filter(F.col("nrcfec").isNotNull() & F.col("solfec").isNotNull() & F.col("solpro").isNotNull())
         .groupBy("solpro")
         .agg(
             F.count("*").alias("total_atenciones"),
-            F.avg(days).alias("lead_time_promedio_dias"),
-            F.stddev_samp(days).alias("desviacion_lead_time"),
+            F.sum(days).cast("decimal(19,0)").alias("_days"),
+            F.sum(days * days).cast("decimal(19,0)").alias("_squares"),
             F.sum(quantity).alias("volumen_total_suministrado"),
         )
     )
     known = per_code.join(suppliers.select("acrecodi"), F.col("solpro") == F.col("acrecodi"), "inner")
+    n = F.col("total_atenciones").cast("decimal(18,0)")
+    spread = (n * F.col("_squares") - F.col("_days") * F.col("_days")).cast("double")
+    pairs = (n * (n - 1)).cast("double")
     return known.select(
         F.col("acrecodi").alias("proveedor_id"),
         "total_atenciones",
-        "lead_time_promedio_dias",
-        "desviacion_lead_time",
+        (F.col("_days").cast("double") / n.cast("double")).alias("lead_time_promedio_dias"),
+        F.when(n > 1, F.sqrt(spread / pairs)).alias("desviacion_lead_time"),
         "volumen_total_suministrado",
     )
 

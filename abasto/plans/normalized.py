@@ -1,6 +1,6 @@
 """Silver tables to dimensions and facts: catalogue columns leave the facts, unknown references become NULL.
 
-No row is lost on the way. Dimension keys are unique (``abasto.plans.quality`` checks it).
+No row is lost or multiplied on the way; ``abasto.plans.build`` checks the keys before it publishes a layer.
 """
 
 from __future__ import annotations
@@ -39,20 +39,29 @@ def requests(silver_requests: DataFrame, items: DataFrame, suppliers: DataFrame)
     return keep_declared(known, "normalizado", "fact_solicitudes")
 
 
-def receipt_order(columns: Sequence[str]):
-    """Total order of receipts; the row position, where it is there, tells copies apart."""
+def receipt_order(columns: Sequence[str], recorded: str = ""):
+    """Total order of receipts; the row position, where it is there, tells copies apart.
+
+    ``recorded`` is put before the names of the columns to order by, except date and receipt number.
+    """
     return [
         F.desc_nulls_first("nrcfec"),
         F.desc_nulls_first("nrcnum"),
-        *(F.asc_nulls_first(name) for name in RECEIPT_ORDER),
+        *(F.asc_nulls_first(f"{recorded}{name}") for name in RECEIPT_ORDER),
         *(F.asc(name) for name in POSITION if name in columns),
     ]
 
 
 def receipts(silver_receipts: DataFrame, requests: DataFrame, items: DataFrame) -> DataFrame:
-    """Receipts with an id of their own; unknown requests and items become NULL, the supplier code stays."""
-    numbered = surrogate_key(silver_receipts, "id_recepcion", receipt_order(silver_receipts.columns))
-    return keep_declared(receipts_without_id(numbered, requests, items), "normalizado", "fact_recepcion")
+    """Receipts with an id of their own; unknown requests and items become NULL, the supplier code stays.
+
+    References are resolved first, so the rows stay in the order of their ids, the latest date first: readers of recent
+    months can skip the rest. The order is that of the recorded codes.
+    """
+    recorded = silver_receipts.select("*", *(F.col(name).alias(f"_recorded_{name}") for name in RECEIPT_ORDER))
+    known = receipts_without_id(recorded, requests, items)
+    numbered = surrogate_key(known, "id_recepcion", receipt_order(known.columns, "_recorded_"))
+    return keep_declared(numbered, "normalizado", "fact_recepcion")
 
 
 def receipts_without_id(

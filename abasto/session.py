@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime settings. Months and timestamps are UTC, malformed values are errors, and joins on a hot key are split at
@@ -42,18 +40,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for staged tables, in the folder the cluster names; a temporary one on a single machine without it.
+    """The folder for staged tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Spark gives every application a folder of its own under ``spark.checkpoint.dir``; that one is used where it is, so
-    that staged tables go when the application's checkpoints are cleared.
+    Spark gives every application a folder of its own below it; where that one is set, it is used, so that staged tables
+    go when the application's checkpoints are cleared. Without either there is no folder all executors are known to reach.
     """
-    context = spark.sparkContext
-    named, own = spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()
-    if named is not None and (own is None or named.rstrip("/") not in own):
-        return named.rstrip("/")
-    if own is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="abasto-"))
-        own = context.getCheckpointDir()
-    return own.rstrip("/")
+    named, own = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()
+    if own is not None and (named is None or _parts(own)[: len(_parts(named))] == _parts(named)):
+        return own.rstrip("/")
+    if named is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    return named.rstrip("/")
+
+
+def _parts(path: str) -> list[str]:
+    """The folders of a path; a local path may come with or without its scheme."""
+    return [part for part in path.removeprefix("file:").split("/") if part]

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,17 +42,6 @@ def read_parquet(
     return table
 
 
-def spread_small(df: DataFrame, at_least: int = 1 << 20, below: int = 128 << 20) -> DataFrame:
-    """Use all cores for a file table that is smaller than one split and may be a single row group, hence one task.
-
-    The size is Spark's own estimate from the file listing. A table of one split or more is returned as it is.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if at_least <= size < below:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return df
-
-
 def read_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
     """Run SQL text; named frames are referred to as ``{name}``."""
     return spark.sql(text, **frames)
@@ -77,30 +69,128 @@ def read_jdbc(spark: SparkSession, properties: Mapping[str, str] | None = None,
     return spark.read.format("jdbc").options(**jdbc_options(**options), **(properties or {})).load()
 
 
+# Where staged tables go while ``staging`` is open.
+_STAGING: ContextVar[str | None] = ContextVar("staging", default=None)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its own form."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    filesystem, found = _filesystem(spark, path)
+    filesystem.delete(found, True)
+
+
+@contextmanager
+def staging(spark: SparkSession, folder: str) -> Iterator[str]:
+    """Keep staged tables in a folder of the caller's choice, and delete it in the end."""
+    own = f"{folder.rstrip('/')}/staging-{uuid.uuid4().hex}"
+    token = _STAGING.set(own)
+    try:
+        yield own
+    finally:
+        _STAGING.reset(token)
+        delete_folder(spark, own)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: one evaluation, and a lost executor costs nothing."""
+    """Write a frame to the staging folder and read it back: one evaluation, and a lost executor costs nothing.
+
+    Outside ``staging`` the table goes to the shared folder and stays there as long as the application's checkpoints.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_STAGING.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 class Warehouse:
-    """Layer tables as parquet folders ``root/layer/table``."""
+    """Layer tables as parquet folders ``root/layer/table/version``.
+
+    Which version of which table is current is in the newest of the layer's small ``_current-*.json`` files. A load
+    writes a new version first and names it last, by one rename, so a load that fails changes nothing that can be read.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._open: dict[str, dict[str, str]] = {}
+
+    def _pointers(self, layer: str) -> list[tuple[int, str]]:
+        filesystem, folder = _filesystem(self.spark, f"{self.root}/{layer}")
+        if not filesystem.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in filesystem.listStatus(folder)]
+        numbers = [name[9:-5] for name in names if name.startswith("_current-") and name.endswith(".json")]
+        return sorted((int(number), f"{self.root}/{layer}/_current-{number}.json") for number in numbers)
+
+    def versions(self, layer: str) -> dict[str, str]:
+        """Table to current version; inside ``loading``, with the tables loaded so far."""
+        found = {}
+        if pointers := self._pointers(layer):
+            filesystem, path = _filesystem(self.spark, pointers[-1][1])
+            stream = filesystem.open(path)
+            try:
+                found = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            finally:
+                stream.close()
+        return found | self._open.get(layer, {})
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}"
+        versions = self.versions(layer)
+        if table not in versions:
+            raise LookupError(f"no table {layer}.{table} in {self.root}")
+        return f"{self.root}/{layer}/{table}/{versions[table]}"
+
+    def _publish(self, layer: str, tables: Mapping[str, str]) -> None:
+        pointers, before = self._pointers(layer), self.versions(layer)
+        number = pointers[-1][0] + 1 if pointers else 1
+        target = f"{self.root}/{layer}/_current-{number:08d}.json"
+        filesystem, hidden = _filesystem(self.spark, f"{self.root}/{layer}/_{uuid.uuid4().hex}.tmp")
+        out = filesystem.create(hidden)
+        out.write(bytearray(json.dumps(before | dict(tables)), "utf-8"))
+        out.close()
+        if not filesystem.rename(hidden, _filesystem(self.spark, target)[1]):
+            raise RuntimeError(f"another load of {layer} came first")
+        for _, path in pointers:
+            delete_folder(self.spark, path)
+        for table, version in before.items():
+            if tables.get(table, version) != version:
+                delete_folder(self.spark, f"{self.root}/{layer}/{table}/{version}")
+
+    @contextmanager
+    def loading(self, layer: str) -> Iterator[None]:
+        """Loads inside become current together in the end, or not at all."""
+        if layer in self._open:
+            raise RuntimeError(f"{layer} is being loaded already")
+        self._open[layer] = {}
+        try:
+            yield
+            loaded = self._open.pop(layer)
+            self._publish(layer, loaded)
+        except BaseException:
+            for table, version in self._open.pop(layer, {}).items():
+                delete_folder(self.spark, f"{self.root}/{layer}/{table}/{version}")
+            raise
 
     def load(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace a table by ``df``, cast to the declared schema, and return the stored table."""
-        schema = struct_of(layer, table)
+        schema, version = struct_of(layer, table), uuid.uuid4().hex
         typed = df.select(*(F.col(field.name).cast(field.dataType) for field in schema))
-        typed.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(layer, table))
-        return self.table(layer, table)
+        path = f"{self.root}/{layer}/{table}/{version}"
+        try:
+            typed.write.partitionBy(*partition_by).parquet(path)
+        except BaseException:
+            delete_folder(self.spark, path)
+            raise
+        if layer in self._open:
+            self._open[layer][table] = version
+        else:
+            self._publish(layer, {table: version})
+        return read_parquet(self.spark, path, schema)
 
     def table(self, layer: str, table: str, position: bool = False) -> DataFrame:
         return read_parquet(self.spark, self.path(layer, table), struct_of(layer, table), position)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from abasto.plans import gold
 from abasto.schemas import BRONZE, columns_of
 from abasto.session import configure
-from abasto.sources.tables import POSITION, read_parquet, spread_small
+from abasto.sources.tables import POSITION, read_parquet
 
 # The columns of the benchmark tables. Given at reading, so no footer is read to find them.
 RAW = {
@@ -51,10 +51,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
+        if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+            # A session that names no shared folder: use a place beside its warehouse.
+            spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str, position: bool = False) -> DataFrame:
-        return spread_small(read_parquet(self.spark, f"{self.folder}/{name}.parquet", RAW[name], position))
+        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", RAW[name], position)
 
     # -- silver-shaped, typed --------------------------------------------------------------------------------------
 

@@ -9,8 +9,11 @@ from abasto.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(4, shuffle_partitions=4, memory="4g")
+def spark(tmp_path_factory):
+    session = local_session(4, shuffle_partitions=4, memory="4g")
+    if session.sparkContext.getCheckpointDir() is None:
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    return session
 
 
 @pytest.fixture

@@ -120,3 +120,15 @@ def test_price_forest_follows_the_data(spark):
     training = spark.createDataFrame([(None, float(3 * q), float(q)) for q in range(1, 200)], "solfec date, solpre double, solcan double")
     row = forecast.price_forest(training, trees=20).collect()[0]
     assert row.solcan == 100.0 and row.precio_estimado == pytest.approx(300, rel=0.1)
+
+
+def test_months_already_observed_are_not_forecast(spark):
+    history = series(spark, ("open", [1, 2, 3, 4, 5, None, None]), ("none", [None] * 14), ("model", [*range(14), None]))
+    linear, seasonal = (by_series(f(history, ["s"])) for f in (forecast.linear_trend, forecast.seasonal_trend))
+    assert [r.ds for r in linear["open"]] == months(13)[7:]
+    assert [r.ds for r in seasonal["open"] if r.is_future] == months(13)[7:]
+    assert [r.yhat for r in linear["open"]] == pytest.approx([6, 7, 8, 9, 10, 11])
+    flat = by_series(forecast.autoregressive(history, ["s"]))
+    assert [(r.ds, r.yhat, r.method) for r in flat["none"]] == [(ds, 0.0, "empty") for ds in months(20)[14:]]
+    assert [r.ds for r in flat["open"]] == months(13)[7:] and {r.yhat for r in flat["open"]} == {5.0}
+    assert [r.ds for r in flat["model"]] == months(21)[15:] and {r.method for r in flat["model"]} == {"model"}

@@ -98,6 +98,34 @@ def test_build_from_bronze_to_gold(spark, bronze, tmp_path):
     assert nulls["maestro_articulos", "artgrinv"] == found["maestro_articulos.artgrinv"] == 1
 
 
+def test_repeated_dimension_keys_stop_the_build(spark, bronze, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    build.build_all(warehouse, bronze)
+    before = warehouse.table("silver", "maestro_articulos").count()
+    twice = bronze["maestro_articulos"].union(
+        bronze_frame(spark, "maestro_articulos", {"artcitem": " a", "artdes": "again"})
+    )
+    with pytest.raises(build.ConstraintError, match=r"maestro_articulos: primary key \(artcitem\): 2 rows"):
+        build.build_all(warehouse, bronze | {"maestro_articulos": twice})
+    assert warehouse.table("silver", "maestro_articulos").count() == before
+    assert not [path for path in tmp_path.iterdir() if path.name.startswith("staging")]
+
+
+def test_unknown_or_null_never_adds_rows(spark):
+    items = silver_frame(spark, "maestro_articulos", {"artcitem": "a"}, {"artcitem": "a"}, {})
+    known = normalized.receipts_without_id(receipts(spark, {}, {"artcitem": "z"}, {"artcitem": None}), items=items)
+    assert sorted((row.artcitem or "") for row in known.collect()) == ["", "", "a"]
+
+
+def test_supplier_metrics_do_not_depend_on_partitions(spark):
+    suppliers = silver_frame(spark, "proveedores", {"acrecodi": "p"}, {"acrecodi": "q"})
+    rows = receipts(spark, *({"solpro": "pq"[i % 2], "nrcfec": f"2024-0{1 + i % 8}-{10 + i % 17}"} for i in range(200)))
+    one, many = (gold.supplier_metrics(rows.repartition(n), suppliers) for n in (1, 13))
+    assert sorted(one.collect()) == sorted(many.collect())
+    found = reconcile.metrics(one, many).first()
+    assert (found.stored, found.different, found.missing, found.extra) == (2, 0, 0, 0)
+
+
 @pytest.mark.parametrize("layer,tables", [("silver", SILVER), ("normalizado", NORMALIZED), ("gold", GOLD)])
 def test_declared_schemas_parse(layer, tables):
     for table in tables:

@@ -72,8 +72,52 @@ def test_staged_frames_are_read_from_the_shared_folder(spark):
     assert staged.collect() == staged.collect()
 
 
-def test_small_tables_are_spread_and_large_ones_left(spark, tmp_path):
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    assert tables.spread_small(df, at_least=1).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert tables.spread_small(df, at_least=1, below=2) is df
+def test_a_failed_load_leaves_the_stored_table(spark, tmp_path):
+    warehouse = tables.Warehouse(spark, str(tmp_path))
+    good = spark.createDataFrame([("g", "n")], "artgrinv string, nombre string")
+    warehouse.load("silver", "grupos", good)
+    bad = good.withColumn("nombre", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        warehouse.load("silver", "grupos", bad)
+    assert [tuple(row) for row in warehouse.table("silver", "grupos").collect()] == [("g", "n")]
+    with pytest.raises(ValueError, match="second"), warehouse.loading("silver"):
+        warehouse.load("silver", "grupos", good.withColumn("nombre", F.lit("new")))
+        raise ValueError("second table fails")
+    assert warehouse.table("silver", "grupos").first().nombre == "n"
+    assert len(list((tmp_path / "silver" / "grupos").iterdir())) == 1
+    with warehouse.loading("silver"):
+        warehouse.load("silver", "grupos", good.withColumn("nombre", F.lit("new")))
+        assert tables.Warehouse(spark, str(tmp_path)).table("silver", "grupos").first().nombre == "n"
+    assert warehouse.table("silver", "grupos").first().nombre == "new"
+    assert len(list((tmp_path / "silver" / "grupos").iterdir())) == 1
+
+
+def test_staging_ends_without_a_trace(spark, tmp_path):
+    with tables.staging(spark, str(tmp_path)):
+        assert tables.stage(spark.range(5), "five").count() == 5
+        assert list(tmp_path.iterdir())
+    assert not list(tmp_path.iterdir())
+
+
+def test_shared_folder_has_to_be_named(spark):
+    class Context:
+        own = None
+
+        def getCheckpointDir(self):
+            return self.own
+
+    class Conf:
+        named = None
+
+        def get(self, name, default):
+            return self.named
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+    Session.conf.named, Session.sparkContext.own = "/data/ck", "file:/data/ck2/x"
+    assert shared_folder(Session()) == "/data/ck"
+    Session.sparkContext.own = "file:/data/ck/x"
+    assert shared_folder(Session()) == "file:/data/ck/x"
