@@ -10,9 +10,10 @@ filled parts gives all of its parts, the empty ones too.
 
 Documents that share a key are candidates. Each set also has a parity bit sketch of about two bits a shingle: the
 Hamming distance of two is at most their difference, so a larger one rules a pair out. What is left is verified on the
-whole sets. In a group of one key, all are first compared with the smallest member; linked ones form components; then
-only members of different components are compared, in blocks. So a large group of near copies costs as many pairs
-as it has members, and no link between two components is lost. Equal sets are one class from the start.
+whole sets. In a group of one key, all are first compared with the smallest member; linked ones form components. Then
+every set is compared with the one nearest by Hamming distance in another component, and in the end all that are still
+in different components are, in blocks. So a large group of near copies costs a few pairs for each member, and no link
+between two components is lost. Equal sets are one class from the start.
 
 Shingles are 64-bit hashes of five words, classes 64-bit hashes of sets. Null or empty text: an empty set that is linked
 with nothing. Null ``doc_id``: linked with nothing, its component is null. Repeated ``doc_id``: each row has its own
@@ -104,16 +105,20 @@ def fold(sketch: np.ndarray, width: int) -> np.ndarray:
     return sketch
 
 
+def names_of(sets: list[np.ndarray]) -> np.ndarray:
+    """The class of each set."""
+    return as_long(mix(np.array([int(mix(members).sum(dtype=np.uint64)) for members in sets], dtype=np.uint64)))
+
+
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to (doc_id, n_shingles, sid, sketch)."""
     for part, texts in slices(batches):
         sets = shingle_sets(texts)
-        names = np.array([int(mix(members).sum(dtype=np.uint64)) for members in sets], dtype=np.uint64)
         yield pa.RecordBatch.from_arrays(
             [
                 part.column(0),
                 pa.array([len(members) for members in sets], pa.int64()),
-                pa.array(as_long(mix(names))),
+                pa.array(names_of(sets)),
                 pa.array([bit_sketch(members).tobytes() for members in sets], pa.binary()),
             ],
             ["doc_id", "n_shingles", "sid", "sketch"],
@@ -124,8 +129,7 @@ def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to (key, sid), each pair once a slice."""
     for _, texts in slices(batches):
         sets = shingle_sets(texts)
-        names = np.array([int(mix(members).sum(dtype=np.uint64)) for members in sets], dtype=np.uint64)
-        once = {name: members for name, members in zip(as_long(mix(names)).tolist(), sets, strict=True) if len(members)}
+        once = {name: members for name, members in zip(names_of(sets).tolist(), sets, strict=True) if len(members)}
         keys = [part_keys(members) for members in once.values()]
         counts = [len(own) for own in keys]
         yield pa.RecordBatch.from_arrays(
@@ -176,52 +180,84 @@ def near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
 
-def block_pairs(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Possible pairs between two lists of rows of a group that are not yet in one component."""
-    sizes, roots = rows["size"], rows["root"]
-    out_a, out_b = [], []
-    for row in left.tolist():
-        others = right[(roots[right] != roots[row]) & (right != row)]
-        low, high = np.minimum(sizes[others], sizes[row]), np.maximum(sizes[others], sizes[row])
-        others = others[5 * low >= 4 * high]
-        for width in {len(rows["sketch"][other]) for other in others.tolist()}:
-            same = np.array([other for other in others.tolist() if len(rows["sketch"][other]) == width])
-            least = min(width, len(rows["sketch"][row]))
-            theirs = fold(np.stack([rows["sketch"][other] for other in same]), least)
-            distance = np.bitwise_count(theirs ^ fold(rows["sketch"][row], least)).sum(axis=1, dtype=np.int64)
-            near = same[9 * distance <= sizes[same] + sizes[row]]
-            out_a.append(np.full(len(near), row))
-            out_b.append(near)
-    none = np.zeros(0, dtype=np.int64)
-    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
-
-
-def rest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, one, two), the cells of a group's block pairs, to possible pairs (a, b).
+def distances(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Hamming distances of two lists of sketches of one width, by chunks of the left one: first row, then the table."""
+    left, right = left.view(np.uint64), right.view(np.uint64)
+    chunk = max(1, (1 << 19) // right.size)
+    for first in range(0, len(left), chunk):
+        yield first, np.bitwise_count(left[first : first + chunk, None] ^ right[None]).sum(axis=2, dtype=np.int64)
+
+
+def block_pairs(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Possible pairs between two lists of rows of a group that are not yet in one component, and their distances."""
+    sizes, roots, widths, sketches = rows["size"], rows["root"], rows["width"], rows["sketch"]
+    found = [(np.zeros(0, dtype=np.int64),) * 3]
+    for wide in np.unique(widths[left]).tolist():
+        ours = left[widths[left] == wide]
+        for other in (wide // 2, wide, wide * 2):  # similar sets have sketches of one or of neighbouring widths
+            theirs, width = right[widths[right] == other], min(wide, other)
+            if not len(theirs) or not len(ours):
+                continue
+            one = np.stack([fold(np.frombuffer(sketches[row], np.uint8), width) for row in ours.tolist()])
+            two = np.stack([fold(np.frombuffer(sketches[row], np.uint8), width) for row in theirs.tolist()])
+            for first, distance in distances(one, two):
+                own = ours[first : first + len(distance)]
+                x, y = sizes[own][:, None], sizes[theirs][None]
+                possible = (9 * distance <= x + y) & (5 * np.minimum(x, y) >= 4 * np.maximum(x, y))
+                possible &= roots[own][:, None] != roots[theirs][None]
+                i, j = np.nonzero(possible)
+                found.append((own[i], theirs[j], distance[i, j]))
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
+def nearest(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
+    """Of the pairs of each ``a``, the place of the one with the smallest distance."""
+    order = np.lexsort((b, distance, a))
+    return order[np.flatnonzero(np.diff(a[order], prepend=-1))]
+
+
+def rest_rows(only_nearest: bool):
+    """Rows sorted by (key, one, two), the cells of a group's block pairs, to possible pairs (a, b, distance).
 
     Columns: key, one, two, block, sid, root, size, sketch. A cell has the rows of block ``one`` and of block ``two``.
     """
-    held: list[dict] = []
-
-    def pairs() -> pa.RecordBatch:
-        rows = {
-            name: np.array([row[name] for row in held], dtype=np.int64) for name in ("block", "sid", "root", "size")
-        }
-        rows["sketch"] = [np.frombuffer(row["sketch"], np.uint8) for row in held]
-        one, two = held[0]["one"], held[0]["two"]
-        a, b = block_pairs(rows, np.flatnonzero(rows["block"] == one), np.flatnonzero(rows["block"] == two))
-        first, second = rows["sid"][a], rows["sid"][b]
-        keep = first < second if one == two else np.ones(len(first), dtype=bool)
-        return pa.RecordBatch.from_arrays([pa.array(first[keep]), pa.array(second[keep])], ["a", "b"])
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and any(row[name] != held[0][name] for name in ("key", "one", "two")):
-                yield pairs()
-                held.clear()
-            held.append(row)
-    if held:
-        yield pairs()
+    def pairs(cell: pa.Table) -> pa.RecordBatch:
+        rows = {name: cell[name].to_numpy() for name in ("block", "sid", "root", "size")}
+        rows["sketch"] = cell["sketch"].to_pylist()
+        rows["width"] = np.array([len(sketch) for sketch in rows["sketch"]])
+        one, two = cell["one"][0].as_py(), cell["two"][0].as_py()
+        a, b, distance = block_pairs(rows, np.flatnonzero(rows["block"] == one), np.flatnonzero(rows["block"] == two))
+        if only_nearest:
+            if one != two:
+                a, b, distance = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([distance, distance])
+            chosen = nearest(a, b, distance)
+            a, b, distance = rows["sid"][a[chosen]], rows["sid"][b[chosen]], distance[chosen]
+        else:
+            a, b = rows["sid"][a], rows["sid"][b]
+            a, b = np.minimum(a, b), np.maximum(a, b)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance)], ["a", "b", "distance"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            new = np.any([np.diff(column) != 0 for column in names], axis=0)
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                cell = tuple(column[start] for column in names)
+                if held and cell != last:
+                    yield pairs(pa.Table.from_batches(held))
+                    held = []
+                last = cell
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    return run
 
 
 def verified_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,10 +273,12 @@ def verified_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sid, text) to (sid, members)."""
+    """(sid, text) to (sid, members); a text of another class under the same ``doc_id`` is left out."""
     for part, texts in slices(batches):
-        members = [own.tobytes() for own in shingle_sets(texts)]
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(members, pa.binary())], ["sid", "members"])
+        sets = shingle_sets(texts)
+        right = pa.array(names_of(sets) == part.column(0).to_numpy(zero_copy_only=False))
+        members = pa.array([members.tobytes() for members in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([part.column(0).filter(right), members.filter(right)], ["sid", "members"])
 
 
 # -- the join --------------------------------------------------------------------------------------------------------
@@ -274,21 +312,30 @@ def _linked_classes(texts: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataF
     starred = starred.join(one, "a").join(two, "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
     links = _verify(starred.mapInArrow(near_rows, "a bigint, b bigint"), classes, texts)
 
-    roots = components(links)
     everyone = shared.select("key", "sid").union(shared.select("key", F.col("leader").alias("sid")).distinct())
-    placed = everyone.join(roots.toDF("sid", "root"), "sid", "left")
+    nearest_of = _open_cells(everyone, small, links).mapInArrow(rest_rows(True), "a bigint, b bigint, distance bigint")
+    nearest_of = nearest_of.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("at"))
+    nearest_of = nearest_of.select(F.least("a", "at.b").alias("a"), F.greatest("a", "at.b").alias("b")).distinct()
+    links = links.union(_verify(nearest_of, classes, texts))
+    rest = _open_cells(everyone, small, links).mapInArrow(rest_rows(False), "a bigint, b bigint, distance bigint")
+    return classes, links.union(_verify(rest.select("a", "b").distinct(), classes, texts))
+
+
+def _open_cells(everyone: DataFrame, small: DataFrame, links: DataFrame) -> DataFrame:
+    """The members of key groups that are in more than one component so far, in cells of two blocks."""
+    placed = everyone.join(components(links).toDF("sid", "root"), "sid", "left")
     placed = placed.select("key", "sid", F.coalesce("root", "sid").alias("root"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
     open_keys = open_keys.filter("low < high").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     cells = placed.join(open_keys, "key")
     cells = cells.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    cells = cells.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "sid", "root")
+    cells = cells.select(
+        "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "sid", "root"
+    )
     cells = cells.join(small, "sid").withColumnRenamed("n_shingles", "size")
     cells = cells.select("key", "one", "two", "block", "sid", "root", "size", "sketch")
-    cells = cells.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    rest = cells.mapInArrow(rest_rows, "a bigint, b bigint").distinct()
-    return classes, links.union(_verify(rest, classes, texts))
+    return cells.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
 
 
 def join(docs: DataFrame) -> DataFrame:
