@@ -141,7 +141,9 @@ def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seeds = texts.filter("doc_id IS NOT NULL").mapInArrow(seed_rows(span, gram), "seed bigint, doc_id bigint, place int")
-    repeated = seeds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
+    # Grouped with its hash, so that the join exchanges both sides by the seed alone and can split a frequent one.
+    repeated = seeds.groupBy("seed", F.hash("seed").alias("half")).agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = repeated.select("seed")
     hits = seeds.join(repeated, "seed", "left_semi").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
     hits = stage(hits)  # few rows from the largest shuffle: written once, read twice
     found = texts.join(hits.hint("shuffle_hash"), "doc_id", "left")
