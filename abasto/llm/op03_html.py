@@ -32,7 +32,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes plainte
 HEAD = frozenset("base link meta script style title template noscript".split())
 UNSEEN = frozenset(
     "head script style template title noscript noembed noframes iframe object audio video canvas svg math datalist "
-    "area param source track map select embed".split()
+    "area param source track map embed".split()
 )
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir table pre blockquote figure fieldset hr xmp".split())
 BLOCK = APART | frozenset(

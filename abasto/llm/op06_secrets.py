@@ -75,7 +75,7 @@ def allowed(candidate: str, before: str) -> bool:
     """Whether a candidate is no secret for sure; ``before`` is what stands in front of it up to a blank."""
     steps = sum(abs(ord(b) - ord(a)) <= 1 for a, b in zip(candidate, candidate[1:], strict=False))
     return (
-        "://" in before
+        "://" in before[-300:] + candidate[:2]
         or bool(ALLOWED.fullmatch(candidate))
         or len(set(candidate)) < 8
         or 2 * steps > len(candidate)

@@ -28,7 +28,7 @@ from abasto.llm.common import prepare, slices, word_hashes
 
 SAMPLE = 6_000  # labelled rows a model is fitted on, at most
 WORDS, RANGES, RANK = 1 << 16, 16, 8
-EPOCHS, BATCH, RATE, DECAY, SEED = 6, 128, 0.05, 1e-5, 7
+EPOCHS, STEPS, BATCH, RATE, DECAY, SEED = 6, 300, 128, 0.05, 1e-5, 7  # passes, and steps at least
 
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -113,6 +113,19 @@ def sigmoid(values: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(values, -40, 40)))
 
 
+def _features_in_parts(texts: list[bytes], size: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same as ``features``, some texts at a time, for less memory."""
+    parts, start, total = [], 0, 0
+    for row, text in enumerate(texts):
+        total += len(text)
+        if total > size or row == len(texts) - 1:
+            parts.append(features(texts[start : row + 1]))
+            start, total = row + 1, 0
+    counts = np.concatenate([np.diff(bounds) for _, _, bounds in parts])
+    places, values = (np.concatenate([part[i] for part in parts]) for i in (0, 1))
+    return places, values, np.concatenate([[0], np.cumsum(counts)])
+
+
 def fit(texts: list[bytes], labels: np.ndarray) -> Machine:
     """Adaptive gradient steps on the logistic loss over shuffled batches. The order of the rows fixes the result."""
     rng = np.random.default_rng(SEED)
@@ -120,9 +133,9 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Machine:
     table[:, 0] = 0
     share = min(max(labels.mean(), 0.01), 0.99)
     machine = Machine(float(np.log(share / (1 - share))), table)
-    places, values, bounds = features(texts)
+    places, values, bounds = _features_in_parts(texts)
     seen, bias_seen = np.full(table.shape, 1e-6), 1e-6
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(texts)))):
         order = rng.permutation(len(texts))
         for chosen in np.split(order, range(BATCH, len(order), BATCH)):
             sizes = bounds[chosen + 1] - bounds[chosen]
