@@ -12,14 +12,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers find this package where it is not installed."""
+    """Let Python workers find this package where it is not installed, and give freed memory back to the system."""
     environment = spark.sparkContext.environment
+    environment.setdefault("MALLOC_TRIM_THRESHOLD_", str(1 << 20))
+    environment.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
     paths = [path for path in environment.get("PYTHONPATH", "").split(":") if path]
     if ROOT not in paths:
         environment["PYTHONPATH"] = ":".join([*paths, ROOT])
@@ -65,16 +68,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
     Gives the slice and its texts as UTF-8, a null text as an empty one.
     """
     for batch in batches:
-        values = batch.column(batch.schema.get_field_index(column))
-        texts = [b"" if value is None else value for value in values.cast(pa.binary()).to_pylist()]
-        start, total = 0, 0
-        for index, text in enumerate(texts):
-            if index > start and total + len(text) > size:
-                yield batch.slice(start, index - start), texts[start:index]
-                start, total = index, 0
-            total += len(text) + 1
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        values = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            count = max(1, int(np.searchsorted(ends, before + size, side="right")) - start)
+            texts = values.slice(start, count).to_pylist()
+            yield batch.slice(start, count), [b"" if value is None else value for value in texts]
+            start += count
 
 
 # -- hashes --------------------------------------------------------------------------------------------------------
