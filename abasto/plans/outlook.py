@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abasto.operators.shares import spread_over_shares
 from abasto.plans import forecast, reports
+from abasto.sources.tables import union_all
 
 MODELS = ("linear", "seasonal", "autoregressive")
 
@@ -36,3 +39,13 @@ def product_outlook(
     ahead = coming_months(reports.stock_monthly(receipts), model)
     share = reports.product_share(receipts, items, groups)
     return spread_over_shares(ahead, share, "participacion", "artcitem", ["artdes", "grupo"], rows, floor)
+
+
+def product_outlooks(
+    receipts: DataFrame, items: DataFrame, groups: DataFrame, models: Sequence[str] = MODELS, rows: int = 15
+) -> DataFrame:
+    """The outlook of several models (column ``model``); the shares are computed once for all of them."""
+    history = reports.stock_monthly(receipts)
+    ahead = union_all([coming_months(history, model).select(F.lit(model).alias("model"), "*") for model in models])
+    share = reports.product_share(receipts, items, groups)
+    return spread_over_shares(ahead, share, "participacion", "artcitem", ["artdes", "grupo"], rows, by=["model"])

@@ -111,8 +111,13 @@ def partial_deliveries(receipts: DataFrame) -> DataFrame:
 
 
 def full_row_duplicates(df: DataFrame, name: str) -> DataFrame:
-    """Rows beyond the first of every group of rows equal in all columns, NULLs being equal."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    """Rows beyond the first of every group of rows equal in all columns, NULLs being equal.
+
+    Hashes are counted first; only rows whose hash occurs more than once are shuffled and compared in full.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    again = hashed.groupBy("_hash").agg(F.count("*").alias("_rows")).filter("_rows > 1").select("_hash")
+    copies = hashed.join(again, "_hash", "left_semi").groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     surplus = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
     return copies.agg(surplus.alias("duplicate_rows")).select(F.lit(name).alias("table_name"), "duplicate_rows")
 

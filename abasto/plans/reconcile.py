@@ -58,6 +58,14 @@ def compare_tables(stored: DataFrame, computed: DataFrame, keys: Sequence[str],
     )
 
 
+def verdict(counts: DataFrame, name: str, expected: int | None = None) -> DataFrame:
+    """The counts of a comparison with ``exact``: as many stored as computed (and expected), and no difference."""
+    exact = (F.col("stored") == F.col("computed")) & (F.col("missing") + F.col("extra") + F.col("different") == 0)
+    if expected is not None:
+        exact = exact & (F.col("stored") == expected)
+    return counts.select(F.lit(name).alias("table_name"), "*", F.lit(expected).cast("bigint").alias("expected"), exact.alias("exact"))
+
+
 # The names under which the demand comparison is reported.
 DEMAND_METRICS = {
     "gold_total": "stored",

@@ -128,11 +128,10 @@ def trailing_year(receipts: DataFrame) -> DataFrame:
 
 
 def product_share(receipts: DataFrame, items: DataFrame, groups: DataFrame) -> DataFrame:
-    """Each item's share of the stock recorded in the trailing year. Names join after the reduction."""
+    """Each item's share of the stock recorded in the trailing year. Names and total come after the reduction."""
     recorded = trailing_year(receipts).filter(F.col("artstock").isNotNull())
     per_item = recorded.groupBy("artcitem").agg(F.sum("artstock").alias("stock_total"))
-    total = recorded.agg(F.sum("artstock")).scalar()
-    shared = share_of_total(per_item, "stock_total", "participacion", total)
+    shared = share_of_total(per_item, "stock_total", "participacion")
     described = lookup(shared, items, "artcitem", "artcitem", ["artdes", "artgrinv"])
     named = lookup(described, groups.withColumnRenamed("nombre", "grupo"), "artgrinv", "artgrinv", ["grupo"])
     return named.select("artcitem", "artdes", "grupo", "stock_total", "participacion")
@@ -144,14 +143,29 @@ def price_training_set(requests: DataFrame) -> DataFrame:
 
 
 def recent_receipts(receipts: DataFrame, items: DataFrame, months: int = 5) -> DataFrame:
-    """Last months: distinct requests, received quantity and mean catalogue cost of the known items' receipts."""
-    costed = lookup(receipts.filter(F.col("nrcfec").isNotNull()), items, "artcitem", "artcitem", ["artcosu1"], "inner")
+    """Last months: distinct requests, received quantity and mean catalogue cost of the known items' receipts.
+
+    The months that win are found first, from (item, month) pairs; then only their receipts are read, and reduced to
+    (month, item, request) before they meet the catalogue.
+    """
+    dated = receipts.filter(F.col("nrcfec").isNotNull()).withColumn("mes", month_of("nrcfec"))
+    pairs = dated.select("mes", "artcitem").distinct()
+    known = lookup(pairs, items, "artcitem", "artcitem", [], "inner").select("mes").distinct()
+    oldest = known.orderBy(F.desc("mes")).limit(months).agg(F.min("mes")).scalar()
+    reduced = (
+        dated.filter(F.col("nrcfec") >= oldest)
+        .groupBy("mes", "artcitem", "solnum")
+        .agg(F.sum("nrdcac").alias("_received"), F.count("*").alias("_rows"))
+    )
+    costed = lookup(reduced, items, "artcitem", "artcitem", ["artcosu1"], "inner")
+    priced = F.when(F.col("artcosu1").isNotNull(), F.col("_rows"))
+    cost = F.sum(F.col("artcosu1") * F.col("_rows").cast("decimal(18,0)")).cast("double")
     return (
-        costed.groupBy(month_of("nrcfec").alias("mes"))
+        costed.groupBy("mes")
         .agg(
             F.count_distinct("solnum").alias("pedidos"),
-            F.sum("nrdcac").alias("recibido"),
-            exact_mean("artcosu1").alias("costo_promedio"),
+            F.sum("_received").alias("recibido"),
+            F.try_divide(cost, F.sum(priced).cast("double")).alias("costo_promedio"),
         )
         .orderBy(F.desc_nulls_first("mes"))
         .limit(months)

@@ -14,34 +14,39 @@ from abasto.schemas import columns_of, struct_of
 
 # Fixed values. Table -> cleaning rule -> columns; columns without a rule here are not part of the silver table.
 RULES = {
-    "grupos": {"trim": "artgrinv nombre"},
-    "proveedores": {"trim": "acrecodi acreraso", "filled": "acredire acretelf acreciud acreiden acreruc"},
+    "grupos": {
+        "trim": ["artgrinv", "nombre"],
+    },
+    "proveedores": {
+        "trim": ["acrecodi", "acreraso"],
+        "filled": ["acredire", "acretelf", "acreciud", "acreiden", "acreruc"],
+    },
     "maestro_articulos": {
-        "trim": "artcitem artdes artmed artgrinv",
-        "filled": "artubi artcmon",
-        "decimal": "artcosu1 artcoum1 artpreu2",
-        "integer": "artstseg",
-        "day": "artfusal artfuent",
+        "trim": ["artcitem", "artdes", "artmed", "artgrinv"],
+        "filled": ["artubi", "artcmon"],
+        "decimal": ["artcosu1", "artcoum1", "artpreu2"],
+        "integer": ["artstseg"],
+        "day": ["artfusal", "artfuent"],
     },
     "articulos": {
-        "trim": "artcitem artdes artmed artgrinv ubialm",
-        "filled": "artuptrn",
-        "decimal": "ubistock artcoum1",
-        "day": "artfusal artfureq artfuent artfusal_1",
+        "trim": ["artcitem", "artdes", "artmed", "artgrinv", "ubialm"],
+        "filled": ["artuptrn"],
+        "decimal": ["ubistock", "artcoum1"],
+        "day": ["artfusal", "artfureq", "artfuent", "artfusal_1"],
     },
     "recepcion": {
-        "trim": "artcitem artdes artmed artgrinv",
-        "filled": "solurg solusr soltip solpro",
-        "decimal": "solcan nrdcac artstock solpre",
-        "integer": "solnum solmon nrcnum solord",
-        "day": "nrcfec solfec",
+        "trim": ["artcitem", "artdes", "artmed", "artgrinv"],
+        "filled": ["solurg", "solusr", "soltip", "solpro"],
+        "decimal": ["solcan", "nrdcac", "artstock", "solpre"],
+        "integer": ["solnum", "solmon", "nrcnum", "solord"],
+        "day": ["nrcfec", "solfec"],
     },
     "solicitudes": {
-        "trim": "artcitem artdes",
-        "filled": "soltip solurg solusr solsts solpro artmed artgrinv",
-        "decimal": "solcan solpre",
-        "integer": "solnum solord solmon solsta",
-        "day": "solfec",
+        "trim": ["artcitem", "artdes"],
+        "filled": ["soltip", "solurg", "solusr", "solsts", "solpro", "artmed", "artgrinv"],
+        "decimal": ["solcan", "solpre"],
+        "integer": ["solnum", "solord", "solmon", "solsta"],
+        "day": ["solfec"],
     },
 }
 
@@ -58,7 +63,7 @@ ROW_KEY = {
 
 def clean(bronze: DataFrame, table: str, mode: str = "strict") -> DataFrame:
     """The silver form of a bronze table."""
-    rule_of = {name: rule for rule, names in RULES[table].items() for name in names.split()}
+    rule_of = {name: rule for rule, names in RULES[table].items() for name in names}
 
     def cleaned(field):
         rule = rule_of[field.name]
@@ -102,10 +107,6 @@ def requests(bronze: DataFrame, mode: str = "strict") -> DataFrame:
     return clean(bronze, "solicitudes", mode)
 
 
-def silver_columns(table: str) -> list[str]:
-    return columns_of("silver", table)
-
-
 def keep_declared(df: DataFrame, layer: str, table: str) -> DataFrame:
     """The declared columns of a table, in their order."""
     return df.select(*(F.col(name) for name in columns_of(layer, table)))

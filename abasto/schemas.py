@@ -11,80 +11,97 @@ from pyspark.sql import types as T
 MONEY = "decimal(15,2)"
 
 BRONZE = {
-    "solicitudes": (
-        "solnum artcitem artdes soltip solcan solurg solusr solfec solord solmon solpre solsts solsta solpro solcpr "
-        "solara solmaq solfap solfor artmed artgrinv solcaf solcen solcac"
-    ).split(),
-    "recepcion": (
-        "solnum artcitem artdes artmed artgrinv solcan nrdcac artstock solpre solmon nrcalm solurg solusr nrcfec "
-        "solfec solfor nrcnum solord soltip solcpr solpro nrcpro nrcgui solara solcaf solcen solsta solcac"
-    ).split(),
-    "maestro_articulos": (
-        "artcitem artdes artmed artgrinv artcosu1 artstseg artfusal artfuent artubi artcoum1 artcmon artpreu2"
-    ).split(),
-    "articulos": (
-        "artcitem artdes artmed artgrinv ubialm ubistock artfusal artuptrn artfureq artfuent artfusal_1 artcoum1"
-    ).split(),
+    "solicitudes": [
+        "solnum", "artcitem", "artdes", "soltip", "solcan", "solurg", "solusr", "solfec", "solord", "solmon",
+        "solpre", "solsts", "solsta", "solpro", "solcpr", "solara", "solmaq", "solfap", "solfor", "artmed",
+        "artgrinv", "solcaf", "solcen", "solcac",
+    ],
+    "recepcion": [
+        "solnum", "artcitem", "artdes", "artmed", "artgrinv", "solcan", "nrdcac", "artstock", "solpre", "solmon",
+        "nrcalm", "solurg", "solusr", "nrcfec", "solfec", "solfor", "nrcnum", "solord", "soltip", "solcpr",
+        "solpro", "nrcpro", "nrcgui", "solara", "solcaf", "solcen", "solsta", "solcac",
+    ],
+    "maestro_articulos": [
+        "artcitem", "artdes", "artmed", "artgrinv", "artcosu1", "artstseg", "artfusal", "artfuent", "artubi",
+        "artcoum1", "artcmon", "artpreu2",
+    ],
+    "articulos": [
+        "artcitem", "artdes", "artmed", "artgrinv", "ubialm", "ubistock", "artfusal", "artuptrn", "artfureq",
+        "artfuent", "artfusal_1", "artcoum1",
+    ],
     "grupos": ["artgrinv", "nombre"],
-    "proveedores": "acrecodi acreraso acredire acretelf acreciud acreiden acreruc".split(),
+    "proveedores": ["acrecodi", "acreraso", "acredire", "acretelf", "acreciud", "acreiden", "acreruc"],
 }
 
-_GROUPS = "artgrinv string, nombre string"
-_SUPPLIERS = (
-    "acrecodi string, acreraso string, acredire string, acretelf string, acreciud string, acreiden string, "
-    "acreruc string"
-)
-_ITEMS = (
-    f"artcitem string, artdes string, artmed string, artgrinv string, artcosu1 {MONEY}, artstseg int, artfusal date, "
-    f"artfuent date, artubi string, artcoum1 {MONEY}, artcmon string, artpreu2 {MONEY}"
-)
+_GROUPS = [
+    ("artgrinv", "string"), ("nombre", "string"),
+]
+
+_SUPPLIERS = [
+    ("acrecodi", "string"), ("acreraso", "string"), ("acredire", "string"), ("acretelf", "string"),
+    ("acreciud", "string"), ("acreiden", "string"), ("acreruc", "string"),
+]
+
+_ITEMS = [
+    ("artcitem", "string"), ("artdes", "string"), ("artmed", "string"), ("artgrinv", "string"),
+    ("artcosu1", MONEY), ("artstseg", "int"), ("artfusal", "date"), ("artfuent", "date"), ("artubi", "string"),
+    ("artcoum1", MONEY), ("artcmon", "string"), ("artpreu2", MONEY),
+]
 
 SILVER = {
     "grupos": _GROUPS,
     "proveedores": _SUPPLIERS,
     "maestro_articulos": _ITEMS,
-    "articulos": (
-        f"artcitem string, artdes string, artmed string, artgrinv string, ubialm string, ubistock {MONEY}, "
-        f"artfusal date, artuptrn string, artfureq date, artfuent date, artfusal_1 date, artcoum1 {MONEY}"
-    ),
-    "recepcion": (
-        f"solnum bigint, artcitem string, artdes string, artmed string, artgrinv string, solcan {MONEY}, "
-        f"nrdcac {MONEY}, artstock {MONEY}, solpre {MONEY}, solmon int, solurg string, solusr string, nrcfec date, "
-        "solfec date, nrcnum int, solord int, soltip string, solpro string"
-    ),
-    "solicitudes": (
-        f"solnum bigint, artcitem string, artdes string, soltip string, solcan {MONEY}, solurg string, "
-        f"solusr string, solfec date, solord int, solmon int, solpre {MONEY}, solsts string, solsta int, "
-        "solpro string, artmed string, artgrinv string"
-    ),
+    "articulos": [
+        ("artcitem", "string"), ("artdes", "string"), ("artmed", "string"), ("artgrinv", "string"),
+        ("ubialm", "string"), ("ubistock", MONEY), ("artfusal", "date"), ("artuptrn", "string"),
+        ("artfureq", "date"), ("artfuent", "date"), ("artfusal_1", "date"), ("artcoum1", MONEY),
+    ],
+    "recepcion": [
+        ("solnum", "bigint"), ("artcitem", "string"), ("artdes", "string"), ("artmed", "string"),
+        ("artgrinv", "string"), ("solcan", MONEY), ("nrdcac", MONEY), ("artstock", MONEY), ("solpre", MONEY),
+        ("solmon", "int"), ("solurg", "string"), ("solusr", "string"), ("nrcfec", "date"), ("solfec", "date"),
+        ("nrcnum", "int"), ("solord", "int"), ("soltip", "string"), ("solpro", "string"),
+    ],
+    "solicitudes": [
+        ("solnum", "bigint"), ("artcitem", "string"), ("artdes", "string"), ("soltip", "string"),
+        ("solcan", MONEY), ("solurg", "string"), ("solusr", "string"), ("solfec", "date"), ("solord", "int"),
+        ("solmon", "int"), ("solpre", MONEY), ("solsts", "string"), ("solsta", "int"), ("solpro", "string"),
+        ("artmed", "string"), ("artgrinv", "string"),
+    ],
 }
 
 NORMALIZED = {
     "grupos": _GROUPS,
     "proveedores": _SUPPLIERS,
     "maestro_articulos": _ITEMS,
-    "fact_solicitudes": (
-        f"solnum bigint, artcitem string, soltip string, solcan {MONEY}, solurg string, solusr string, solfec date, "
-        f"solord int, solmon int, solpre {MONEY}, solsts string, solsta int, solpro string"
-    ),
-    "fact_recepcion": (
-        f"id_recepcion bigint, solnum bigint, artcitem string, solcan {MONEY}, nrdcac {MONEY}, artstock {MONEY}, "
-        f"solpre {MONEY}, solmon int, solurg string, solusr string, nrcfec date, solfec date, nrcnum int, "
-        "solord int, soltip string, solpro string"
-    ),
-    "fact_stock": f"artcitem string, ubialm string, ubistock {MONEY}, artuptrn string, artfureq date",
+    "fact_solicitudes": [
+        ("solnum", "bigint"), ("artcitem", "string"), ("soltip", "string"), ("solcan", MONEY),
+        ("solurg", "string"), ("solusr", "string"), ("solfec", "date"), ("solord", "int"), ("solmon", "int"),
+        ("solpre", MONEY), ("solsts", "string"), ("solsta", "int"), ("solpro", "string"),
+    ],
+    "fact_recepcion": [
+        ("id_recepcion", "bigint"), ("solnum", "bigint"), ("artcitem", "string"), ("solcan", MONEY),
+        ("nrdcac", MONEY), ("artstock", MONEY), ("solpre", MONEY), ("solmon", "int"), ("solurg", "string"),
+        ("solusr", "string"), ("nrcfec", "date"), ("solfec", "date"), ("nrcnum", "int"), ("solord", "int"),
+        ("soltip", "string"), ("solpro", "string"),
+    ],
+    "fact_stock": [
+        ("artcitem", "string"), ("ubialm", "string"), ("ubistock", MONEY), ("artuptrn", "string"),
+        ("artfureq", "date"),
+    ],
 }
 
 GOLD = {
-    "metricas_prediccion_proveedor": (
-        "proveedor_id string, total_atenciones bigint, lead_time_promedio_dias double, desviacion_lead_time double, "
-        "volumen_total_suministrado decimal(25,2)"
-    ),
-    "prediccion_demanda_mensual": (
-        "artcitem string, artgrinv string, grupo_nombre string, periodo_mes timestamp, "
-        "cantidad_total_despachada decimal(25,2), frecuencia_pedidos bigint, "
-        f"precio_promedio_pactado decimal(38,15), ultimo_stock_registrado {MONEY}"
-    ),
+    "metricas_prediccion_proveedor": [
+        ("proveedor_id", "string"), ("total_atenciones", "bigint"), ("lead_time_promedio_dias", "double"),
+        ("desviacion_lead_time", "double"), ("volumen_total_suministrado", "decimal(25,2)"),
+    ],
+    "prediccion_demanda_mensual": [
+        ("artcitem", "string"), ("artgrinv", "string"), ("grupo_nombre", "string"), ("periodo_mes", "timestamp"),
+        ("cantidad_total_despachada", "decimal(25,2)"), ("frecuencia_pedidos", "bigint"),
+        ("precio_promedio_pactado", "decimal(38,15)"), ("ultimo_stock_registrado", MONEY),
+    ],
 }
 
 LAYERS = {"silver": SILVER, "normalizado": NORMALIZED, "gold": GOLD}
@@ -139,8 +156,7 @@ def struct_of(layer: str, table: str) -> T.StructType:
     """The StructType of a table, without a running session; bronze tables are all text."""
     if layer == "bronze":
         return T.StructType([T.StructField(name, T.StringType()) for name in BRONZE[table]])
-    columns = (column.split(" ") for column in LAYERS[layer][table].split(", "))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in LAYERS[layer][table]])
 
 
 def columns_of(layer: str, table: str) -> list[str]:

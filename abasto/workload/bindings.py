@@ -112,7 +112,7 @@ class Tables:
             money(F.col("o_totalprice")).alias("solpre"),
             F.col("o_orderstatus").alias("solsts"),
             F.lit(2).alias("solsta"),
-            F.concat(F.lit("PRV-"), customer % 97).alias("solpro"),
+            F.concat(F.when(customer % 11 == 3, "EX-").otherwise("PRV-"), customer % 97).alias("solpro"),
         )
         if not catalogue:
             return rows
@@ -146,7 +146,7 @@ class Tables:
         rows = self.raw("lineitem", position)
         if request_date:
             dates = self.raw("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("solfec"))
-            rows = rows.join(dates, F.col("l_orderkey") == F.col("o_orderkey"))
+            rows = rows.join(dates, F.col("l_orderkey") == F.col("o_orderkey"), "left")
             columns["solfec"] = F.col("solfec")
         if catalogue:
             texts = self.raw("part").select(
@@ -155,7 +155,7 @@ class Tables:
                 F.col("p_type").alias("artmed"),
                 F.col("p_brand").alias("artgrinv"),
             )
-            rows = rows.join(texts, F.col("l_partkey") == F.col("p_partkey"))
+            rows = rows.join(texts, F.col("l_partkey") == F.col("p_partkey"), "left")
             columns |= {name: F.col(name) for name in ("artdes", "artmed", "artgrinv")}
         ordered = [name for name in columns_of("silver", "recepcion") if name in columns]
         return rows.select(*(columns[name].alias(name) for name in ordered), *(POSITION if position else ()))
@@ -181,7 +181,7 @@ class Tables:
         }
         if catalogue:
             size = F.col("p_size")
-            held = held.join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
+            held = held.join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
             day = F.date_add(F.lit("2000-01-01").cast("date"), size)
             columns |= {
                 "artdes": F.col("p_name"),
@@ -205,7 +205,7 @@ class Tables:
     def bronze_suppliers(self) -> DataFrame:
         """Suppliers in debt have a blank code, which keeps them out of silver."""
         indebted = self.raw("supplier").select(F.concat(F.lit("PRV-"), "s_suppkey").alias("_key"), "s_acctbal")
-        rows = self.suppliers().join(indebted, F.col("acrecodi") == F.col("_key"))
+        rows = self.suppliers().join(indebted, F.col("acrecodi") == F.col("_key"), "left")
         return rows.select(
             F.when(F.col("s_acctbal") < 0, "   ").otherwise(F.concat(F.lit(" "), "acrecodi")).alias("acrecodi"),
             F.concat("acreraso", F.lit("  ")).alias("acreraso"),

@@ -37,6 +37,30 @@ def day_of(text: str) -> str:
     )
 
 
+def latest_sql(receipts: str) -> str:
+    """The receipt that closes each item and month: the last day's, of these the highest number (none counts as highest)."""
+    return f"""
+        WITH counted AS (SELECT *, make_date(year(nrcfec), month(nrcfec), 1) AS mes FROM {receipts}
+                         WHERE artstock >= 0 OR artstock < 0),
+        ends AS (SELECT artcitem, mes, max(nrcfec) AS nrcfec FROM counted GROUP BY ALL),
+        last_day AS (SELECT *, coalesce(nrcnum, 2147483647) AS number FROM counted JOIN ends USING (artcitem, mes, nrcfec))
+        SELECT * EXCLUDE (number) FROM last_day
+        WHERE (artcitem, mes, number) IN (SELECT artcitem, mes, max(number) FROM last_day GROUP BY ALL)
+        QUALIFY 1 = count(*) OVER (PARTITION BY artcitem, mes ORDER BY solnum, solord, solcan, solpre, artstock
+                                   ROWS UNBOUNDED PRECEDING)"""
+
+
+def demand_sql(receipts: str, latest: str) -> str:
+    """Sums by item, group and month, with the group's name and the closing stock."""
+    return f"""
+        SELECT s.*, nombre AS grupo_nombre, closing
+        FROM (SELECT artcitem, artgrinv, make_date(year(nrcfec), month(nrcfec), 1) AS mes, sum(solcan) AS quantity,
+                     count(DISTINCT solnum) AS requests, sum(solpre) AS price_sum, count(solpre) AS n_prices
+              FROM {receipts} WHERE nrcfec > DATE '0001-01-01' GROUP BY ALL) s
+        LEFT JOIN b_groups USING (artgrinv)
+        LEFT JOIN (SELECT artcitem, mes, artstock AS closing FROM {latest}) USING (artcitem, mes)"""
+
+
 VIEWS = {
     "b_groups": "SELECT DISTINCT p_brand AS artgrinv, 'Group ' || p_brand AS nombre FROM part",
     "b_suppliers": """
@@ -65,7 +89,7 @@ VIEWS = {
                CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS solfec,
                CAST(o_orderkey % 1000 AS INTEGER) AS solord, CAST(o_custkey % 2 AS INTEGER) AS solmon,
                CAST(o_totalprice AS {MONEY}) AS solpre, o_orderstatus AS solsts, 2 AS solsta,
-               'PRV-' || (o_custkey % 97) AS solpro
+               CASE WHEN o_custkey % 11 = 3 THEN 'EX-' ELSE 'PRV-' END || (o_custkey % 97) AS solpro
         FROM orders""",
     "b_requests_full": """
         SELECT r.*, i.artdes, i.artmed, i.artgrinv FROM b_requests r LEFT JOIN b_items i ON r.artcitem = i.artcitem""",
@@ -85,7 +109,7 @@ VIEWS = {
                l_returnflag AS soltip,
                CASE WHEN l_linestatus = 'F' AND l_returnflag = 'N' AND l_linenumber = 4 THEN 'EX-' ELSE 'PRV-' END
                    || l_suppkey AS solpro
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
+        FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey""",
     "b_stock": f"""
         SELECT CASE WHEN l_partkey % 50 = 7 THEN 'OLD-' ELSE 'ART-' END || l_partkey AS artcitem,
                any_value(p_name) AS artdes, any_value(p_type) AS artmed, any_value(p_brand) AS artgrinv,
@@ -97,7 +121,7 @@ VIEWS = {
                DATE '1999-06-01' + any_value(p_size + p_size // 40) AS artfuent,
                CASE WHEN any_value(p_size) % 3 <> 1 THEN DATE '2000-01-01' + any_value(p_size) END AS artfusal_1,
                any_value(CAST(p_retailprice AS {MONEY})) AS artcoum1
-        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_partkey, l_suppkey % 3""",
+        FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_partkey, l_suppkey % 3""",
     # bronze
     "z_grupos": "SELECT '  ' || artgrinv || ' ' AS artgrinv, ' ' || nombre AS nombre FROM b_groups",
     "z_proveedores": """
@@ -151,27 +175,19 @@ VIEWS = {
         LEFT JOIN b_requests q ON r.solnum = q.solnum LEFT JOIN b_items i ON r.artcitem = i.artcitem""",
     # gold
     "g_metrics": """
-        SELECT acrecodi AS proveedor_id, count(*) AS total_atenciones, avg(nrcfec - solfec) AS lead_time_promedio_dias,
-               stddev_samp(nrcfec - solfec) AS desviacion_lead_time, sum(solcan) AS volumen_total_suministrado
-        FROM b_receipts JOIN b_suppliers ON solpro = acrecodi
-        WHERE nrcfec IS NOT NULL AND solfec IS NOT NULL GROUP BY acrecodi""",
-    "g_latest": """
-        SELECT * FROM (
-            SELECT *, CAST(date_trunc('month', nrcfec) AS DATE) AS mes,
-                   row_number() OVER (PARTITION BY artcitem, date_trunc('month', nrcfec)
-                       ORDER BY nrcfec DESC NULLS FIRST, nrcnum DESC NULLS FIRST, solnum NULLS FIRST, solord NULLS FIRST,
-                                solcan NULLS FIRST, solpre NULLS FIRST, artstock NULLS FIRST) AS rn
-            FROM b_receipts WHERE nrcfec IS NOT NULL AND artstock IS NOT NULL) WHERE rn = 1""",
+        SELECT proveedor_id, n AS total_atenciones, days / n AS lead_time_promedio_dias,
+               CASE WHEN n > 1 THEN sqrt((n * squares - days * days) / (n * (n - 1))) END AS desviacion_lead_time,
+               volumen_total_suministrado
+        FROM (SELECT solpro AS proveedor_id, count(*) AS n, sum(d)::DOUBLE AS days, sum(d * d)::DOUBLE AS squares,
+                     sum(solcan) AS volumen_total_suministrado
+              FROM (SELECT solpro, solcan, datediff('day', solfec, nrcfec) AS d FROM b_receipts) WHERE d IS NOT NULL GROUP BY 1)
+        WHERE proveedor_id IN (SELECT acrecodi FROM b_suppliers)""",
+    "g_latest": latest_sql("b_receipts"),
+    "g_sums": demand_sql("b_receipts", "g_latest"),
     "g_demand": """
-        SELECT d.artcitem, d.artgrinv, d.grupo_nombre, d.mes AS periodo_mes, d.cantidad AS cantidad_total_despachada,
-               d.frecuencia AS frecuencia_pedidos, d.precio AS precio_promedio_pactado,
-               l.artstock AS ultimo_stock_registrado
-        FROM (SELECT r.artcitem, r.artgrinv, g.nombre AS grupo_nombre, CAST(date_trunc('month', r.nrcfec) AS DATE) AS mes,
-                     sum(r.solcan) AS cantidad, count(DISTINCT r.solnum) AS frecuencia,
-                     CAST(sum(r.solpre) AS DOUBLE) / count(r.solpre) AS precio
-              FROM b_receipts r LEFT JOIN b_groups g ON r.artgrinv = g.artgrinv
-              WHERE r.nrcfec IS NOT NULL GROUP BY ALL) d
-        LEFT JOIN g_latest l ON d.artcitem = l.artcitem AND d.mes = l.mes""",
+        SELECT artcitem, artgrinv, grupo_nombre, mes AS periodo_mes, quantity AS cantidad_total_despachada,
+               requests AS frecuencia_pedidos, price_sum::DOUBLE / n_prices AS precio_promedio_pactado,
+               closing AS ultimo_stock_registrado FROM g_sums""",
     # series and shares
     "s_stock": """
         SELECT CAST(date_trunc('month', nrcfec) AS DATE) AS ds, CAST(sum(artstock) AS DOUBLE) AS y
@@ -179,6 +195,10 @@ VIEWS = {
     "s_group": """
         SELECT artgrinv, CAST(date_trunc('month', nrcfec) AS DATE) AS ds, CAST(sum(artstock) AS DOUBLE) AS y
         FROM b_receipts WHERE nrcfec IS NOT NULL GROUP BY 1, 2""",
+    "s_odd": """
+        SELECT artgrinv, ds, CASE WHEN (right(artgrinv, 1) = '1' AND age < 2) OR right(artgrinv, 1) = '2' THEN NULL
+               WHEN right(artgrinv, 1) = '3' THEN CAST(1000 * age - 2500 AS DOUBLE) ELSE y END AS y
+        FROM (SELECT *, datediff('month', ds, (SELECT max(ds) FROM s_group)) AS age FROM s_group)""",
     "s_item": """
         SELECT artcitem, soltip, CAST(date_trunc('month', nrcfec) AS DATE) AS ds, CAST(sum(artstock) AS DOUBLE) AS y
         FROM b_receipts WHERE nrcfec IS NOT NULL GROUP BY 1, 2, 3""",

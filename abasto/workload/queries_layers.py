@@ -10,9 +10,8 @@ from abasto.operators import keys, lookups
 from abasto.plans import gold, normalized, reports, silver
 from abasto.schemas import struct_of
 from abasto.sources import tables as sources
-from abasto.workload.bindings import monthly_demand
+from abasto.workload.bindings import money, monthly_demand
 from abasto.workload.oracle import MONEY, day_of, decimal_of, integer_of
-from abasto.workload.bindings import monthly_demand
 from abasto.workload.registry import doubles, query
 
 # -- cleaning ----------------------------------------------------------------------------------------------------------
@@ -51,11 +50,15 @@ def clean_numeric(t):
 @query(
     "clean_integer",
     "SELECT event_id, CAST(regexp_replace(props, '[^0-9\\-]', '', 'g') AS INTEGER) AS k, "
-    "CAST(NULLIF(regexp_replace(event_type, '[^0-9\\-]', '', 'g'), '') AS INTEGER) AS none FROM events",
+    "CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 1000 AS INTEGER) END AS some FROM events",
 )
 def clean_integer(t):
+    """Every second text has no digit at all."""
+    mixed = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("N° "), F.col("event_id") % 1000)).otherwise(F.lit("n/a"))
     return t.raw("events").select(
-        "event_id", cleaning.whole_number("props").alias("k"), cleaning.whole_number("event_type").alias("none")
+        "event_id",
+        cleaning.whole_number("props").alias("k"),
+        cleaning.whole_number(mixed).alias("some"),
     )
 
 
@@ -86,21 +89,29 @@ _LENIENT_DAY = "(CASE WHEN o_orderkey % 3 = 0 THEN text || ' ' WHEN o_orderkey %
 @query(
     "clean_lenient",
     f"""
-    SELECT o_orderkey, CAST(TRY_CAST(NULLIF(regexp_replace(o_orderpriority, '[^0-9.\\-]', '', 'g'), '') AS {MONEY}) AS DOUBLE) AS price,
-           TRY_CAST(NULLIF(regexp_replace(o_orderpriority, '[^0-9\\-]', '', 'g'), '') AS INTEGER) AS number,
+    SELECT o_orderkey,
+           CASE WHEN o_orderkey % 5 < 3 THEN CAST(CAST(o_totalprice AS {MONEY}) AS DOUBLE) END AS price,
+           CASE WHEN o_orderkey % 5 < 3 THEN CAST(o_custkey AS INTEGER) END AS number,
            CASE WHEN text = '2023-02-30' THEN NULL ELSE {day_of('trim(text)')} END AS day
-    FROM (SELECT o_orderkey, o_orderpriority, {_LENIENT_DAY} AS text FROM ({_REQUEST_DAY}) JOIN orders USING (o_orderkey))
+    FROM (SELECT o_orderkey, o_totalprice, o_custkey, {_LENIENT_DAY} AS text FROM ({_REQUEST_DAY}) JOIN orders USING (o_orderkey))
     """,
 )
 def clean_lenient(t):
     key = F.col("o_orderkey")
     text = F.when(key % 3 == 0, F.concat("text", F.lit(" "))).when(key % 7 == 1, "2023-02-30").otherwise(F.col("text"))
     days = _request_day(t).withColumn("text", text)
-    rows = days.join(t.raw("orders").select("o_orderkey", "o_orderpriority"), "o_orderkey")
+    rows = days.join(t.raw("orders").select("o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority"), "o_orderkey")
+    good = key % 5 < 3  # the others have a text like 1-URGENT, whose rest 1- is no number
+    rows = rows.withColumns(
+        {
+            "_price": F.when(good, F.concat(F.lit(" S/ "), money(F.col("o_totalprice")))).otherwise(F.col("o_orderpriority")),
+            "_number": F.when(good, F.concat(F.lit("N° "), "o_custkey")).otherwise(F.col("o_orderpriority")),
+        }
+    )
     return rows.select(
         "o_orderkey",
-        cleaning.decimal_number("o_orderpriority", "lenient").alias("price"),
-        cleaning.whole_number("o_orderpriority", "lenient").alias("number"),
+        cleaning.decimal_number("_price", "lenient").alias("price"),
+        cleaning.whole_number("_number", "lenient").alias("number"),
         cleaning.calendar_day("text", "lenient").alias("day"),
     )
 
@@ -214,9 +225,9 @@ def join_latest_stock(t):
 
 @query(
     "fk_null_exists",
-    """SELECT CASE WHEN EXISTS (SELECT 1 FROM b_requests q WHERE q.solnum = r.solnum) THEN r.solnum END AS solnum,
-              CASE WHEN EXISTS (SELECT 1 FROM b_items i WHERE i.artcitem = r.artcitem) THEN r.artcitem END AS artcitem,
-              r.solord, r.nrcfec FROM b_receipts r""",
+    """SELECT nullif(solnum, CASE WHEN solnum NOT IN (SELECT solnum FROM b_requests) THEN solnum END) AS solnum,
+              nullif(artcitem, CASE WHEN artcitem NOT IN (SELECT artcitem FROM b_items) THEN artcitem END) AS artcitem,
+              solord, nrcfec FROM b_receipts""",
 )
 def fk_null_exists(t):
     rows = normalized.receipts_without_id(t.receipts(request_date=False, catalogue=False), t.requests(), t.items())
@@ -225,8 +236,8 @@ def fk_null_exists(t):
 
 @query(
     "fk_null_lookup",
-    """SELECT r.solnum, (SELECT i.artcitem FROM b_items i WHERE i.artcitem = r.artcitem) AS artcitem,
-              (SELECT s.acrecodi FROM b_suppliers s WHERE s.acrecodi = r.solpro) AS solpro FROM b_requests r""",
+    """SELECT solnum, items.artcitem, acrecodi AS solpro FROM b_requests
+       LEFT JOIN (SELECT artcitem FROM b_items) items USING (artcitem) LEFT JOIN b_suppliers ON acrecodi = solpro""",
 )
 def fk_null_lookup(t):
     rows = lookups.known_or_null(t.requests(), t.items(), "artcitem", "artcitem")
@@ -235,12 +246,16 @@ def fk_null_lookup(t):
 
 @query(
     "join_anti",
-    """SELECT r.solnum, r.solord, r.artcitem, r.nrcfec FROM n_receipts r LEFT JOIN b_requests q ON r.solnum = q.solnum
-       WHERE q.solnum IS NULL""",
+    """SELECT solnum, solord, artcitem, nrcfec FROM b_receipts WHERE solnum NOT IN (SELECT solnum FROM b_requests)
+       UNION ALL SELECT solnum, solord, artcitem, nrcfec FROM n_receipts WHERE solnum IS NULL""",
 )
 def join_anti(t):
-    rows = normalized.receipts_without_id(t.receipts(request_date=False, catalogue=False), t.requests(), t.items())
-    return lookups.orphan_rows(rows, t.requests(), "solnum", "solnum").select("solnum", "solord", "artcitem", "nrcfec")
+    """Receipts as recorded have orphan numbers, normalized ones NULLs."""
+    recorded = t.receipts(request_date=False, catalogue=False)
+    normal = normalized.receipts_without_id(recorded, t.requests(), t.items())
+    columns = ["solnum", "solord", "artcitem", "nrcfec"]
+    orphans = [lookups.orphan_rows(rows, t.requests(), "solnum", "solnum").select(*columns) for rows in (recorded, normal)]
+    return orphans[0].unionByName(orphans[1])
 
 
 @query(

@@ -10,6 +10,7 @@ from abasto.plans import silver as silver_plans
 from abasto.schemas import BRONZE
 from abasto.sources.tables import union_all
 from abasto.workload.bindings import monthly_demand
+from abasto.workload.oracle import demand_sql, latest_sql
 from abasto.workload.registry import doubles, query
 
 # -- profiles and duplicates -------------------------------------------------------------------------------------------
@@ -78,9 +79,9 @@ def dup_keys(t):
 
 @query(
     "dup_example_rows",
-    f"""SELECT solnum, solord, artcitem, {doubles("solcan nrdcac solpre")}, nrcfec FROM b_receipts
-        WHERE solnum = (SELECT solnum FROM b_receipts GROUP BY solnum HAVING count(*) > 1
-                        ORDER BY count(*) DESC, solnum LIMIT 1)""",
+    f"""WITH sizes AS (SELECT solnum, count(*) AS n FROM b_receipts GROUP BY solnum)
+        SELECT solnum, solord, artcitem, {doubles("solcan nrdcac solpre")}, nrcfec FROM b_receipts
+        WHERE solnum IN (SELECT min(solnum) FROM sizes WHERE n > 1 AND n >= ALL (SELECT n FROM sizes))""",
 )
 def dup_example_rows(t):
     rows = quality.rows_of_worst_key(t.receipts(False, False), "solnum")
@@ -89,13 +90,13 @@ def dup_example_rows(t):
 
 @query(
     "dup_partial_deliveries",
-    """SELECT artcitem AS solnum, solpro AS artcitem, count(DISTINCT nrdcac) AS quantities FROM b_receipts
-       GROUP BY b_receipts.artcitem, b_receipts.solpro HAVING count(DISTINCT nrdcac) > 1""",
+    """SELECT artcitem, solpro, count(DISTINCT nrdcac) AS quantities FROM b_receipts
+       GROUP BY artcitem, solpro HAVING min(nrdcac) < max(nrdcac)""",
 )
 def dup_partial_deliveries(t):
     """(item, supplier) pairs stand for (request, item) pairs, which hardly repeat in these tables."""
     rows = t.receipts(False, False).select(F.col("artcitem").alias("solnum"), F.col("solpro").alias("artcitem"), "nrdcac")
-    return quality.partial_deliveries(rows)
+    return quality.partial_deliveries(rows).toDF("artcitem", "solpro", "quantities")
 
 
 @query(
@@ -114,15 +115,32 @@ def dup_business_key(t):
 
 @query(
     "dup_full_rows",
-    """SELECT 'recepcion' AS table_name, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
-       FROM (SELECT count(*) AS n FROM b_receipts GROUP BY solnum, artcitem, artdes, artmed, artgrinv, solcan, nrdcac,
-             artstock, solpre, solmon, solurg, solusr, nrcfec, solfec, nrcnum, solord, soltip, solpro)
-       UNION ALL SELECT 'codigos', CAST(coalesce(sum(n - 1), 0) AS BIGINT)
-       FROM (SELECT count(*) AS n FROM b_receipts GROUP BY solpro, nrcfec, solcan)""",
+    """WITH entered AS (SELECT * FROM z_recepcion UNION ALL SELECT * FROM z_recepcion WHERE soltip = 'R' AND solord = '#3'),
+       held AS (SELECT * FROM z_articulos UNION ALL SELECT * FROM z_articulos WHERE trim(ubialm) = '41')
+       SELECT 'recepcion' AS table_name, (SELECT count(*) FROM entered) - count(*) AS duplicate_rows
+       FROM (SELECT DISTINCT * FROM entered)
+       UNION ALL SELECT 'articulos', (SELECT count(*) FROM held) - count(*) FROM (SELECT DISTINCT * FROM held)
+       UNION ALL SELECT 'codigos', (SELECT count(*) FROM b_receipts) - count(*)
+       FROM (SELECT DISTINCT solpro, nrcfec, solcan FROM b_receipts)""",
 )
 def dup_full_rows(t):
+    """Bronze rows of all text columns, some entered twice; ``codigos`` are three columns of receipts."""
     codes = t.receipts(False, False).select("solpro", "nrcfec", "solcan")
-    return quality.full_row_duplicates(t.receipts(), "recepcion").union(quality.full_row_duplicates(codes, "codigos"))
+    entered, held = t.bronze_receipts(), t.bronze_stock()
+    entered = entered.union(entered.filter((F.col("soltip") == "R") & (F.col("solord") == "#3")))
+    held = held.union(held.filter(F.trim("ubialm") == "41"))
+    frames = {"recepcion": entered, "articulos": held, "codigos": codes}
+    return union_all([quality.full_row_duplicates(df, name) for name, df in frames.items()])
+
+
+@query(
+    "dup_stock_example_rows",
+    f"""WITH sizes AS (SELECT artcitem, count(*) AS n FROM b_stock GROUP BY artcitem)
+        SELECT artcitem, ubialm, {doubles("ubistock")}, artfureq FROM b_stock
+        WHERE artcitem IN (SELECT min(artcitem) FROM sizes WHERE n > 1 AND n >= ALL (SELECT n FROM sizes))""",
+)
+def dup_stock_example_rows(t):
+    return quality.rows_of_worst_key(t.stock(catalogue=False), "artcitem").select("artcitem", "ubialm", "ubistock", "artfureq")
 
 
 _UNIQUE_KEYS = [
@@ -249,12 +267,11 @@ def integrity_orphans(t):
 
 @query(
     "orphan_distinct_keys",
-    """SELECT 'items' AS what, k AS key FROM (SELECT DISTINCT r.artcitem AS k FROM b_requests r
-           LEFT JOIN b_items i ON r.artcitem = i.artcitem WHERE i.artcitem IS NULL ORDER BY 1 LIMIT 8)
-       UNION ALL SELECT 'groups', k FROM (SELECT DISTINCT i.artgrinv AS k FROM b_items i
-           LEFT JOIN b_groups g ON i.artgrinv = g.artgrinv WHERE g.artgrinv IS NULL)
-       UNION ALL SELECT 'item count', CAST(count(DISTINCT r.artcitem) AS VARCHAR) FROM b_requests r
-           LEFT JOIN b_items i ON r.artcitem = i.artcitem WHERE i.artcitem IS NULL""",
+    """WITH gone AS (SELECT artcitem FROM b_requests EXCEPT SELECT artcitem FROM b_items),
+       placed AS (SELECT artcitem, row_number() OVER (ORDER BY artcitem) AS place FROM gone)
+       SELECT 'items' AS what, artcitem AS key FROM placed WHERE place <= 8
+       UNION ALL SELECT 'groups', artgrinv FROM (SELECT artgrinv FROM b_items EXCEPT SELECT artgrinv FROM b_groups)
+       UNION ALL SELECT 'item count', CAST(count(*) AS VARCHAR) FROM gone""",
 )
 def orphan_distinct_keys(t):
     requests, items = t.requests(), t.items()
@@ -287,12 +304,12 @@ def norm_null_fks(t):
 
 
 _LAYER_TABLES = {
-    "grupos": ("z_grupos", "artgrinv", "b_groups"),
-    "proveedores": ("z_proveedores", "acrecodi", "b_suppliers"),
-    "maestro_articulos": ("z_maestro_articulos", "artcitem", "b_items"),
-    "solicitudes": ("z_solicitudes", "solnum", "b_requests"),
-    "recepcion": ("z_recepcion", "solnum", "b_receipts"),
-    "articulos": ("z_articulos", "artcitem", "b_stock"),
+    "grupos": ("z_grupos", "artgrinv"),
+    "proveedores": ("z_proveedores", "acrecodi"),
+    "maestro_articulos": ("z_maestro_articulos", "artcitem"),
+    "solicitudes": ("z_solicitudes", "solnum"),
+    "recepcion": ("z_recepcion", "solnum"),
+    "articulos": ("z_articulos", "artcitem"),
 }
 
 
@@ -301,7 +318,7 @@ _LAYER_TABLES = {
     " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, count(*) AS bronze_rows, count(*) FILTER (trim({key}) <> '') AS silver_rows, "
         f"count(*) FILTER (trim({key}) <> '') AS normalized_rows FROM {bronze}"
-        for table, (bronze, key, _) in _LAYER_TABLES.items()
+        for table, (bronze, key) in _LAYER_TABLES.items()
     ),
 )
 def layer_row_counts(t):
@@ -328,20 +345,11 @@ def layer_row_counts(t):
 
 # The stored table of these queries is an older state: late receipts (flag R, line 2) were not in yet, and receipts of
 # supplier users USR-3 stood under a provisional item code.
-_OLDER_STATE = """
-    WITH older AS (SELECT * REPLACE (CASE WHEN solusr = 'USR-3' THEN 'TMP-' || artcitem ELSE artcitem END AS artcitem)
-        FROM b_receipts WHERE NOT (soltip = 'R' AND solord = 2)),
-    older_latest AS (SELECT * FROM (
-        SELECT *, CAST(date_trunc('month', nrcfec) AS DATE) AS mes,
-               row_number() OVER (PARTITION BY artcitem, date_trunc('month', nrcfec)
-                   ORDER BY nrcfec DESC NULLS FIRST, nrcnum DESC NULLS FIRST, solnum NULLS FIRST, solord NULLS FIRST,
-                            solcan NULLS FIRST, solpre NULLS FIRST, artstock NULLS FIRST) AS rn
-        FROM older WHERE nrcfec IS NOT NULL AND artstock IS NOT NULL) WHERE rn = 1),
-    older_demand AS (SELECT d.*, l.artstock FROM (
-        SELECT r.artcitem, r.artgrinv, g.nombre AS grupo_nombre, CAST(date_trunc('month', r.nrcfec) AS DATE) AS periodo_mes,
-               sum(r.solcan) AS cantidad, count(DISTINCT r.solnum) AS frecuencia, sum(r.solpre) AS precio, count(*) AS n
-        FROM older r LEFT JOIN b_groups g ON r.artgrinv = g.artgrinv WHERE r.nrcfec IS NOT NULL GROUP BY ALL) d
-        LEFT JOIN older_latest l ON d.artcitem = l.artcitem AND d.periodo_mes = l.mes),"""
+_OLDER_STATE = f"""
+    WITH older AS (SELECT * REPLACE (CASE solusr WHEN 'USR-3' THEN concat('TMP-', artcitem) ELSE artcitem END AS artcitem)
+        FROM b_receipts WHERE soltip <> 'R' OR solord <> 2),
+    older_latest AS ({latest_sql("older")}),
+    older_sums AS ({demand_sql("older", "older_latest")}),"""
 
 
 def _older_receipts(t, **needs):
@@ -354,17 +362,11 @@ def _older_receipts(t, **needs):
     "reconcile_demand",
     _OLDER_STATE
     + """
-    computed AS (SELECT d.*, l.artstock FROM (
-        SELECT r.artcitem, r.artgrinv, g.nombre AS grupo_nombre, CAST(date_trunc('month', r.nrcfec) AS DATE) AS periodo_mes,
-               sum(r.solcan) AS cantidad, count(DISTINCT r.solnum) AS frecuencia, sum(r.solpre) AS precio, count(*) AS n
-        FROM b_receipts r LEFT JOIN b_groups g ON r.artgrinv = g.artgrinv WHERE r.nrcfec IS NOT NULL GROUP BY ALL) d
-        LEFT JOIN g_latest l ON d.artcitem = l.artcitem AND d.periodo_mes = l.mes),
-    pairs AS (SELECT s.periodo_mes IS NOT NULL AS st, c.periodo_mes IS NOT NULL AS co,
-               s.cantidad IS DISTINCT FROM c.cantidad OR s.frecuencia IS DISTINCT FROM c.frecuencia
-               OR s.precio * c.n IS DISTINCT FROM c.precio * s.n OR s.artstock IS DISTINCT FROM c.artstock AS differ
-        FROM older_demand s FULL OUTER JOIN computed c ON s.artcitem IS NOT DISTINCT FROM c.artcitem
-            AND s.artgrinv IS NOT DISTINCT FROM c.artgrinv AND s.grupo_nombre IS NOT DISTINCT FROM c.grupo_nombre
-            AND s.periodo_mes = c.periodo_mes)
+    pairs AS (SELECT s.mes IS NOT NULL AS st, c.mes IS NOT NULL AS co,
+               (s.quantity, s.requests, s.closing) IS DISTINCT FROM (c.quantity, c.requests, c.closing)
+               OR s.price_sum * c.n_prices IS DISTINCT FROM c.price_sum * s.n_prices AS differ
+        FROM older_sums s FULL OUTER JOIN g_sums c ON (s.artcitem, s.artgrinv, s.grupo_nombre, s.mes)
+            IS NOT DISTINCT FROM (c.artcitem, c.artgrinv, c.grupo_nombre, c.mes))
     SELECT 'gold_total' AS chk, count(*) FILTER (st) AS n FROM pairs
     UNION ALL SELECT 'repro_total', count(*) FILTER (co) FROM pairs
     UNION ALL SELECT 'sin_key', count(*) FILTER (st AND NOT co) FROM pairs
@@ -382,22 +384,23 @@ def reconcile_demand(t):
 
 @query(
     "reconcile_metrics",
-    """WITH stored AS (SELECT acrecodi, count(*) AS n, avg(nrcfec - solfec) AS lead, stddev_samp(nrcfec - solfec) AS dev, sum(solcan) AS vol
-        FROM b_receipts JOIN b_suppliers ON solpro = acrecodi
-        WHERE nrcfec IS NOT NULL AND solfec IS NOT NULL AND NOT (soltip = 'R' AND solord = 2 AND solusr IN ('USR-1', 'USR-2'))
-        GROUP BY acrecodi)
-    SELECT count(s.acrecodi) AS stored, count(c.proveedor_id) AS computed,
-           count(*) FILTER (c.proveedor_id IS NULL) AS missing, count(*) FILTER (s.acrecodi IS NULL) AS extra,
-           count(*) FILTER (s.acrecodi = c.proveedor_id AND (s.n IS DISTINCT FROM c.total_atenciones
-               OR round(s.lead, 4) IS DISTINCT FROM round(c.lead_time_promedio_dias, 4)
-               OR round(s.dev, 4) IS DISTINCT FROM round(c.desviacion_lead_time, 4)
-               OR s.vol IS DISTINCT FROM c.volumen_total_suministrado)) AS different
-    FROM stored s FULL OUTER JOIN g_metrics c ON s.acrecodi = c.proveedor_id""",
+    """WITH timed AS (SELECT solpro, solusr, solcan, nrcfec - solfec AS days, soltip = 'R' AND solord = 2 AS late
+                     FROM b_receipts WHERE solpro IN (SELECT acrecodi FROM b_suppliers) AND nrcfec - solfec IS NOT NULL),
+       stored AS (SELECT solpro, [count(*), sum(days), sum(days * days), sum(solcan)] AS facts FROM timed
+                  WHERE solusr <> 'USR-4' AND NOT (late AND solusr IN ('USR-1', 'USR-2')) GROUP BY solpro),
+       computed AS (SELECT solpro, [count(*), sum(days), sum(days * days), sum(solcan)] AS facts FROM timed
+                    WHERE solusr <> 'USR-5' GROUP BY solpro)
+    SELECT (SELECT count(*) FROM stored) AS stored, (SELECT count(*) FROM computed) AS computed,
+           (SELECT count(*) FROM stored WHERE solpro NOT IN (SELECT solpro FROM computed)) AS missing,
+           (SELECT count(*) FROM computed WHERE solpro NOT IN (SELECT solpro FROM stored)) AS extra,
+           (SELECT count(*) FROM stored s JOIN computed c USING (solpro) WHERE s.facts <> c.facts) AS different""",
 )
 def reconcile_metrics(t):
+    """Stored without some late receipts and without users USR-4; recomputed without users USR-5."""
     late = (F.col("soltip") == "R") & (F.col("solord") == 2) & F.col("solusr").isin("USR-1", "USR-2")
-    stored = gold.supplier_metrics(t.receipts(catalogue=False).filter(~late), t.suppliers())
-    return reconcile.metrics(stored, gold.supplier_metrics(t.receipts(catalogue=False), t.suppliers()), places=4)
+    receipts = t.receipts(catalogue=False)
+    stored = gold.supplier_metrics(receipts.filter(~late & (F.col("solusr") != "USR-4")), t.suppliers())
+    return reconcile.metrics(stored, gold.supplier_metrics(receipts.filter(F.col("solusr") != "USR-5"), t.suppliers()))
 
 
 @query(
@@ -452,8 +455,10 @@ def rep_kpis(t):
 
 @query(
     "rep_items_by_group",
-    """SELECT coalesce(g.nombre, '(sin grupo)') AS grupo, count(DISTINCT i.artcitem) AS cantidad FROM n_items i
-       LEFT JOIN b_groups g ON i.artgrinv = g.artgrinv GROUP BY 1""",
+    """WITH sizes AS (SELECT artgrinv, count(DISTINCT artcitem) AS cantidad FROM b_items GROUP BY artgrinv)
+       SELECT nombre AS grupo, cantidad FROM sizes NATURAL JOIN b_groups
+       UNION ALL SELECT '(sin grupo)', sum(cantidad)::BIGINT FROM sizes WHERE artgrinv NOT IN (SELECT artgrinv FROM b_groups)
+       HAVING count(*) > 0""",
 )
 def rep_items_by_group(t):
     return reports.items_by_group(normalized.items(t.items(), t.groups()), t.groups())
@@ -473,9 +478,11 @@ def rep_requests_monthly(t):
 
 @query(
     "rep_top_items",
-    """SELECT r.artcitem, i.artdes, count(*) AS veces_solicitado, CAST(sum(r.solcan) AS DOUBLE) AS total_cantidad
-       FROM n_requests r LEFT JOIN b_items i ON r.artcitem = i.artcitem WHERE r.artcitem IS NOT NULL
-       GROUP BY 1, 2 ORDER BY 3 DESC, 1 LIMIT 15""",
+    """WITH asked AS (SELECT artcitem, count(*) AS n, sum(solcan) AS total FROM b_requests
+                     WHERE artcitem IN (SELECT artcitem FROM b_items) GROUP BY artcitem),
+       ranked AS (SELECT *, rank() OVER (ORDER BY n DESC, artcitem) AS place FROM asked)
+       SELECT artcitem, artdes, n AS veces_solicitado, total::DOUBLE AS total_cantidad
+       FROM ranked JOIN b_items USING (artcitem) WHERE place <= 15""",
 )
 def rep_top_items(t):
     return reports.top_items(normalized.requests(t.requests(), t.items(), t.suppliers()), t.items())
@@ -495,8 +502,11 @@ def rep_receipts_monthly(t):
 
 @query(
     "rep_top_suppliers",
-    """SELECT acreraso AS proveedor, count(*) AS recepciones, CAST(sum(solcan) AS DOUBLE) AS cantidad_total
-       FROM b_receipts JOIN b_suppliers ON solpro = acrecodi GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10""",
+    """WITH codes AS (SELECT solpro AS acrecodi, count(*) AS n, sum(solcan) AS total FROM b_receipts GROUP BY 1),
+       named AS (SELECT acreraso, sum(n)::BIGINT AS n, sum(total)::DOUBLE AS total FROM codes JOIN b_suppliers USING (acrecodi)
+                 GROUP BY acreraso),
+       ranked AS (SELECT *, rank() OVER (ORDER BY total DESC, acreraso) AS place FROM named)
+       SELECT acreraso AS proveedor, n AS recepciones, total AS cantidad_total FROM ranked WHERE place <= 10""",
 )
 def rep_top_suppliers(t):
     return reports.top_suppliers(t.receipts(False, False), t.suppliers())
@@ -504,9 +514,10 @@ def rep_top_suppliers(t):
 
 @query(
     "rep_top_stock",
-    f"""SELECT s.artcitem, i.artdes, s.ubialm, {doubles("ubistock", "s.")} FROM b_stock s
-        LEFT JOIN b_items i ON s.artcitem = i.artcitem WHERE s.ubistock IS NOT NULL
-        ORDER BY s.ubistock DESC, s.artcitem, s.ubialm LIMIT 20""",
+    f"""WITH ranked AS (SELECT artcitem, ubialm, ubistock, rank() OVER (ORDER BY ubistock DESC, artcitem, ubialm) AS place
+                        FROM b_stock WHERE ubistock >= 0 OR ubistock < 0),
+        names AS (SELECT artcitem, artdes FROM b_items)
+        SELECT artcitem, artdes, ubialm, {doubles("ubistock")} FROM ranked LEFT JOIN names USING (artcitem) WHERE place <= 20""",
 )
 def rep_top_stock(t):
     return reports.top_stock(t.stock(catalogue=False), t.items())
@@ -543,11 +554,13 @@ def rep_price_training_set(t):
 
 @query(
     "rep_recent_receipts",
-    """SELECT CAST(date_trunc('month', f.nrcfec) AS DATE) AS mes, count(DISTINCT f.solnum) AS pedidos,
-              CAST(sum(f.nrdcac) AS DOUBLE) AS recibido,
-              round(CAST(sum(m.artcosu1) AS DOUBLE) / count(m.artcosu1), 4) AS costo_promedio
-       FROM n_receipts f JOIN b_items m ON f.artcitem = m.artcitem WHERE f.nrcfec IS NOT NULL
-       GROUP BY 1 ORDER BY 1 DESC LIMIT 5""",
+    """WITH costs AS (SELECT artcitem, artcosu1 FROM b_items),
+       dated AS (SELECT make_date(year(nrcfec), month(nrcfec), 1) AS mes, solnum, nrdcac, artcosu1
+                 FROM n_receipts JOIN costs USING (artcitem) WHERE nrcfec > DATE '0001-01-01'),
+       placed AS (SELECT *, dense_rank() OVER (ORDER BY mes DESC) AS place FROM dated)
+       SELECT mes, count(DISTINCT solnum) AS pedidos, sum(nrdcac)::DOUBLE AS recibido,
+              round(sum(artcosu1)::DOUBLE / count(artcosu1), 4) AS costo_promedio
+       FROM placed WHERE place <= 5 GROUP BY mes""",
     costo_promedio=4,
 )
 def rep_recent_receipts(t):
@@ -575,9 +588,9 @@ def _line_sql(source: str, series: str = "") -> str:
     group = f"GROUP BY {series}" if series else ""
     joined = f"USING ({series})" if series else "ON true"
     return f"""
-    WITH numbered AS (SELECT *, CAST(row_number() OVER ({over} ORDER BY ds) - 1 AS DOUBLE) AS t
-                      FROM {source} WHERE y IS NOT NULL),
-    fit AS (SELECT {by}count(*) AS n, max(ds) AS last_ds, coalesce(regr_slope(y, t), 0) AS slope,
+    WITH ended AS (SELECT *, max(ds) OVER ({over}) AS month_end FROM {source}),
+    numbered AS (SELECT *, CAST(row_number() OVER ({over} ORDER BY ds) - 1 AS DOUBLE) AS t FROM ended WHERE y IS NOT NULL),
+    fit AS (SELECT {by}count(*) AS n, max(month_end) AS last_ds, coalesce(regr_slope(y, t), 0) AS slope,
                    coalesce(regr_intercept(y, t), max(y)) AS intercept FROM numbered {group}),
     spread AS (SELECT {by}stddev_pop(y - (intercept + slope * t)) AS dev FROM numbered JOIN fit {joined} {group}),
     ahead AS (SELECT {by}step, CAST(last_ds + to_months(CAST(step AS INTEGER)) AS DATE) AS ds,
@@ -585,6 +598,15 @@ def _line_sql(source: str, series: str = "") -> str:
               FROM fit JOIN spread {joined} CROSS JOIN range(1, 7) r(step))"""
 
 
+def _odd_series(t):
+    """Stock by group and month: groups on 1 end with two empty months, on 2 are empty, on 3 fall below zero."""
+    series = reports.stock_monthly(t.receipts(request_date=False), ("artgrinv",))
+    ends = series.agg(F.max("ds")).scalar()
+    digit, age = F.right("artgrinv", F.lit(1)), F.months_between(ends, "ds")
+    y = F.when(((digit == "1") & (age < 2)) | (digit == "2"), None).when(digit == "3", 1000 * age - 2500).otherwise(F.col("y"))
+    return series.withColumn("y", y)
+
+
 @query("fc_requests_linear", _line_sql("s_requests") + " SELECT ds AS mes, CAST(trunc(yhat) AS BIGINT) AS cantidad FROM ahead")
 def fc_requests_linear(t):
     return forecast.request_forecast(reports.request_counts_monthly(t.requests()))
@@ -592,7 +614,7 @@ def fc_requests_linear(t):
 
 @query(
     "fc_linear_trend",
-    _line_sql("s_group", "artgrinv")
+    _line_sql("s_odd", "artgrinv")
     + """ SELECT artgrinv, ds, round(yhat, 2) AS yhat, round(yhat - 1.96 * dev, 2) AS yhat_lower,
           round(yhat + 1.96 * dev, 2) AS yhat_upper FROM ahead""",
     yhat=2,
@@ -600,8 +622,7 @@ def fc_requests_linear(t):
     yhat_upper=2,
 )
 def fc_linear_trend(t):
-    series = reports.stock_monthly(t.receipts(request_date=False), ("artgrinv",))
-    return forecast.linear_trend(series, ["artgrinv"])
+    return forecast.linear_trend(_odd_series(t), ["artgrinv"])
 
 
 @query(
@@ -620,9 +641,10 @@ def _seasonal_sql(source: str, series: str = "", prefix: str = "") -> str:
     joined = f"USING ({series})" if series else "ON true"
     same = f"p.{series} = q.{series} AND" if series else ""
     return f"""
-    WITH {prefix}numbered AS (SELECT *, CAST(row_number() OVER ({over} ORDER BY ds) - 1 AS DOUBLE) AS t
-                      FROM {source} WHERE y IS NOT NULL),
-    {prefix}fit AS (SELECT {by}count(*) AS n, max(ds) AS last_ds, max(ds) - min(ds) >= 730 AS yearly,
+    WITH {prefix}ended AS (SELECT *, max(ds) OVER ({over}) AS month_end FROM {source}),
+    {prefix}numbered AS (SELECT *, CAST(row_number() OVER ({over} ORDER BY ds) - 1 AS DOUBLE) AS t
+                      FROM {prefix}ended WHERE y IS NOT NULL),
+    {prefix}fit AS (SELECT {by}count(*) AS n, max(month_end) AS last_ds, max(ds) - min(ds) >= 730 AS yearly,
                    coalesce(regr_slope(y, t), 0) AS slope, coalesce(regr_intercept(y, t), max(y)) AS intercept
             FROM {prefix}numbered {f"GROUP BY {series}" if series else ""}),
     {prefix}pattern AS (SELECT {by}month(ds) AS m, avg(y - (intercept + slope * t)) AS p
@@ -640,7 +662,7 @@ def _seasonal_sql(source: str, series: str = "", prefix: str = "") -> str:
 
 @query(
     "fc_seasonal_trend",
-    _seasonal_sql("s_group", "artgrinv")
+    _seasonal_sql("s_odd", "artgrinv")
     + """ SELECT artgrinv, ds, round(yhat, 2) AS yhat, round(yhat - band, 2) AS yhat_lower,
           round(yhat + band, 2) AS yhat_upper, is_future FROM curve""",
     yhat=2,
@@ -648,8 +670,7 @@ def _seasonal_sql(source: str, series: str = "", prefix: str = "") -> str:
     yhat_upper=2,
 )
 def fc_seasonal_trend(t):
-    series = reports.stock_monthly(t.receipts(request_date=False), ("artgrinv",))
-    return forecast.seasonal_trend(series, ["artgrinv"])
+    return forecast.seasonal_trend(_odd_series(t), ["artgrinv"])
 
 
 @query(
@@ -716,9 +737,4 @@ def fc_price_forest(t):
 def fc_allocate_top15(t):
     items = normalized.items(t.items(), t.groups())
     receipts = normalized.receipts_without_id(t.receipts(False, False), items=items)
-    return union_all(
-        [
-            outlook.product_outlook(receipts, items, t.groups(), model).select(F.lit(model).alias("model"), "*")
-            for model in ("linear", "seasonal")
-        ]
-    )
+    return outlook.product_outlooks(receipts, items, t.groups(), ("linear", "seasonal"))

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from abasto.plans import build, gold, normalized, outlook, quality, reconcile, reports, silver
+from abasto.plans import build, gold, normalized, outlook, phases, quality, reconcile, reports, silver
 from abasto.schemas import BRONZE, GOLD, NORMALIZED, SILVER, columns_of, struct_of
 from abasto.sources.tables import Warehouse
 
@@ -129,12 +129,12 @@ def test_supplier_metrics_do_not_depend_on_partitions(spark):
 @pytest.mark.parametrize("layer,tables", [("silver", SILVER), ("normalizado", NORMALIZED), ("gold", GOLD)])
 def test_declared_schemas_parse(layer, tables):
     for table in tables:
-        assert len(columns_of(layer, table)) == len(tables[table].split(", "))
+        assert len(columns_of(layer, table)) == len(tables[table])
 
 
 def test_every_silver_column_has_one_rule():
     for table, rules in silver.RULES.items():
-        names = [name for text in rules.values() for name in text.split()]
+        names = [name for text in rules.values() for name in text]
         assert sorted(names) == sorted(columns_of("silver", table))
 
 
@@ -243,3 +243,17 @@ def test_outlook_stays_within_the_total(spark, model):
 def test_unknown_model(spark):
     with pytest.raises(ValueError):
         outlook.coming_months(spark.range(1), "oracle")
+
+
+def test_phases_store_their_findings(spark, bronze, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    expected = {"metricas_prediccion_proveedor": 1, "prediccion_demanda_mensual": 7}
+    verdicts = {r.table_name: r for r in phases.run(warehouse, bronze, str(tmp_path / "f"), expected=expected).collect()}
+    assert verdicts["metricas_prediccion_proveedor"].exact and not verdicts["prediccion_demanda_mensual"].exact
+    found = spark.read.json(f"file:{tmp_path}/f/*/*")
+    rows = {(r.section, r.object, r.metric): r.value for r in found.collect()}
+    assert rows["reconciliation", "metricas_prediccion_proveedor", "different"] == "0"
+    assert rows["row_counts", "recepcion", "silver_rows"] == rows["row_counts", "recepcion", "normalizado_rows"] == "2"
+    assert rows["full_row_duplicates", "recepcion", "duplicate_rows"] == "0"
+    sections = {section for section, _, _ in rows}
+    assert {"profile", "integrity", "constraints", "redundancy", "null_references", "reconciliation"} <= sections
