@@ -34,6 +34,7 @@ from abasto.llm.components import components
 
 SIZE = 5
 BLOCK = 2048  # members of a group that are compared at once
+SMALL = 16  # groups up to this size are compared many at a time
 _BAND = 1.5  # each band's largest set is so many times the one before
 _LEAST_BITS, _MOST_BITS = 64, 1 << 16
 
@@ -210,6 +211,24 @@ def block_pairs(rows: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.nda
     return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
+def pair_distances(sketches: pa.Array, i: np.ndarray, j: np.ndarray, chunk: int = 1 << 20) -> np.ndarray:
+    """Hamming distances of the sketches at places i and j, folded to the narrower one."""
+    ends = np.frombuffer(sketches.buffers()[1], np.int32)[sketches.offset : sketches.offset + len(sketches) + 1]
+    data = np.frombuffer(sketches.buffers()[2] or b"", np.uint8)
+    starts, widths = ends[:-1].astype(np.int64), np.diff(ends).astype(np.int64)
+    distance = np.zeros(len(i), dtype=np.int64)
+    kinds = widths[i] * (1 << 32) + widths[j]
+    for kind in np.unique(kinds).tolist():
+        own = np.flatnonzero(kinds == kind)
+        one, two = kind >> 32, kind & 0xFFFFFFFF
+        step = max(1, chunk // max(one, two))
+        for part in (own[at : at + step] for at in range(0, len(own), step)):
+            left = fold(data[starts[i[part]][:, None] + np.arange(one)], min(one, two))
+            right = fold(data[starts[j[part]][:, None] + np.arange(two)], min(one, two))
+            distance[part] = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+    return distance
+
+
 def nearest(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
     """Of the pairs of each ``a``, the place of the one with the smallest distance."""
     order = np.lexsort((b, distance, a))
@@ -238,6 +257,30 @@ def rest_rows(only_nearest: bool):
             a, b = np.minimum(a, b), np.maximum(a, b)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance)], ["a", "b", "distance"])
 
+    def small(batch: pa.RecordBatch, cell: np.ndarray, wanted: np.ndarray) -> pa.RecordBatch:
+        """The pairs of all wanted small cells of a batch at once."""
+        sid, root, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6))
+        found = [(np.zeros(0, dtype=np.int64),) * 2]
+        for step in range(1, SMALL):
+            i = np.flatnonzero((cell[step:] == cell[:-step]) & wanted[:-step])
+            if not len(i):
+                break
+            j = i + step
+            low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+            keep = (root[i] != root[j]) & (5 * low >= 4 * high)
+            found.append((i[keep], j[keep]))
+        i, j = (np.concatenate(side) for side in zip(*found, strict=True))
+        distance = pair_distances(batch.column(7).cast(pa.binary()), i, j)
+        keep = 9 * distance <= size[i] + size[j]
+        i, j, distance = i[keep], j[keep], distance[keep]
+        if only_nearest:
+            i, j, distance = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([distance, distance])
+            chosen = nearest(i, j, distance)
+            a, b, distance = sid[i[chosen]], sid[j[chosen]], distance[chosen]
+        else:
+            a, b = np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(distance)], ["a", "b", "distance"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         last = None
@@ -246,8 +289,14 @@ def rest_rows(only_nearest: bool):
                 continue
             names = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
             new = np.any([np.diff(column) != 0 for column in names], axis=0)
-            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
-            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            cuts = np.concatenate([[0], np.flatnonzero(new) + 1, [batch.num_rows]])
+            counts = np.diff(cuts)
+            few = (counts <= SMALL) & (names[1][cuts[:-1]] == names[2][cuts[:-1]])
+            few[0] = few[-1] = False  # these may go on in another batch
+            number = np.repeat(np.arange(len(counts)), counts)
+            if few.any():
+                yield small(batch, number, few[number])
+            for start, end in zip(cuts[:-1][~few].tolist(), cuts[1:][~few].tolist(), strict=True):
                 cell = tuple(column[start] for column in names)
                 if held and cell != last:
                     yield pairs(pa.Table.from_batches(held))

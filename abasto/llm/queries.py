@@ -41,7 +41,7 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = op02_substrings.dedup(table(spark, folder, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "spans")
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query
@@ -83,3 +83,52 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
+_WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLES["op2_substrings"] = f"""
+WITH split AS (SELECT doc_id, {_WORDS.format(text="text")} AS words FROM documents),
+windows AS (SELECT doc_id, unnest(range(len(words) - 19)) AS place, words FROM split WHERE len(words) >= 20),
+named AS (SELECT doc_id, place, array_to_string(words[place + 1 : place + 20], ' ') AS window_text FROM windows),
+later AS (SELECT doc_id, place FROM named
+          QUALIFY row_number() OVER (PARTITION BY window_text ORDER BY doc_id, place) > 1),
+gone AS (SELECT DISTINCT doc_id, place + step AS place FROM later CROSS JOIN range(20) steps(step)),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM split),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS rest FROM placed ANTI JOIN gone USING (doc_id, place)
+         GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256 FROM split LEFT JOIN kept USING (doc_id)"""
+
+_REACHED = """
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)"""
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op8_jaccard"] = f"""
+WITH RECURSIVE split AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS words FROM documents),
+starts AS (SELECT doc_id, unnest(range(greatest(len(words) - 4, 1))) AS place, words FROM split WHERE len(words) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[place + 1 : place + 5], ' ') AS shingle FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y USING (shingle)
+           WHERE x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+{_REACHED}
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = d.doc_id"""
+
+ORACLES["op7_covertree"] = f"""
+WITH RECURSIVE given AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+usable AS (SELECT * FROM given WHERE label IS NOT NULL AND len(v) > 0 AND len([x for x in v if x IS NULL OR NOT isfinite(x)]) = 0
+           AND len([x for x in v if x <> 0]) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id < y.vec_id
+              AND len(x.v) = len(y.v)
+          WHERE list_dot_product(x.v, y.v) / sqrt(list_dot_product(x.v, x.v) * list_dot_product(y.v, y.v)) >= 0.93),
+{_REACHED},
+degrees AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+       vec_id <= coalesce(b, vec_id) AS kept
+FROM given LEFT JOIN least ON least.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id"""

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from abasto.llm import op08_jaccard as op
@@ -101,3 +102,35 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7)] + [(200, x) for x in range(201, 260)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert found == {i: 0 for i in range(1, 41)} | {95: 90, 100: 90} | {x: 200 for x in range(201, 260)}
+
+
+@pytest.mark.parametrize("only_nearest", [False, True])
+def test_small_groups_alone_and_large_groups_alone(monkeypatch, only_nearest):
+    """Cells of many sizes, cut into batches at any place; every way of comparing gives the same pairs."""
+    rng, rows = np.random.default_rng(4), []
+    for key in range(40):
+        base = np.unique(rng.integers(0, 1 << 64, 60, dtype=np.uint64))
+        for _ in range(int(rng.choice([2, 3, 5, 20, 40]))):
+            own = np.unique(np.concatenate([base[rng.random(len(base)) > 0.06], rng.integers(0, 1 << 64, 3, dtype=np.uint64)]))
+            rows.append((key, 0, 0, 0, int(rng.integers(1 << 40)), int(rng.integers(3)), len(own), op.bit_sketch(own).tobytes()))
+    names = ["key", "one", "two", "block", "sid", "root", "size", "sketch"]
+    columns = [pa.array(column) for column in zip(*rows, strict=True)]
+    whole, results = pa.RecordBatch.from_arrays(columns, names), []
+    for small, step in ((1, 10_000), (16, 10_000), (16, 37), (10_000, 101)):
+        monkeypatch.setattr(op, "SMALL", small)
+        batches = [whole.slice(at, step) for at in range(0, len(rows), step)]
+        out = pa.Table.from_batches(list(op.rest_rows(only_nearest)(iter(batches))))
+        results.append(sorted(zip(*(out[name].to_pylist() for name in ("a", "b", "distance")), strict=True)))
+    assert results[0] and all(result == results[0] for result in results)
+
+
+def test_pair_distances():
+    rng = np.random.default_rng(2)
+    sketches = [rng.integers(0, 256, size, dtype=np.uint8) for size in (8, 8, 16, 16, 32)]
+    column = pa.array([b"x", *(sketch.tobytes() for sketch in sketches)], pa.binary()).slice(1)
+    i, j = (np.array(side) for side in zip(*[(a, b) for a in range(5) for b in range(5)], strict=True))
+    wanted = []
+    for a, b in zip(i, j, strict=True):
+        width = min(len(sketches[a]), len(sketches[b]))
+        wanted.append(int(np.bitwise_count(op.fold(sketches[a], width) ^ op.fold(sketches[b], width)).sum()))
+    assert op.pair_distances(column, i, j, chunk=40).tolist() == wanted
