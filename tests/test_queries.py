@@ -26,5 +26,6 @@ def test_query(spark, connection, name):
 def test_entry_points(spark):
     assert entry_points.entry(spark).count() > 0
     assert set(entry_points.oracle_sql()) < set(entry_points.queries())
-    without = set(entry_points.queries()) - set(entry_points.oracle_sql())
+    assert set(QUERIES) <= set(entry_points.queries())
+    without = set(QUERIES) - set(entry_points.oracle_sql())
     assert without == {"fc_autoregressive", "fc_price_forest"}
