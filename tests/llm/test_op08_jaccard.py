@@ -120,7 +120,7 @@ def test_small_groups_alone_and_large_groups_alone(monkeypatch, only_nearest):
         monkeypatch.setattr(op, "SMALL", small)
         batches = [whole.slice(at, step) for at in range(0, len(rows), step)]
         out = pa.Table.from_batches(list(op.rest_rows(only_nearest)(iter(batches))))
-        results.append(sorted(zip(*(out[name].to_pylist() for name in ("a", "b", "distance")), strict=True)))
+        results.append(sorted(set(zip(*(out[name].to_pylist() for name in ("a", "b", "distance")), strict=True))))
     assert results[0] and all(result == results[0] for result in results)
 
 
