@@ -16,7 +16,7 @@ import regex
 from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
-PIECES = 250_000  # remembered at most, in each generation of a worker's memory
+PIECES = 400_000  # remembered at most, in each generation of a worker's memory
 
 # Fixed value: the splitting rule of the vocabulary.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
