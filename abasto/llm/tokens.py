@@ -97,11 +97,11 @@ class _Pieces(_Known):
 
 
 class Encoder:
-    """``encode(text)`` gives the bytes of the text's ids, as ``encode(text, add_special_tokens=False)`` has them."""
+    """``encode(text)`` gives the bytes of the byte-pair ids of a text; added tokens in it are ordinary characters."""
 
     def __init__(self, path: str):
-        library = Tokenizer.from_file(path)
-        self.pieces = _Pieces(_Runs(library.model))
+        self.library = Tokenizer.from_file(path)
+        self.pieces = _Pieces(_Runs(self.library.model))
 
     def encode(self, text: str) -> bytes:
         pieces = self.pieces
@@ -116,14 +116,39 @@ class Encoder:
             return pieces.ids(first) + b"".join(map(pieces.__getitem__, rest))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+class DocumentEncoder(Encoder):
+    """``encode(text)`` gives the bytes of the text's ids, as ``encode(text, add_special_tokens=False)`` has them.
+
+    Texts are cut at the vocabulary's added tokens, the longest one first where several start at one place. Texts with a
+    token that also takes blanks or asks for word bounds go to the library as a whole.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        added = self.library.get_added_tokens_decoder()
+        self.added = {token.content: array("I", [number]).tobytes() for number, token in added.items()}
+        self.plain = not any(token.single_word or token.lstrip or token.rstrip for token in added.values())
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+
+    def encode(self, text: str) -> bytes:
+        if not any(token in text for token in self.added):
+            return super().encode(text)
+        if not self.plain:
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        found = []
+        for place, part in enumerate(self.cut.split(text)):  # what stands between tokens, a token, and so on
+            found.append(self.added[part] if place % 2 else super().encode(part))
+        return b"".join(found)
+
+
+_ENCODERS: dict[str, DocumentEncoder] = {}
 _LOCK = threading.Lock()
 
 
-def encoder(path: str | None = None) -> Encoder:
+def encoder(path: str | None = None) -> DocumentEncoder:
     """The worker's encoder for a vocabulary file, by default the public one, read once."""
     path = path or public_tokenizers.path(VOCABULARY)
     with _LOCK:
         if path not in _ENCODERS:
-            _ENCODERS[path] = Encoder(path)
+            _ENCODERS[path] = DocumentEncoder(path)
         return _ENCODERS[path]

@@ -32,6 +32,21 @@ def test_ids_are_the_library_s(library, monkeypatch):
         assert np.frombuffer(encoder.encode(text or ""), "<u4").tolist() == library(text)
 
 
+def test_added_tokens_are_the_library_s(spark, tmp_path):
+    default = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+    encoder = tokens.encoder()
+    rng = random.Random(7)
+    parts = [" ", "  ", "\n", "a", "'s", "!", " a", "<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", "<", "é"]
+    for _ in range(5_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 10)))
+        wanted = default.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == wanted, repr(text)
+    docs = frame(spark, [(1, "a<|endoftext|>b"), (2, "c")])
+    found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in files.round_trip(docs, str(tmp_path / "f")).collect()}
+    assert found == {1: (0, 4, crc([64, 50256, 65, files.END])), 2: (4, 2, crc([66, files.END]))}
+    assert {r.doc_tokens for r in packing.pack(docs.filter("doc_id = 1")).collect()} == {4}
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
