@@ -6,7 +6,8 @@ browsers do it. Invisible are the head, scripts, styles, templates and other non
 attribute, hidden inputs, closed details but for their summary, and the inline styles ``display:none`` and
 ``visibility:hidden`` (a descendant may set ``visibility:visible``). Paragraph-like blocks stand apart by an empty line,
 other blocks by a line end; white space collapses outside ``pre``. List items carry bullets or numbers and are indented
-by nesting; table cells are padded to the width of their column.
+by nesting; table cells are padded to the width of their column. What stands in a table outside its cells and caption is
+moved in front of the table. Formulas and the text of drawings are shown.
 
 Null html: null text. Empty html: empty text. Null or repeated ``page_id``: each row is rendered on its own. Empty table:
 no rows. Other columns are not read.
@@ -31,7 +32,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 HEAD = frozenset("base link meta script style title template noscript".split())
 UNSEEN = frozenset(
-    "head script style template title noscript noembed noframes iframe object audio video canvas svg math datalist "
+    "head script style template title noscript noembed noframes iframe object audio video canvas datalist "
     "area param source track map embed".split()
 )
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir table pre blockquote figure fieldset hr xmp".split())
@@ -42,6 +43,14 @@ BLOCK = APART | frozenset(
 CLOSES_P = (BLOCK - {"html", "body", "option", "optgroup", "legend", "caption"}) | {"hr"}
 LISTS = frozenset("ul ol menu dir".split())
 ROWS = frozenset("tbody thead tfoot".split())
+BETWEEN = ROWS | {"table", "tr"}
+IN_TABLE = ROWS | {"tr", "td", "th", "caption", "colgroup", "col"}
+FOREIGN = {  # elements of formulas and drawings that do not show
+    "svg": frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+HTML_IN_FOREIGN = frozenset("foreignobject desc annotation-xml".split())
+PARTS = frozenset("mfrac msub msup msubsup mroot munder mover munderover mmultiscripts mtr".split())
 SCOPE = frozenset("table td th caption template button html".split())
 
 _TOKEN = re.compile(
@@ -76,6 +85,7 @@ class Builder:
         self.root = Node("html")
         self.open = [self.root]
         self.in_head = True
+        self.foreign = False  # whether the page has had a formula or drawing
 
     def _close(self, names: frozenset[str] | set[str], barrier: frozenset[str] | set[str]) -> bool:
         """Close up to the nearest open element of these names, unless a barrier stands before it."""
@@ -95,14 +105,36 @@ class Builder:
         self.open.append(node)
 
     def text(self, value: str) -> None:
+        if self.open[-1].name == "colgroup" and not value.isspace():
+            self.open.pop()
         top = self.open[-1]
-        if top.name in ("table", "tr", *ROWS) and not value.isspace():
+        if top.name in BETWEEN and not value.isspace():
             self._before_table(value)
         else:
             top.children.append(value)
 
-    def _before_table(self, value: str) -> None:
-        """Text that stands between cells belongs in front of the table."""
+    def _table_context(self) -> int:
+        """The place of the open table, row group or row whose cells have all ended, 0 where there is none."""
+        for place in range(len(self.open) - 1, 0, -1):
+            name = self.open[place].name
+            if name in BETWEEN:
+                return place
+            if name in ("td", "th", "caption", "template"):
+                break
+        return 0
+
+    def _foreign(self) -> str | None:
+        """The formula or drawing that the next element is a part of."""
+        for place in range(len(self.open) - 1, 0, -1):
+            name = self.open[place].name
+            if name in FOREIGN:
+                return name
+            if name in HTML_IN_FOREIGN:
+                break
+        return None
+
+    def _before_table(self, value: str | Node) -> None:
+        """What stands between cells belongs in front of the table."""
         for place in range(len(self.open) - 1, 0, -1):
             if self.open[place].name == "table":
                 siblings = self.open[place - 1].children
@@ -113,15 +145,22 @@ class Builder:
                 return
         self.open[-1].children.append(value)
 
-    def start(self, name: str, attributes: str) -> None:
+    def start(self, name: str, attributes: str) -> bool:
+        """Whether the element stays open."""
         if name in ("html", "body", "head"):
             if name == "head" and self.in_head:
                 self._push(Node("head"))
             elif name == "body":
                 self._leave_head()
-            return
+            return True
         if self.in_head and name not in HEAD:
             self._leave_head()
+        if name in IN_TABLE and (place := self._table_context()):
+            del self.open[place + 1 :]
+        elif name == "table" and self._table_context():
+            self.end("table")
+        elif self.open[-1].name == "colgroup" and name != "template":
+            self.open.pop()
         if name in CLOSES_P:
             self._close({"p"}, SCOPE)
         if name == "li":
@@ -143,10 +182,24 @@ class Builder:
         elif name == "a":
             self._close({"a"}, SCOPE | BLOCK)
         node = Node(name, attributes)
-        if name in VOID:
+        foreign = self._foreign() if self.foreign else None
+        self.foreign = self.foreign or name in FOREIGN
+        if foreign and name in FOREIGN[foreign]:
+            node.attributes += " hidden"
+        closed = name in VOID or (attributes.endswith("/") and (foreign is not None or name in FOREIGN))
+        if self.open[-1].name in BETWEEN and name not in IN_TABLE | {"script", "style", "template"}:
+            if name == "form":  # the standard leaves it empty
+                closed = True
+            self._before_table(node)
+            if not closed:
+                if len(self.open) >= DEPTH:
+                    self.open.pop()
+                self.open.append(node)
+        elif closed:
             self.open[-1].children.append(node)
         else:
             self._push(node)
+        return not closed
 
     def _leave_head(self) -> None:
         self._close({"head"}, frozenset())
@@ -201,8 +254,7 @@ def tree(source: str) -> Node:
         if match[1]:
             builder.end(name)
             continue
-        builder.start(name, match[3])
-        if name in RAW:
+        if builder.start(name, match[3]) and name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
             stop = close.start() if close else size
             value = source[at:stop]
@@ -302,6 +354,8 @@ def seen(node: Node, visible: bool) -> bool | None:
 
 def render(node: Node, page: Page, visible: bool = True, exact: bool = False) -> None:
     for child in node.children:
+        if node.name in PARTS:  # parts of a formula stand apart
+            page.words(" ")
         if isinstance(child, str):
             if visible:
                 page.exact(child) if exact else page.words(child)
@@ -343,7 +397,7 @@ def render(node: Node, page: Page, visible: bool = True, exact: bool = False) ->
             one = Node("ul")
             one.children = [child]
             list_items(one, page, shows)
-        elif name in BLOCK or name in ("td", "th", "tr", *ROWS):
+        elif name in BLOCK or name in ("td", "th", "tr", *ROWS, "text", "foreignobject", "mtr"):
             lines = 2 if name in APART else 1
             page.apart(lines)
             if name == "pre" and child.children and isinstance(child.children[0], str):
@@ -429,6 +483,10 @@ def table_lines(node: Node, visible: bool) -> list[str]:
                 inner = Page()
                 render(child, inner, own)
                 lines.extend(inner.done())
+            else:  # of a page deeper than DEPTH
+                alone = Node("tr")
+                alone.children = [child]
+                row(alone, shows)
 
     walk(node, visible)
     widths: dict[int, int] = {}

@@ -45,6 +45,35 @@ def test_cases(source):
         assert got == wanted
 
 
+MOVED = {
+    "<table><form><tr><td>x</td></tr></form></table>y": "x\n\ny",
+    "<table><div>x</div><tr><td>in</table>": "x\n\nin",
+    "<table><tbody><b>x</b><tr><td>in</tbody></table>": "x\n\nin",
+    "<table><tr><b>x</b>y<td>in</table>": "xy\n\nin",
+    "<table><div>x<tr><td>in<td>to</table>": "x\n\nin  to",
+    "<table><colgroup><col><tr><td>in</table>": "in",
+    "<table><colgroup>x<tr><td>in</table>": "x\n\nin",
+    "<table><tr><td>a<table><tr><td>b</table></table>": "a\n\nb",
+    "<table><table><tr><td>b</table>c": "b\n\nc",
+    "<table><input value=v><input type=hidden value=no><script>no</script><tr><td>in</table>": "v\n\nin",
+    "a <svg><title>no</title><defs><text>no</text></defs><path d='x'/><text>One</text><text>Two</text></svg> b": "a\nOne\nTwo\nb",
+    "a <svg><title/><style/></svg> b": "a b",
+    "<math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation>no</annotation></semantics></math>": "x= 1 2",
+    "<metadata>yes</metadata>": "yes",
+}
+
+
+@pytest.mark.parametrize("source", list(MOVED))
+def test_text_outside_cells_and_in_drawings_is_kept(source):
+    assert op.to_text(source) == MOVED[source]
+
+
+def test_deep_tables_keep_their_text():
+    for depth in range(op.DEPTH - 8, op.DEPTH + 2):
+        source = "<div>" * depth + "<table><tr><td>x<div>y</div></td><td>z</td></tr><b>w</b><iframe>no</iframe></table>"
+        assert sorted("".join(op.to_text(source).split())) == ["w", "x", "y", "z"], depth
+
+
 def test_all_visible_words_come_out_in_order():
     """Random well-formed pages: the words are those of the visible text nodes, whatever the layout."""
     rng = random.Random(1)
