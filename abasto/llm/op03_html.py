@@ -53,12 +53,9 @@ HTML_IN_FOREIGN = frozenset("foreignobject desc annotation-xml".split())
 PARTS = frozenset("mfrac msub msup msubsup mroot munder mover munderover mmultiscripts mtr".split())
 SCOPE = frozenset("table td th caption template button html".split())
 
-_TOKEN = re.compile(
-    r"""<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|</[^A-Za-z>][^>]*(?:>|\Z)|</>"""
-    r"""|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""",
-    re.DOTALL,
-)
-_LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)")
+_SKIPPED = re.compile(r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|</(?:[^A-Za-z>][^>]*)?(?:>|\Z)", re.DOTALL)
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
@@ -225,9 +222,35 @@ class Builder:
             self._close({name}, SCOPE - {name})
 
 
+class Tags:
+    """Finds the ends of tags, in time linear in the page.
+
+    A ``>`` between quotes does not end a tag. Where a quote of the tag never ends, its next ``>`` does; the quotes on such
+    a way are remembered, for every later tag that comes to one of them has the same rest of the way.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.lost = source, set()
+
+    def end(self, at: int) -> int:
+        """The place of the sign that ends the tag, or the end of the page."""
+        source, start, way = self.source, at, []
+        while match := _STOP.search(source, at):
+            if match[0] == ">":
+                return match.start()
+            way.append(match.start())
+            close = -1 if match.start() in self.lost else source.find(match[0], match.end())
+            if close < 0:
+                self.lost.update(way)
+                first = source.find(">", start)
+                return first if first >= 0 else len(source)
+            at = close + 1
+        return len(source)
+
+
 def tree(source: str) -> Node:
     """The element tree of a page."""
-    builder, at, size, failed = Builder(), 0, len(source), 0
+    builder, at, size, tags = Builder(), 0, len(source), Tags(source)
     while at < size:
         less = source.find("<", at)
         if less < 0:
@@ -239,22 +262,21 @@ def tree(source: str) -> Node:
             builder.text(html.unescape(value) if "&" in value else value)
         if less == size:
             break
-        match = _TOKEN.match(source, less) if failed < 50 else None
-        if match is None:  # a quote that never ends: the tag ends at the next sign; after many, no more full looks
-            failed += 1
-            match = _LOOSE.match(source, less)
+        if match := _SKIPPED.match(source, less):
+            at = match.end()
+            continue
+        match = _TAG.match(source, less)
         if match is None:  # a lone sign
             builder.text("<")
             at = less + 1
             continue
-        at = match.end()
-        if match[2] is None:
-            continue
+        stop = tags.end(match.end())
+        at = min(stop + 1, size)
         name = match[2].lower()
         if match[1]:
             builder.end(name)
             continue
-        if builder.start(name, match[3]) and name in RAW:
+        if builder.start(name, source[match.end() : stop]) and name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
             stop = close.start() if close else size
             value = source[at:stop]

@@ -107,6 +107,20 @@ def test_all_visible_words_come_out_in_order():
         assert got == wanted, page
 
 
+def test_long_pages_are_read_by_the_same_rules():
+    end = '<!-- <p>old</p> --><a href="x>y">l</a>'
+    assert op.to_text("a < b <br>" * 60 + end) == "a < b\n" * 60 + "l"
+    unclosed = "<i ' title=never>x</i> "  # no later tag has such a quote, so it never ends
+    assert op.to_text(unclosed.replace(" '", " ''") * 60 + unclosed * 1 + end) == "x " * 61 + "l"
+    assert op.to_text('<p>a</p>' * 60 + end + "<b '>c</b>" + end) == "a\n\n" * 60 + "lcl"
+
+
+def test_many_quotes_that_never_end():
+    for source in ("<a '>'" * 30_001, "<a '>' " * 30_000 + "'", "<a b='>' \"" + "<a c='>' d='" * 30_000, "<a 'x>" + "<!-- <p>no</p> -->b" * 5):
+        op.to_text(source)
+    assert op.to_text("<a 'x>" + "<!-- <p>no</p> -->b" * 60) == "b" * 60
+
+
 def test_odd_pages_end_soon():
     for source in ('<a ">' * 20_001, "<table>" + "x<tr>" * 20_000, "<" * 50_000, "<!--" * 20_000, "<td>" * 9_000 + "y",
                    "<div>" * 50_000 + "x", "<table>" * 2_000 + "x", "<ul><li>" * 3_000 + "x", "<script>" * 9_000):
