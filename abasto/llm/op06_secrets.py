@@ -3,8 +3,8 @@
 Kinds, in order: ``assign``, ``access``, ``hex`` (see the fixed patterns), ``entropy``. The last one looks at candidate
 strings of at least ``WINDOW`` characters. In every run of one character class a window slides with incremental counts;
 where its Shannon entropy reaches the class's bound, its characters are part of a span, and spans that touch are one.
-Strings on the allow-list (identifiers in UUID form, links, runs of few or consecutive characters, words that mark
-samples) and spans inside a span of the patterns are left out.
+Strings on the allow-list (identifiers in UUID form, host and path of links, runs of few or consecutive characters, words
+that mark samples) and spans inside a span of the patterns are left out.
 
 Places are code points, ends exclusive. Null text: empty. Any ``doc_id`` is handed on, repeated rows too. Empty table: no
 rows. Other columns are not read by ``scan``; ``redact`` keeps them.
@@ -46,6 +46,9 @@ ALLOWED = re.compile(
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|.*(example|sample|placeholder|dummy|changeme|your[_-]).*",
     re.IGNORECASE | re.DOTALL,
 )
+# A link behind its scheme: to the first character that no link holds as such, and therein user, host with path.
+LINK = re.compile(r"""://[^\s"'`<>(){}\[\]|\\^,;]*""")
+_PLACE = re.compile(r"://([^/?#&@]*(?:@[^/?#&@]*)*@)?[^?#&]*")
 _PART = [0.0, *(count * math.log2(count) for count in range(1, WINDOW + 1))]
 
 
@@ -71,12 +74,19 @@ def window_spans(text: str, bound: float, window: int = WINDOW) -> list[tuple[in
     return spans
 
 
-def allowed(candidate: str, before: str) -> bool:
-    """Whether a candidate is no secret for sure; ``before`` is what stands in front of it up to a blank."""
+def link_places(text: str) -> Iterator[tuple[int, int]]:
+    """Host and path of every link, in order. User names, passwords, queries and fragments may hold secrets."""
+    if "://" in text:
+        for link in LINK.finditer(text):
+            place = _PLACE.match(text, link.start(), link.end())
+            yield (place.start() if place[1] is None else place.end(1)), place.end()
+
+
+def allowed(candidate: str) -> bool:
+    """Whether a candidate is no secret for sure, whatever stands around it."""
     steps = sum(abs(ord(b) - ord(a)) <= 1 for a, b in zip(candidate, candidate[1:], strict=False))
     return (
-        "://" in before[-300:] + candidate[:2]
-        or bool(ALLOWED.fullmatch(candidate))
+        bool(ALLOWED.fullmatch(candidate))
         or len(set(candidate)) < 8
         or 2 * steps > len(candidate)
         or not (re.search("[0-9]", candidate) and re.search("[A-Za-z]", candidate))
@@ -99,12 +109,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of what only the entropy shows."""
     spans: list[tuple[int, int]] = []
+    places = link_places(text)
+    place = next(places, None)
     for candidate in CANDIDATE.finditer(text):
-        if candidate[0].isalpha():
-            continue
         start = candidate.start()
-        before = text[max(0, start - 300) : start].rsplit(None, 1)[-1:] if start and not text[start - 1].isspace() else []
-        if allowed(candidate[0], "".join(before)):
+        while place and place[1] <= start:
+            place = next(places, None)
+        if candidate[0].isalpha() or (place and place[0] <= start and candidate.end() <= place[1]):
+            continue
+        if allowed(candidate[0]):
             continue
         for kind, bound in CLASSES:
             for run in kind.finditer(candidate[0]):

@@ -74,6 +74,19 @@ def test_what_entropy_adds_and_what_is_allowed():
         assert spans(text) == []
 
 
+def test_links_end_where_no_link_goes_on():
+    secret, path = "sK9xQ2mP7vL4tR8wZ1nB6cY3", "pQ7zT3vX9mK2rL8wB5nD1cF6"
+    for text in (
+        f'{{"url":"https://a.b","key":"{secret}"}}', f"https://a.b,{secret}", f"jdbc:x://host;key:{secret}", f"(http://a.b){secret}",
+        f"https://a.b/c?k={secret}", f"https://a.b/{path}?{secret}", f"https://a.b/{path}#{secret}", f"https://a.b&{secret}",
+        f"https://{secret}@a.b/{path}", f"https://user:{secret}@a.b/{path}", f"https://u:{secret}@x@a.b/{path}",
+    ):
+        found = spans(text)
+        assert len(found) == 1 and secret in found[0], text
+    for text in (f"https://a.b/{path}", f"https://a.b/{'c.' * 400}/{path}", f"see=https://a.b/@c/{path}.html", f"//x https://{path}/"):
+        assert spans(text) == [], text
+
+
 def test_redact_and_odd_rows(spark):
     rows = [(None, "token=abcdefabcdef12"), (4, "a deadbeefdeadbeef12 b"), (4, "clean"), (5, None), (6, "")]
     df = frame(spark, rows).drop("n_chars").selectExpr("*", "CAST(length(text) AS bigint) AS n_chars", "1 AS clean", "2 AS row")
