@@ -19,6 +19,8 @@ from abasto.llm import (
     op09_token_files,
 )
 from abasto.llm import op10_quality as quality
+from abasto.llm import op12_filter_audit as filter_audit
+from abasto.llm import op13_quality_rules as quality_rules
 from abasto.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +87,19 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
 
 
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES["op2_substrings"] = f"""
@@ -132,3 +147,70 @@ degrees AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
        vec_id <= coalesce(b, vec_id) AS kept
 FROM given LEFT JOIN least ON least.a = vec_id LEFT JOIN degrees ON degrees.a = vec_id"""
+
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLES["op12_filter_audit"] = f"""
+WITH given AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+split AS (SELECT *, {_WORDS.format(text="t")} AS words FROM given),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels
+          WHERE doc_id IS NOT NULL GROUP BY doc_id),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM given GROUP BY t),
+judged AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                  list_concat(CASE WHEN len(words) < 50 THEN ['A'] ELSE [] END,
+                              CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN ['B'] ELSE [] END,
+                              CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN ['C'] ELSE [] END,
+                              CASE WHEN regexp_matches(t, '[#$%&*|]') THEN ['D'] ELSE [] END,
+                              CASE WHEN doc_id > first_id THEN ['E'] ELSE [] END) AS fails
+           FROM split JOIN firsts USING (t) LEFT JOIN known USING (doc_id)),
+counted AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, s AS step, o[s] AS f, o[1 : s - 1] AS before FROM orders, range(1, 6) r(s)),
+results AS (
+    SELECT part, o, step, f,
+           coalesce(sum(n) FILTER (NOT list_contains(fails, f) AND NOT list_has_any(fails, before)), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, before)), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (list_contains(fails, f) AND list_has_any(fails, before)), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (fails = [f]), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, before)), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, before)), 0)::BIGINT AS toxic_lost
+    FROM counted, steps GROUP BY part, o, step, f)
+SELECT part, array_to_string(o, '') AS filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost,
+       toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM results"""
+
+
+def _shares(rules: list[quality_rules.Rule]) -> str:
+    """SQL that is true where a row breaks none of the rules."""
+    tests = []
+    for rule in rules:
+        value, whole = (rule.measure, "1") if rule.of is None else (f"100 * {rule.measure}", rule.of)
+        bounds = [f"{value} >= {rule.low} * {whole}"] * (rule.low is not None)
+        bounds += [f"{value} <= {rule.high} * {whole}"] * (rule.high is not None)
+        tests.append(f"({' AND '.join(bounds)})" if rule.of is None else f"({whole} = 0 OR {' AND '.join(bounds)})")
+    return " AND ".join(tests)
+
+
+_STOP_WORDS = ", ".join(sorted({f"'{word}'" for words in quality_rules.STOP_WORDS.values() for word in words.split()}))
+
+ORACLES["op13_quality_rules"] = f"""
+WITH given AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+split AS (SELECT *, {_WORDS.format(text="t")} AS words,
+                 [x FOR x IN string_split(t, chr(10)) IF translate(x, {_BLANKS}, '') <> ''] AS lines FROM given),
+starts AS (SELECT r, unnest(range(len(words) - 2)) AS place, words FROM split WHERE len(words) > 2),
+windows AS (SELECT r, place, words[place + 1 : place + 3] AS w FROM starts),
+twice AS (SELECT r, place FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
+covered AS (SELECT r, count(DISTINCT place + step) AS n FROM twice, range(3) s(step) GROUP BY r),
+measured AS (
+    SELECT r, doc_id, len(words) AS n_words, coalesce(list_sum([length(x) FOR x IN words]), 0)::BIGINT AS word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+           len([x FOR x IN words IF regexp_matches(x, '\\p{{L}}')]) AS n_letter_words,
+           len([x FOR x IN words IF lower(trim(x, '.,;:!?()"' || chr(39))) IN ({_STOP_WORDS})]) AS n_stop_words,
+           len([x FOR x IN lines IF regexp_matches(ltrim(x), '^[-*•]')]) AS n_bullet_lines,
+           len([x FOR x IN lines IF regexp_matches(rtrim(x), '([.][.][.]|…)$')]) AS n_cut_lines
+    FROM split LEFT JOIN covered USING (r)),
+judged AS (SELECT *, NOT ({_shares(quality_rules.BASE)}) AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {_shares(quality_rules.RULES)} AS kept FROM judged"""
