@@ -17,8 +17,8 @@ columns are not read.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right, insort
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +38,12 @@ SCHEMA = (
 )
 
 
-def closest(capacity: int, lengths: list[int], counts: dict[int, int]) -> dict[int, int]:
-    """How many pieces of which length sum closest to ``capacity`` from below. ``lengths`` descend."""
+def closest(capacity: int, lengths: Iterable[int], count: Callable[[int], int]) -> dict[int, int]:
+    """How many pieces of which length sum closest to ``capacity`` from below. ``lengths`` descend; ``count`` says how many
+    there are of each."""
     reach, layers, target, within = 1, [], 1 << capacity, (1 << (capacity + 1)) - 1
     for length in lengths:
-        left, step = min(counts[length], capacity // length), 1
+        left, step = min(count(length), capacity // length), 1
         while left > 0:
             take = min(step, left)
             more = (reach | (reach << (length * take))) & within
@@ -64,43 +65,50 @@ class Pool:
     def __init__(self, window: int):
         self.window, self.total = window, 0
         self.by_length: dict[int, list[tuple]] = {}
+        self.lengths: list[int] = []  # ascending
 
     def add(self, piece: tuple) -> None:
-        self.by_length.setdefault(len(piece[2]) // 4, []).append(piece)
-        self.total += len(piece[2]) // 4
+        length = len(piece[2]) // 4
+        if length not in self.by_length:
+            self.by_length[length] = []
+            insort(self.lengths, length)
+        self.by_length[length].append(piece)
+        self.total += length
 
     def _take(self, length: int) -> tuple:
         pieces = self.by_length[length]
         piece = pieces.pop()
         if not pieces:
             del self.by_length[length]
+            del self.lengths[bisect_left(self.lengths, length)]
         self.total -= length
         return piece
 
+    def _left(self, length: int, opening: int) -> int:
+        """Pieces of a length beside the one that opens the window."""
+        return len(self.by_length[length]) - (length == opening)
+
     def windows(self, last: bool) -> Iterator[list[tuple]]:
         """Full windows; with ``last``, what is left too, in windows of a power of two."""
         while self.total >= self.window:
-            lengths = sorted(self.by_length, reverse=True)
-            longest = lengths[0]
-            counts = {length: len(pieces) for length, pieces in self.by_length.items()}
-            counts[longest] -= 1
+            longest = self.lengths[-1]
             room = self.window - longest
-            below = lengths[len(lengths) - bisect_right(lengths[::-1], room) :]
-            used = closest(room, below, counts) if room else {}
+            fitting = range(bisect_right(self.lengths, room) - 1, -1, -1)
+            used = closest(room, map(self.lengths.__getitem__, fitting), lambda n: self._left(n, longest)) if room else {}
             used[longest] = used.get(longest, 0) + 1
             slack = self.window - sum(length * count for length, count in used.items())
             times = min(len(self.by_length[length]) // count for length, count in used.items())
             for _ in range(1 if slack else times):
                 chosen = [self._take(length) for length, count in used.items() for _ in range(count)]
                 if slack:  # more than a window is left, none of the rest fits: each piece is longer than the slack
-                    doc, start, ids, size = self._take(min(self.by_length))
+                    doc, start, ids, size = self._take(self.lengths[0])
                     chosen.append((doc, start, ids[: 4 * slack], size))
                     self.add((doc, start + slack, ids[4 * slack :], size))
                 yield chosen
         while last and self.total:
             room, chosen = 1 << (self.total.bit_length() - 1), []
             while room:
-                doc, start, ids, size = self._take(max(self.by_length))
+                doc, start, ids, size = self._take(self.lengths[-1])
                 chosen.append((doc, start, ids[: 4 * room], size))
                 if len(ids) > 4 * room:
                     self.add((doc, start + room, ids[4 * room :], size))
@@ -135,7 +143,7 @@ def pack_partition(path: str | None = None, end: int = END, window: int = WINDOW
         for batch in batches:
             texts = batch.column(1)
             for row, doc in enumerate(batch.column(0).to_pylist()):
-                ids = encode(texts[row].as_py() or "") + tail
+                ids = encode(texts[row].as_py() or "").tobytes() + tail
                 size = len(ids) // 4
                 whole = size // window * window
                 for start in range(0, whole, window):

@@ -5,8 +5,8 @@ of whole documents. A segment row has its place (``part``, ``segment``), its doc
 coded bytes (see ``rans``); Spark writes the rows, so a lost executor's half-written files never count. ``read`` decodes
 segments in parallel.
 
-Null text: only the end id. Null ``doc_id``: first in the order. Repeated ``doc_id``: every row is kept, order among
-them free. Empty table: no segment, no row. Other columns are not read.
+Null text: only the end id. Null ``doc_id``: first in the order. Repeated ``doc_id``: every row is kept, in the order of the
+texts' hashes, so a rerun gives the same places, and different texts of one id (or of none) are spread over tasks. Empty table: no segment, no row. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ def encode_partition(path: str | None = None, end: int = END, size: int = SEGMEN
         for batch in batches:
             texts = batch.column(1)
             for row, doc in enumerate(batch.column(0).to_pylist()):
-                coded = encode(texts[row].as_py() or "") + tail
+                coded = encode(texts[row].as_py() or "").tobytes() + tail
                 ids.append(coded)
                 docs.append(doc)
                 lengths.append(len(coded) // 4)
@@ -97,7 +97,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end: int
     """Encode documents and write the segments, ascending by ``doc_id`` over parts and segments."""
     prepare(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     ordered.mapInArrow(encode_partition(vocabulary, end), SEGMENTS).write.option("compression", "none").parquet(folder)
 
 

@@ -1,32 +1,34 @@
-"""Token ids of a public byte-level BPE vocabulary, by the tokenizers library, with a bounded memory of known pieces.
+"""Token ids of public vocabularies.
 
-The vocabulary's own splitting rule never joins what stands before a single blank to the word behind it. So a text
-can be cut before such blanks, and every piece has the same ids wherever it stands: each worker asks the library once
-for a piece and remembers the ids.
+``Encoder`` reads a vocabulary file of the tokenizers library. Where the file is a plain byte-level BPE (ids in the order
+of the merges, the usual splitting rule, no normalizer), tiktoken does the merging, which takes a fifth of the library's
+time; any other file is left to the library. Ids are those of the library either way (tests compare them, on every code
+point among others).
+
+``PieceEncoder`` reads a sentencepiece model.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import threading
-from array import array
 
+import numpy as np
 import public_tokenizers
-import regex
+import sentencepiece
+import tiktoken
 from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
-PIECES = 400_000  # remembered at most, in each generation of a worker's memory
+PIECES = "piece_bpe_32k.model"
 
-# Fixed value: the splitting rule of the vocabulary.
-_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# A blank before a character that no rule takes for white space, a control or a joiner.
-_CUT = re.compile("\x20(?=[^\\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿])")
-_ODD = re.compile("[\\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]")
-_MARKS = ".,;:!?*%&$#|()[]"  # neither letters, digits, blanks nor quotes
+# Fixed value: the splitting rule of byte-level vocabularies.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SPACE = "▁"  # stands for a blank in sentencepiece vocabularies
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in the vocabulary: itself if it prints, else one from 256 on."""
     prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     letters = {byte: chr(byte) for byte in prints}
@@ -35,120 +37,119 @@ def _byte_letters() -> dict[int, str]:
     return letters
 
 
-class _Uncut(Exception):
-    """The text has blanks before white space: cut it the careful way."""
-
-
-class _Known(dict):
-    """Ids, as little-endian unsigned 32-bit bytes, in two generations: a full one becomes the old one.
-
-    What is asked for again moves from the old generation to the new one, so frequent keys stay.
-    """
-
-    def __init__(self):
-        super().__init__()
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, key: str) -> bytes:
-        ids = self.old.get(key)
-        if ids is None:
-            ids = self.find(key)
-        if len(self) >= PIECES:
-            self.old = dict(self)
-            self.clear()
-        self[key] = ids
-        return ids
-
-
-class _Runs(_Known):
-    """Ids of what the splitting rule leaves in one run."""
-
-    def __init__(self, model):
-        super().__init__()
-        self.model, self.letters = model, _byte_letters()
-
-    def find(self, run: str) -> bytes:
-        letters = run.encode("utf-8").decode("latin-1").translate(self.letters)
-        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
-
-
-class _Pieces(_Known):
-    """Ids of pieces that stand behind a single blank; the key leaves the blank out."""
-
-    def __init__(self, runs: _Runs):
-        super().__init__()
-        self.runs = runs
-
-    def find(self, piece: str) -> bytes:
-        if piece.isalpha():
-            return self.runs.find(" " + piece)
-        if not piece or _ODD.match(piece):
-            raise _Uncut
-        word = piece.rstrip(_MARKS)
-        if word.isalpha():  # a word and a run of marks
-            return self[word] + self.runs[piece[len(word) :]]
-        head, line, rest = piece.partition("\n")
-        if line and head and rest and not _ODD.match(rest) and not _ODD.match(head[-1]):  # a line end on its own
-            return self[head] + self.runs["\n"] + self.ids(rest)
-        return self.ids(" " + piece)
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.runs.__getitem__, _SPLIT.findall(text)))
+def _ranks(path: str, added: set[str]) -> dict[bytes, int] | None:
+    """The bytes of every entry, if the file is a byte-level BPE whose ids go up with the merges."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    model, cut = found["model"], found["pre_tokenizer"] or {}
+    plain = model["type"] == "BPE" and not any(
+        model.get(name) for name in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    )
+    usual = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    if not plain or not usual or found["normalizer"]:
+        return None
+    vocabulary = {text: number for text, number in model["vocab"].items() if text not in added}
+    merged = [vocabulary.get("".join(merge if isinstance(merge, list) else merge.split(" ")), -1) for merge in model["merges"]]
+    bytes_of = {letter: byte for byte, letter in byte_letters().items()}
+    known = set(vocabulary) <= {*bytes_of} | {text for text in vocabulary if len(text) > 1}
+    rising = all(a < b for a, b in zip(merged, merged[1:], strict=False))
+    if not known or not rising or len(vocabulary) != len(merged) + 256 or min(merged, default=256) < 256:
+        return None
+    return {bytes(bytes_of[letter] for letter in text): number for text, number in vocabulary.items()}
 
 
 class Encoder:
-    """``encode(text)`` gives the bytes of the byte-pair ids of a text; added tokens in it are ordinary characters."""
+    """Ids of whole texts. ``encode`` recognises the vocabulary's added tokens, as the library does by default;
+    ``encode_plain`` takes their strings as ordinary text."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.pieces = _Pieces(_Runs(self.library.model))
-
-    def encode(self, text: str) -> bytes:
-        pieces = self.pieces
-        first, *rest = text.split(" ")
-        try:
-            if not rest:
-                return pieces.ids(first)
-            found = b"".join(map(pieces.__getitem__, rest))
-            return pieces.ids(first) + found
-        except _Uncut:
-            first, *rest = _CUT.split(text)
-            return pieces.ids(first) + b"".join(map(pieces.__getitem__, rest))
-
-
-class DocumentEncoder(Encoder):
-    """``encode(text)`` gives the bytes of the text's ids, as ``encode(text, add_special_tokens=False)`` has them.
-
-    Texts are cut at the vocabulary's added tokens, the longest one first where several start at one place. Texts with a
-    token that also takes blanks or asks for word bounds go to the library as a whole.
-    """
+        added = self.library.get_added_tokens_decoder()
+        odd = any(token.single_word or token.lstrip or token.rstrip or token.normalized for token in added.values())
+        ranks = None if odd else _ranks(path, {token.content for token in added.values()})
+        self.fast = None
+        if ranks is not None:
+            special = {token.content: number for number, token in added.items()}
+            self.fast = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
+        else:
+            self.plain_library = Tokenizer.from_file(path)
+            self.plain_library.encode_special_tokens = True
+
+    def encode(self, text: str) -> np.ndarray:
+        if self.fast is not None:
+            return self.fast.encode_to_numpy(text, allowed_special="all")
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def encode_plain(self, text: str) -> np.ndarray:
+        if self.fast is not None:
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        return np.array(self.plain_library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def entries(self) -> list[bytes]:
+        """The bytes of every id of a byte-level vocabulary."""
+        bytes_of = {letter: byte for byte, letter in byte_letters().items()}
+        found = [b""] * self.library.get_vocab_size()
+        added = {token.content for token in self.library.get_added_tokens_decoder().values()}
+        for text, number in self.library.get_vocab().items():
+            found[number] = text.encode() if text in added else bytes(bytes_of[letter] for letter in text)
+        return found
+
+
+class PieceEncoder:
+    """Ids of whole texts by a sentencepiece model, which puts a blank before each."""
+
+    LONG = 1 << 20  # characters from which a text is cut before it is encoded, to bound the model's working memory
+    _BETWEEN = re.compile(f"(?<=[^\\s{SPACE}]) (?=[^\\s{SPACE}])")
 
     def __init__(self, path: str):
-        super().__init__(path)
-        added = self.library.get_added_tokens_decoder()
-        self.added = {token.content: array("I", [number]).tobytes() for number, token in added.items()}
-        self.plain = not any(token.single_word or token.lstrip or token.rstrip for token in added.values())
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
-
-    def encode(self, text: str) -> bytes:
-        if not any(token in text for token in self.added):
-            return super().encode(text)
-        if not self.plain:
-            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(number) for number in range(self.model.get_piece_size())]
+        # No piece joins a blank to what stands before it: a text can be cut before single blanks, and each part gets its
+        # blank back from the model.
+        self.cuttable = not any(SPACE in piece.lstrip(SPACE) for piece in pieces)
+
+    def _parts(self, text: str) -> list[str]:
+        parts, start = [], 0
+        while self.cuttable and len(text) - start > self.LONG:
+            blank = self._BETWEEN.search(text, start + self.LONG // 2)
+            if blank is None:
+                break
+            parts.append(text[start : blank.start()])
+            start = blank.end()
+        return [*parts, text[start:]]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        if not any(len(text) > self.LONG for text in texts):
+            return self.model.encode(texts, num_threads=1)
+        found = []
+        for text in texts:
+            found.append([number for part in self._parts(text) for number in self.model.encode(part)])
+        return found
+
+    def entries(self) -> list[bytes]:
+        """The bytes of every id: a piece with blanks for their sign, a byte for a piece that names one."""
         found = []
-        for place, part in enumerate(self.cut.split(text)):  # what stands between tokens, a token, and so on
-            found.append(self.added[part] if place % 2 else super().encode(part))
-        return b"".join(found)
+        for number in range(self.model.get_piece_size()):
+            piece = self.model.id_to_piece(number)
+            found.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(number) else piece.replace(SPACE, " ").encode())
+        return found
 
 
-_ENCODERS: dict[str, DocumentEncoder] = {}
+_KEPT: dict[tuple, object] = {}
 _LOCK = threading.Lock()
 
 
-def encoder(path: str | None = None) -> DocumentEncoder:
-    """The worker's encoder for a vocabulary file, by default the public one, read once."""
-    path = path or public_tokenizers.path(VOCABULARY)
+def _kept(kind: type, path: str):
     with _LOCK:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = DocumentEncoder(path)
-        return _ENCODERS[path]
+        if (kind, path) not in _KEPT:
+            _KEPT[kind, path] = kind(path)
+        return _KEPT[kind, path]
+
+
+def encoder(path: str | None = None) -> Encoder:
+    """The worker's encoder for a vocabulary file, by default the public one, read once."""
+    return _kept(Encoder, path or public_tokenizers.path(VOCABULARY))
+
+
+def piece_encoder(path: str | None = None) -> PieceEncoder:
+    return _kept(PieceEncoder, path or public_tokenizers.path(PIECES))
