@@ -19,6 +19,7 @@ from abasto.llm import (
     op09_token_files,
 )
 from abasto.llm import op10_quality as quality
+from abasto.llm import op11_alignment as alignment
 from abasto.llm import op12_filter_audit as filter_audit
 from abasto.llm import op13_quality_rules as quality_rules
 from abasto.llm.common import table
@@ -87,6 +88,11 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
 
 
+@query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))
+
+
 @query
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
