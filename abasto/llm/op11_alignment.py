@@ -24,6 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,13 @@ from abasto.llm.tokens import encoder, piece_encoder
 
 SLICE = 4 << 20  # bytes of text aligned at once; a longer text is a slice of its own
 SHIFT = 32  # an id pair is one number: the A id above the B id
+WORDS = 5_000  # different words encoded at once
+
+# No word at all, one that begins with a blank or a control of any kind, and one that holds the sign for a blank.
+UNSAFE = (
+    r"^(?:$|[\x{0}-\x{20}\x{7f}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{feff}])"
+    r"|\x{2581}"
+)
 
 # One row per slice. ``pairs`` are its different id pairs and ``holders`` the documents that hold each; ``link_pairs`` are
 # places in ``pairs``, ``link_counts`` links of that pair in the document, ``link_ends`` where each document's ones end.
@@ -46,25 +54,87 @@ RESULT = (
 )
 
 
+class Coder:
+    """One side's encoder: the bytes of its entries, and how an id is written before ``,`` and before what ends its list."""
+
+    def __init__(self, path: str | None, pieces: bool):
+        self.encoder, self.pieces = piece_encoder(path) if pieces else encoder(path), pieces
+        self.entries = self.encoder.entries()
+        self.lengths = np.fromiter(map(len, self.entries), dtype=np.int64, count=len(self.entries))
+        self.opens = np.array([entry.startswith(b" ") for entry in self.entries])
+        self.written = [f"{number},".encode() for number in range(len(self.entries))]
+        self.written += [f"{number}{';' if pieces else '|'}".encode() for number in range(len(self.entries))]
+        # Whether a word behind a single blank has the same ids wherever it stands.
+        self.by_word = self.encoder.cuttable if pieces else self.encoder.fast is not None
+
+    def whole(self, text: str) -> np.ndarray:
+        """Ids of a blank and a text; none where they do not give both back."""
+        ids = np.array(self.encoder.encode([text])[0] if self.pieces else self.encoder.encode_plain(" " + text), dtype=np.int64)
+        return ids if b"".join(map(self.entries.__getitem__, ids.tolist())) == b" " + text.encode() else ids[:0]
+
+    def words(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]] | None:
+        """Ids of all words, encoded together as one text, and how many each has; none where a word cannot be told from the next."""
+        if not self.by_word:
+            return None
+        found, sizes = [], []
+        for start in range(0, len(words), WORDS):
+            some = words[start : start + WORDS]
+            ids = self.whole(" ".join(some))
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(some):
+                return None
+            found.append(ids)
+            sizes.append(np.diff(starts, append=len(ids)))
+        return found, sizes
+
+
 @lru_cache(maxsize=4)
-def _side(path: str | None, pieces: bool) -> tuple:
-    """Encoder, bytes and lengths of the entries, and how an id is written before ``,`` and before what ends its list."""
-    found = piece_encoder(path) if pieces else encoder(path)
-    entries = found.entries()
-    written = [f"{number},".encode() for number in range(len(entries))]
-    written += [f"{number}{';' if pieces else '|'}".encode() for number in range(len(entries))]
-    return found, entries, np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)), written
+def _coder(path: str | None, pieces: bool) -> Coder:
+    return Coder(path, pieces)
+
+
+def encode_slice(texts: list[str], coders: list[Coder]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For every side, the ids of all texts one after the other, and how many each text has.
+
+    Texts are cut at single blanks and every different word is encoded once. A text with a word that may depend on what
+    stands before its blank is encoded as a whole.
+    """
+    parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    coded, bounds = parts.flatten().dictionary_encode(), parts.offsets.to_numpy()
+    word_of = coded.indices.to_numpy()
+    unsafe = pc.match_substring_regex(coded.dictionary, UNSAFE).to_numpy(zero_copy_only=False)
+    words = coded.dictionary.filter(pa.array(~unsafe)).to_pylist()
+    by_word = [coder.words(words) for coder in coders]
+    together = None not in by_word
+    alone = np.add.reduceat(unsafe[word_of].astype(np.int64), bounds[:-1]) > 0 if together else np.ones(len(texts), bool)
+    ids = [[coder.whole(texts[place]) if texts[place] else np.zeros(0, np.int64) for place in np.flatnonzero(alone)] for coder in coders]
+    both = [len(one) > 0 and len(other) > 0 for one, other in zip(*ids, strict=True)]
+    # What each word becomes: its own entry, or the empty first one; a text on its own stands in its first word's place.
+    entry_of = np.where(unsafe, 0, np.cumsum(~unsafe))[word_of] if together else np.zeros(len(word_of), np.int64)
+    entry_of[np.repeat(alone, np.diff(bounds))] = 0
+    entry_of[bounds[:-1][alone]] = 1 + (len(words) if together else 0) + np.arange(alone.sum())
+    sides = []
+    for known, wholes in zip(by_word, ids, strict=True):
+        wholes = [found if ok else found[:0] for found, ok in zip(wholes, both, strict=True)]
+        pools, word_sizes = known if together else ([], [])
+        pool = np.concatenate([np.zeros(0, np.int64), *pools, *wholes])
+        sizes = np.concatenate([[0], *word_sizes, np.array(list(map(len, wholes)), dtype=np.int64)]).astype(np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        counts = sizes[entry_of]
+        ends = np.cumsum(counts)
+        places = np.repeat(firsts[entry_of] - (ends - counts), counts) + np.arange(len(pool) and ends[-1])
+        sides.append((pool[places], np.diff(np.concatenate([[0], ends])[bounds])))
+    return sides
 
 
 class Side:
     """Tokens of a slice on one side: ids, documents, and byte places counted through the slice."""
 
-    def __init__(self, ids: list, lengths: np.ndarray):
-        self.counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        self.ids = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
-        self.docs = np.repeat(np.arange(len(ids)), self.counts)
-        self.ends = np.cumsum(lengths[self.ids])
-        self.starts = self.ends - lengths[self.ids]
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray):
+        self.ids, self.counts = ids, counts
+        self.docs = np.repeat(np.arange(len(counts)), counts)
+        self.ends = np.cumsum(lengths[ids])
+        self.starts = self.ends - lengths[ids]
 
     def frame(self, name: str) -> pd.DataFrame:
         return pd.DataFrame({"doc": self.docs, "start": self.starts, name: np.arange(len(self.ids))})
@@ -84,14 +154,14 @@ def overlaps(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
 def group_texts(a: Side, b: Side, a_written: list[bytes], b_written: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Groups of every document: how many, and as ``a1,a2|b1;a3|b2,b3``."""
     a_last, b_last = np.isin(a.ends, b.ends, assume_unique=True), np.isin(b.ends, a.ends, assume_unique=True)
-    a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
     # A group's A tokens come first, then its B tokens: each stands behind the other side's tokens of earlier groups.
-    a_place = np.arange(len(a.ids)) + np.searchsorted(b_group, a_group)
-    b_place = np.arange(len(b.ids)) + np.searchsorted(a_group, b_group, side="right")
+    a_ends, b_ends = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1
+    b_before = np.concatenate([[0], b_ends])[np.cumsum(a_last) - a_last]
+    a_before = np.concatenate([a_ends, [0]])[np.cumsum(b_last) - b_last]
     written = [*a_written, *b_written]
     code = np.empty(len(a.ids) + len(b.ids), dtype=np.int64)
-    code[a_place] = a.ids + np.where(a_last, len(a_written) // 2, 0)
-    code[b_place] = b.ids + np.where(b_last, len(b_written) // 2, 0) + len(a_written)
+    code[np.arange(len(a.ids)) + b_before] = a.ids + np.where(a_last, len(a_written) // 2, 0)
+    code[np.arange(len(b.ids)) + a_before] = b.ids + np.where(b_last, len(b_written) // 2, 0) + len(a_written)
     words, ends = list(map(written.__getitem__, code.tolist())), np.cumsum(a.counts + b.counts).tolist()
     texts, start = [], 0
     for end in ends:
@@ -102,19 +172,11 @@ def group_texts(a: Side, b: Side, a_written: list[bytes], b_written: list[bytes]
 
 def align_slice(texts: list[bytes], a_path: str | None, b_path: str | None) -> dict[str, object]:
     """The columns of a slice."""
-    a_encoder, a_entries, a_lengths, a_written = _side(a_path, False)
-    b_encoder, b_entries, b_lengths, b_written = _side(b_path, True)
-    spaced = [" " + text.decode("utf-8", "replace") if text else "" for text in texts]
-    a_ids = [a_encoder.encode_plain(text) for text in spaced]
-    b_ids = b_encoder.encode([text[1:] for text in spaced])
-    for place, text in enumerate(texts):
-        wanted = b" " + text if text else b""
-        a_bytes = b"".join(map(a_entries.__getitem__, a_ids[place].tolist()))
-        if a_bytes != wanted or b"".join(map(b_entries.__getitem__, b_ids[place])) != wanted:
-            a_ids[place], b_ids[place] = [], []
-    a, b = Side(a_ids, a_lengths), Side([np.array(ids, dtype=np.int64) for ids in b_ids], b_lengths)
+    coders = [_coder(a_path, False), _coder(b_path, True)]
+    encoded = encode_slice([text.decode("utf-8", "ignore") for text in texts], coders)
+    a, b = (Side(ids, counts, coder.lengths) for (ids, counts), coder in zip(encoded, coders, strict=True))
     a_over, b_over = overlaps(a, b)
-    n_groups, groups = group_texts(a, b, a_written, b_written)
+    n_groups, groups = group_texts(a, b, coders[0].written, coders[1].written)
     docs = a.docs[a_over]
     linked = pd.DataFrame({"doc": docs, "pair": (a.ids[a_over] << SHIFT) | b.ids[b_over]})
     links = linked.groupby(["doc", "pair"], sort=True).size()

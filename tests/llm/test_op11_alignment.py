@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -100,12 +101,31 @@ def test_long_texts_are_cut_where_no_piece_reaches(monkeypatch):
     assert encoder.encode([text]) == whole and len(encoder._parts(text)) > 20
 
 
+def test_words_are_encoded_as_in_their_texts():
+    coders = [alignment.Coder(None, False), alignment.Coder(None, True)]
+    rng = random.Random(5)
+    parts = [" ", " ", " ", "  ", "\n", "\t", "a", "B", "é", "1", "'s", "'", "!", "　", "\xa0", "\x1c", "​", "中", "x.", "▁", "<s>", "\x00"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(20_000)]
+    for start in range(0, len(texts), 50):
+        some = texts[start : start + 50]
+        encoded = alignment.encode_slice(some, coders)
+        for coder, other, (ids, counts) in zip(coders, coders[::-1], encoded, strict=True):
+            for text, found in zip(some, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+                whole = coder.whole(text) if text and len(other.whole(text)) else []
+                assert found.tolist() == list(whole), repr(text)
+
+
+def side(ids, lengths):
+    counts = np.array(list(map(len, ids)))
+    return alignment.Side(np.concatenate(ids).astype(np.int64), counts, lengths)
+
+
 def test_every_overlap_is_found_once():
     rng = np.random.default_rng(3)
     for _ in range(200):
         lengths = np.arange(10)
         cut = [rng.integers(1, 9, rng.integers(0, 12)) for _ in range(3)]
-        a = alignment.Side(cut, lengths)
+        a = side(cut, lengths)
         b_ids = []
         for ids in cut:
             left, found = int(ids.sum()), []
@@ -113,7 +133,7 @@ def test_every_overlap_is_found_once():
                 found.append(int(rng.integers(1, min(left, 9) + 1)))
                 left -= found[-1]
             b_ids.append(np.array(found, dtype=np.int64))
-        b = alignment.Side(b_ids, lengths)
+        b = side(b_ids, lengths)
         got = list(zip(*map(np.ndarray.tolist, alignment.overlaps(a, b)), strict=True))
         wanted = [
             (i, j)
