@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,3 +26,8 @@ def percent(part: Column, whole: Column, places: int = 1) -> Column:
 def differs(left: Column, right: Column) -> Column:
     """True where the two values are not the same, NULL being a value of its own."""
     return ~left.eqNullSafe(right)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body, or a lambda in it, uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -10,20 +10,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from abasto.plans.curve import additive_curve
+from abasto.plans.network import network_forecast
 from abasto.sources.tables import stage
 
-# Months ahead, lags, and the widths of the bands (95 % and 80 % of a normal distribution).
+# Months ahead, lags, and the width of the band (95 % of a normal distribution).
 HORIZON = 6
 LAGS = 12
 BAND_95 = 1.96
-BAND_80 = 1.2816
-# Days of history from which a yearly pattern is fitted.
-TWO_YEARS = 730
 
 
 def _partition(series: Sequence[str]):
@@ -46,20 +44,17 @@ def fill_missing_months(history: DataFrame, series: Sequence[str] = ()) -> DataF
     return calendar.join(history, [*series, "ds"], "left").fillna(0.0, ["y"])
 
 
-def _numbered(history: DataFrame, series: Sequence[str]) -> DataFrame:
-    """Position of every month with a value in its series, from zero, and the last month with or without one."""
-    window = _partition(series).orderBy("ds")
-    ended = history.withColumn("_end", F.max("ds").over(_partition(series)))
-    return ended.filter(F.col("y").isNotNull()).withColumn("_t", (F.row_number().over(window) - 1).cast("double"))
-
-
 def _trend(history: DataFrame, series: Sequence[str]) -> DataFrame:
-    """Least-squares line of every series beside its rows. A one-month series is its own flat line."""
+    """Least-squares line of every series beside its rows; positions count the months with a value, from zero.
+
+    A one-month series is its own flat line, one without any value is flat at zero.
+    """
     whole = _partition(series)
+    so_far = F.count("y").over(whole.orderBy("ds").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        _numbered(history, series)
+        history.withColumn("_t", F.when(F.col("y").isNotNull(), so_far - 1).cast("double"))
         .withColumn("_slope", F.coalesce(F.regr_slope("y", "_t").over(whole), F.lit(0.0)))
-        .withColumn("_intercept", F.coalesce(F.regr_intercept("y", "_t").over(whole), F.col("y")))
+        .withColumn("_intercept", F.coalesce(F.regr_intercept("y", "_t").over(whole), F.max("y").over(whole), F.lit(0.0)))
         .withColumn("_line", F.col("_intercept") + F.col("_slope") * F.col("_t"))
     )
 
@@ -81,14 +76,14 @@ def linear_trend(
         _trend(history, series)
         .groupBy(*series)
         .agg(
-            F.count("*").alias("_n"),
-            F.max("_end").alias("_last"),
+            F.count("y").alias("_n"),
+            F.max("ds").alias("_last"),
             F.first("_slope").alias("_slope"),
             F.first("_intercept").alias("_intercept"),
-            (F.stddev_pop(F.col("y") - F.col("_line")) * BAND_95).alias("_band"),
+            F.coalesce(F.stddev_pop(F.col("y") - F.col("_line")) * BAND_95, F.lit(0.0)).alias("_band"),
         )
     )
-    ahead = fit.filter(F.col("_n") > 0).withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    ahead = fit.filter(F.col("_last").isNotNull()).withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     line = F.col("_intercept") + F.col("_slope") * (F.col("_n") - 1 + F.col("_step"))
     return (
         ahead.withColumn("yhat", F.greatest(line, F.lit(0.0)))
@@ -110,54 +105,12 @@ def request_forecast(history: DataFrame, series: Sequence[str] = (), horizon: in
 
 
 def seasonal_trend(history: DataFrame, series: Sequence[str] = (), horizon: int = HORIZON) -> DataFrame:
-    """Trend plus yearly pattern for the observed and the coming months, with an 80 % band.
+    """Bending trend plus yearly pattern for the observed and the coming months, with an 80 % band.
 
-    The established model is an additive curve fit with its own solver. This one has the same output and the same
-    parts (a trend, a yearly pattern once there are two years of history, no weekly one) but other numbers: the trend
-    is a least-squares line, the pattern the mean residual of each calendar month. It is not floored at zero.
+    See ``curve``: the parts are those of the established model (a trend with changes of slope, a yearly pattern once
+    there are two years of history, no weekly one), the solver is another one. It is not floored at zero.
     """
-    whole = _partition(series)
-    by_calendar_month = Window.partitionBy(*series, F.month("ds"))
-    long_enough = F.datediff(F.max("ds").over(whole), F.min("ds").over(whole)) >= TWO_YEARS
-    fitted = (
-        _trend(history, series)
-        .withColumn("_seasonal", long_enough)
-        .withColumn("_residual", F.col("y") - F.col("_line"))
-        .withColumn(
-            "_pattern", F.when(F.col("_seasonal"), F.avg("_residual").over(by_calendar_month)).otherwise(F.lit(0.0))
-        )
-        .withColumn("_month", F.month("ds"))
-        .withColumn("yhat", F.col("_line") + F.col("_pattern"))
-    )
-    # Of each series: the line, the band, and at most twelve pattern values.
-    fit = fitted.groupBy(*series).agg(
-        F.count("*").alias("_n"),
-        F.max("_end").alias("_last"),
-        F.first("_slope").alias("_slope"),
-        F.first("_intercept").alias("_intercept"),
-        (F.stddev_pop(F.col("y") - F.col("yhat")) * BAND_80).alias("_band"),
-        F.map_from_entries(F.collect_set(F.struct("_month", "_pattern"))).alias("_patterns"),
-        F.sort_array(F.collect_list(F.struct("ds", F.col("_t").alias("t")))).alias("_observed"),
-    )
-    coming = F.transform(
-        F.sequence(F.lit(1), F.lit(horizon)),
-        lambda step: F.struct(
-            F.add_months("_last", step).alias("ds"), (F.col("_n") - 1 + step).cast("double").alias("t")
-        ),
-    )
-    rows = fit.filter(F.col("_n") > 0).withColumn("_point", F.explode(F.concat("_observed", coming)))
-    pattern = F.coalesce(F.try_element_at("_patterns", F.month("_point.ds")), F.lit(0.0))
-    return (
-        rows.withColumn("yhat", F.col("_intercept") + F.col("_slope") * F.col("_point.t") + pattern)
-        .select(
-            *series,
-            F.col("_point.ds").alias("ds"),
-            "yhat",
-            (F.col("yhat") - F.col("_band")).alias("yhat_lower"),
-            (F.col("yhat") + F.col("_band")).alias("yhat_upper"),
-            (F.col("_point.ds") > F.col("_last")).alias("is_future"),
-        )
-    )
+    return additive_curve(history, series, horizon)
 
 
 def summary(history: DataFrame, series: Sequence[str] = ()) -> DataFrame:
@@ -224,58 +177,44 @@ def _regressor(learner: str, rounds: int):
         return LinearRegression(**columns, regParam=1e-6)
     if learner == "gbt":
         return GBTRegressor(**columns, seed=42, maxIter=rounds)
-    raise ValueError(f"learner is linear or gbt, not {learner!r}")
+    raise ValueError(f"learner is network, linear or gbt, not {learner!r}")
 
 
-def autoregressive(
-    history: DataFrame,
-    series: Sequence[str] = (),
-    horizon: int = HORIZON,
-    learner: str = "linear",
-    rounds: int = 30,
-) -> DataFrame:
-    """Regression on the last twelve months, fed its own output for the months ahead, with a 95 % band.
-
-    One learner is fitted over the windows of all series (the established ones are small neural networks fitted to
-    one series, so the numbers differ); ``rounds`` is the number of trees of the boosted learner. Series that cannot
-    be fitted get the flat forecast, one without any value zeros. Not floored at zero.
-    """
-    history = stage(history, "series")  # read several times below: by the fit, the bands and the last windows
+def _flat_rows(history: DataFrame, series: Sequence[str], horizon: int) -> DataFrame:
+    """The coming months of the series that no model is fitted to."""
     ends = history.groupBy(*series).agg(F.max("ds").alias("_end"))
     flat = flat_fallback(history, series)
     flat = flat.join(ends, list(series)) if series else flat.withColumn("_end", ends.scalar())
-    lagged = _lagged(history, series, LAGS)
-    training = lagged.filter(F.size("lags") == LAGS).withColumn("features", array_to_vector("lags"))
-    by_series = list(series)
-    columns = [*by_series, "ds", "yhat", "yhat_lower", "yhat_upper", "method"]
-
-    constant = flat.filter((F.col("method") != "model") & F.col("_end").isNotNull())
-    steps = F.explode(F.sequence(F.lit(1), F.lit(horizon)))
-    flat_rows = (
-        constant.withColumn("_step", steps)
+    return (
+        flat.filter((F.col("method") != "model") & F.col("_end").isNotNull())
+        .withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
         .withColumn("ds", F.expr("add_months(_end, _step)"))
         .withColumns({"yhat": F.col("base"), "yhat_lower": F.col("base"), "yhat_upper": F.col("base")})
-        .select(*columns)
+        .select(*series, "ds", "yhat", "yhat_lower", "yhat_upper", "method")
     )
-    if training.isEmpty():
-        return flat_rows
 
+
+def _pooled(history: DataFrame, series: Sequence[str], horizon: int, learner: str, rounds: int) -> DataFrame | None:
+    """One learner fitted over the windows of all series; none where there is no window."""
+    history = stage(history, "series")  # read several times: by the fit, the bands and the last windows
+    lagged = _lagged(history, series, LAGS)
+    training = lagged.filter(F.size("lags") == LAGS).withColumn("features", array_to_vector("lags"))
+    if training.isEmpty():
+        return None
     model = _regressor(learner, rounds).fit(training)
     residual = (F.col("target") - F.col("_predicted")) * F.col("_range")
-    bands = model.transform(training).groupBy(*by_series).agg((F.stddev_pop(residual) * BAND_95).alias("_band"))
+    bands = model.transform(training).groupBy(*series).agg((F.stddev_pop(residual) * BAND_95).alias("_band"))
     # The last twelve scaled values of each series, oldest first.
     tails = (
         lagged.withColumn("_rank", F.row_number().over(_partition(series).orderBy(F.desc("ds"))))
-        .filter(F.col("_rank") == 1)
+        .filter((F.col("_rank") == 1) & (F.size("lags") == LAGS))
         .select(
-            *by_series,
+            *series,
             F.col("_end").alias("_last"),
             "_low",
             "_range",
             F.slice(F.concat("lags", F.array("target")), -LAGS, LAGS).alias("_window"),
-            F.size("lags").alias("_history"),
         )
-        .filter(F.col("_history") == LAGS)
     )
     state = tails.withColumn("_path", F.array().cast("array<double>"))
     for _ in range(horizon):
@@ -285,41 +224,35 @@ def autoregressive(
             .withColumn("_path", F.concat("_path", F.array("_predicted")))
             .drop("features", "_predicted")
         )
-    if by_series:
-        banded = state.join(bands, by_series)
-    else:
-        banded = state.withColumn("_band", bands.scalar())
-    fitted_rows = (
+    banded = state.join(bands, list(series)) if series else state.withColumn("_band", bands.scalar())
+    return (
         banded.select("*", F.posexplode("_path").alias("_step", "_scaled"))
         .withColumn("ds", F.expr("add_months(_last, _step + 1)"))
         .withColumn("yhat", F.col("_scaled") * F.col("_range") + F.col("_low"))
         .withColumn("yhat_lower", F.col("yhat") - F.col("_band"))
         .withColumn("yhat_upper", F.col("yhat") + F.col("_band"))
         .withColumn("method", F.lit("model"))
-        .select(*columns)
+        .select(*series, "ds", "yhat", "yhat_lower", "yhat_upper", "method")
     )
-    return fitted_rows.unionByName(flat_rows)
 
 
-def price_forest(
-    training: DataFrame, quantity: float = 100.0, trees: int = 100, seed: int = 42, depth: int = 30, bins: int = 1024
+def autoregressive(
+    history: DataFrame,
+    series: Sequence[str] = (),
+    horizon: int = HORIZON,
+    learner: str = "network",
+    rounds: int = 30,
 ) -> DataFrame:
-    """Price expected for a quantity, from a random forest on the priced requests, with a fixed seed.
+    """Regression on the last twelve months, fed its own output for the months ahead, with a 95 % band.
 
-    The established trees have no limit; ``depth`` is by default the deepest that the library grows. ``bins`` bounds the
-    quantities between which a tree can split: with fewer different ones than that, every split is possible.
+    ``network`` trains a small neural network for every series (see ``network``; the established ones have the same layers,
+    loss and optimizer, but another start, so the numbers differ). ``linear`` and ``gbt`` fit one learner over the windows of
+    all series while the plan is built; ``rounds`` is the number of trees of the boosted one. Series that cannot be fitted
+    get the flat forecast, one without any value zeros. Not floored at zero.
     """
-    numbers = training.select(F.col("solcan").cast("double").alias("solcan"), F.col("solpre").cast("double").alias("solpre"))
-    assembler = VectorAssembler(inputCols=["solcan"], outputCol="features", handleInvalid="skip")
-    forest = RandomForestRegressor(
-        featuresCol="features",
-        labelCol="solpre",
-        predictionCol="precio_estimado",
-        numTrees=trees,
-        maxDepth=depth,
-        maxBins=bins,
-        seed=seed,
-    )
-    model = forest.fit(assembler.transform(numbers))
-    asked = numbers.sparkSession.range(1).select(F.lit(quantity).alias("solcan"))
-    return model.transform(assembler.transform(asked)).select("solcan", "precio_estimado")
+    flat = _flat_rows(history, series, horizon)
+    if learner == "network":
+        windows = _lagged(history, series, LAGS).filter(F.size("lags") == LAGS)
+        return network_forecast(windows, series, horizon, BAND_95).unionByName(flat)
+    fitted = _pooled(history, series, horizon, learner, rounds)
+    return flat if fitted is None else fitted.unionByName(flat)

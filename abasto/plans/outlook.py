@@ -14,7 +14,7 @@ from abasto.sources.tables import union_all
 MODELS = ("linear", "seasonal", "autoregressive")
 
 
-def coming_months(history: DataFrame, model: str, learner: str = "linear") -> DataFrame:
+def coming_months(history: DataFrame, model: str, learner: str = "network") -> DataFrame:
     """(ds, yhat) of the months ahead of the whole series, by one of the models."""
     if model == "linear":
         ahead = forecast.linear_trend(history)

@@ -229,6 +229,8 @@ def sql(body: str) -> str:
     _needed(body, found)
     views = [f"{name} AS ({VIEWS[name].strip()})" for name in found]
     body = body.strip()
+    if body.startswith(start := "WITH RECURSIVE "):
+        return start + ",\n".join(views) + (",\n" if views else "") + body.removeprefix(start)
     if body.startswith("WITH "):
         return "WITH " + ",\n".join(views) + (",\n" if views else "") + body[len("WITH ") :]
     return ("WITH " + ",\n".join(views) + "\n" if views else "") + body

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from abasto.operators import keys
-from abasto.plans import forecast, gold, normalized, outlook, quality, reconcile, reports
+from abasto.plans import forecast, forest, gold, normalized, outlook, quality, reconcile, reports
 from abasto.plans import silver as silver_plans
 from abasto.schemas import BRONZE
 from abasto.sources.tables import union_all
@@ -582,17 +582,17 @@ def rep_recent_demand(t):
 
 
 def _line_sql(source: str, series: str = "") -> str:
-    """Fitted line and residual deviation of every series, then six months ahead."""
+    """Fitted line and residual deviation of every series, then six months ahead; flat at zero without any value."""
     by = f"{series}, " if series else ""
     over = f"PARTITION BY {series}" if series else ""
     group = f"GROUP BY {series}" if series else ""
     joined = f"USING ({series})" if series else "ON true"
     return f"""
-    WITH ended AS (SELECT *, max(ds) OVER ({over}) AS month_end FROM {source}),
-    numbered AS (SELECT *, CAST(row_number() OVER ({over} ORDER BY ds) - 1 AS DOUBLE) AS t FROM ended WHERE y IS NOT NULL),
-    fit AS (SELECT {by}count(*) AS n, max(month_end) AS last_ds, coalesce(regr_slope(y, t), 0) AS slope,
-                   coalesce(regr_intercept(y, t), max(y)) AS intercept FROM numbered {group}),
-    spread AS (SELECT {by}stddev_pop(y - (intercept + slope * t)) AS dev FROM numbered JOIN fit {joined} {group}),
+    WITH numbered AS (SELECT *, CASE WHEN y IS NOT NULL THEN
+                             CAST(count(y) OVER ({over} ORDER BY ds ROWS UNBOUNDED PRECEDING) - 1 AS DOUBLE) END AS t FROM {source}),
+    fit AS (SELECT {by}count(y) AS n, max(ds) AS last_ds, coalesce(regr_slope(y, t), 0) AS slope,
+                   coalesce(regr_intercept(y, t), max(y), 0) AS intercept FROM numbered {group}),
+    spread AS (SELECT {by}coalesce(stddev_pop(y - (intercept + slope * t)), 0) AS dev FROM numbered JOIN fit {joined} {group}),
     ahead AS (SELECT {by}step, CAST(last_ds + to_months(CAST(step AS INTEGER)) AS DATE) AS ds,
                      greatest(intercept + slope * (n - 1 + step), 0) AS yhat, dev
               FROM fit JOIN spread {joined} CROSS JOIN range(1, 7) r(step))"""
@@ -634,35 +634,54 @@ def fc_future_months(t):
     return forecast.future_months(reports.stock_monthly(t.receipts(request_date=False), ("artgrinv",)), ["artgrinv"])
 
 
-def _seasonal_sql(source: str, series: str = "", prefix: str = "") -> str:
-    """Line, mean residual of each calendar month (with two years of history), band, observed and coming months."""
-    by = f"{series}, " if series else ""
-    over = f"PARTITION BY {series}" if series else ""
-    joined = f"USING ({series})" if series else "ON true"
+def _curve_sql(source: str, series: str = "", prefix: str = "") -> str:
+    """Bending trend and yearly waves by ridge: the design of every series, its normal equations, elimination, the curve."""
+    by, group = (f"{series}, ", f"GROUP BY {series}") if series else ("", "")
+    waves = ", ".join(f"{wave}(2 * pi() / 365.25 * (CAST(ds AS DATE) - DATE '1970-01-01') * {k})" for k in range(1, 7) for wave in ("sin", "cos"))
     same = f"p.{series} = q.{series} AND" if series else ""
     return f"""
-    WITH {prefix}ended AS (SELECT *, max(ds) OVER ({over}) AS month_end FROM {source}),
-    {prefix}numbered AS (SELECT *, CAST(row_number() OVER ({over} ORDER BY ds) - 1 AS DOUBLE) AS t
-                      FROM {prefix}ended WHERE y IS NOT NULL),
-    {prefix}fit AS (SELECT {by}count(*) AS n, max(month_end) AS last_ds, max(ds) - min(ds) >= 730 AS yearly,
-                   coalesce(regr_slope(y, t), 0) AS slope, coalesce(regr_intercept(y, t), max(y)) AS intercept
-            FROM {prefix}numbered {f"GROUP BY {series}" if series else ""}),
-    {prefix}pattern AS (SELECT {by}month(ds) AS m, avg(y - (intercept + slope * t)) AS p
-                FROM {prefix}numbered JOIN {prefix}fit {joined} WHERE yearly GROUP BY {by}month(ds)),
-    {prefix}band AS (SELECT {f"q.{series}, " if series else ""}1.2816 * stddev_pop(y - (intercept + slope * t) - coalesce(p, 0)) AS band
-             FROM {prefix}numbered q JOIN {prefix}fit {joined} LEFT JOIN {prefix}pattern p ON {same} m = month(ds)
-             {f"GROUP BY q.{series}" if series else ""}),
-    {prefix}points AS (SELECT {by}ds, t FROM {prefix}numbered
-               UNION ALL SELECT {by}CAST(last_ds + to_months(CAST(step AS INTEGER)) AS DATE), n - 1 + step
-               FROM {prefix}fit CROSS JOIN range(1, 7) r(step)),
-    {prefix}curve AS (SELECT {f"q.{series}, " if series else ""}q.ds, intercept + slope * q.t + coalesce(p, 0) AS yhat, band, q.ds > last_ds AS is_future
-              FROM {prefix}points q JOIN {prefix}fit {joined} JOIN {prefix}band {joined}
-              LEFT JOIN {prefix}pattern p ON {same} m = month(q.ds))"""
+    WITH RECURSIVE {prefix}months AS (
+        SELECT {by}max(ds) AS month_end, count(y) AS n, min(ds) FILTER (y IS NOT NULL) AS first_ds,
+               max(ds) FILTER (y IS NOT NULL) AS last_ds, coalesce(nullif(max(abs(y)), 0), 1) AS scale,
+               list(ds ORDER BY ds) FILTER (y IS NOT NULL) AS days FROM {source} {group}),
+    {prefix}shape AS (
+        SELECT *, greatest(coalesce(last_ds - first_ds, 0), 1) AS span, coalesce(last_ds - first_ds >= 730, false) AS yearly,
+               CAST(floor(n * 0.8) AS INTEGER) AS reach FROM {prefix}months),
+    {prefix}bent AS (
+        SELECT *, coalesce(list_transform(range(1, least(25, greatest(reach - 1, 0)) + 1),
+                  lambda j: (days[CAST(floor(j * (reach - 1) / least(25, reach - 1) + 0.5) AS INTEGER) + 1] - first_ds) / span), []) AS bends
+        FROM {prefix}shape),
+    {prefix}days AS (SELECT {by}ds, y FROM {source} WHERE y IS NOT NULL UNION ALL
+             SELECT {by}CAST(month_end + to_months(CAST(step AS INTEGER)) AS DATE), NULL FROM {prefix}months CROSS JOIN range(1, 7) r(step)),
+    {prefix}design AS (
+        SELECT {"p." + series + ", " if series else ""}ds, y, scale, n, month_end, len(bends) AS m,
+               list_concat([1.0::DOUBLE, (ds - first_ds) / span],
+                           list_transform(bends, lambda b: greatest((ds - first_ds) / span - b, 0.0::DOUBLE)),
+                           CASE WHEN yearly THEN [{waves}] ELSE [] END) AS x
+        FROM {prefix}days p JOIN {prefix}bent q ON {same} true),
+    {prefix}products AS (
+        SELECT {by}i, j, sum(x[i] * CASE WHEN j > len(x) THEN y / scale ELSE x[j] END)
+               + CASE WHEN i <> j THEN 0 WHEN i <= 2 THEN 1e-6 ELSE 0.01 END AS v
+        FROM {prefix}design CROSS JOIN (SELECT unnest(range(1, 40)) AS i) CROSS JOIN (SELECT unnest(range(1, 41)) AS j)
+        WHERE y IS NOT NULL AND i <= len(x) AND j <= len(x) + 1 GROUP BY {by}i, j),
+    {prefix}lines AS (SELECT {by}i, list(v ORDER BY j) AS line FROM {prefix}products GROUP BY {by}i),
+    {prefix}solving AS (
+        SELECT {by}1 AS k, list(line ORDER BY i) AS m FROM {prefix}lines {group}
+        UNION ALL SELECT {by}k + 1, list_transform(m, lambda line, i: CASE WHEN i = k THEN list_transform(line, lambda v: v / line[k])
+            ELSE list_transform(line, lambda v, j: v - line[k] * (m[k][j] / m[k][k])) END) FROM {prefix}solving WHERE k <= len(m)),
+    {prefix}weights AS (SELECT {by}list_transform(m, lambda line: line[-1]) AS w FROM {prefix}solving WHERE k = len(m) + 1),
+    {prefix}values AS (
+        SELECT {"p." + series + ", " if series else ""}ds, y, ds > month_end AS is_future,
+               CASE WHEN n = 0 THEN 0 ELSE list_dot_product(x, w) * scale END AS yhat
+        FROM {prefix}design p LEFT JOIN {prefix}weights q ON {same} true),
+    {prefix}curve AS (
+        SELECT *, 1.2816 * coalesce(stddev_pop(y - yhat) OVER ({"PARTITION BY " + series if series else ""}), 0) AS band
+        FROM {prefix}values)"""
 
 
 @query(
     "fc_seasonal_trend",
-    _seasonal_sql("s_odd", "artgrinv")
+    _curve_sql("s_odd", "artgrinv")
     + """ SELECT artgrinv, ds, round(yhat, 2) AS yhat, round(yhat - band, 2) AS yhat_lower,
           round(yhat + band, 2) AS yhat_upper, is_future FROM curve""",
     yhat=2,
@@ -717,15 +736,15 @@ def fc_autoregressive(t):
 
 @query("fc_price_forest")
 def fc_price_forest(t):
-    """A fitted learner: no SQL can say what it should give."""
-    return forecast.price_forest(reports.price_training_set(t.requests()))
+    """Random draws: no SQL can say what they give; tests hold the same draws against trees grown in plain Python."""
+    return forest.price_forest(reports.price_training_set(t.requests()))
 
 
 @query(
     "fc_allocate_top15",
-    _line_sql("s_stock")
+    _curve_sql("s_stock", prefix="y_")
     + ","
-    + _seasonal_sql("s_stock", prefix="y_").removeprefix("\n    WITH")
+    + _line_sql("s_stock").removeprefix("\n    WITH")
     + """,
     coming AS (SELECT 'linear' AS model, ds, yhat FROM ahead
                UNION ALL SELECT 'seasonal', ds, yhat FROM y_curve WHERE is_future)

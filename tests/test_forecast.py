@@ -1,9 +1,11 @@
+import random
 from datetime import date
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from abasto.plans import forecast
+from abasto.plans import forecast, forest, network
 
 
 def months(count, start=2020):
@@ -63,17 +65,58 @@ def test_no_history_gives_no_rows(spark):
     assert forecast.future_months(empty).count() == 0
 
 
-def test_seasonal_pattern_needs_two_years(spark):
+def design(days, first, span, bends, yearly, order=6):
+    t = np.array([(day - first).days / span for day in days])
+    angle = np.array([2 * np.pi / 365.25 * (day - date(1970, 1, 1)).days for day in days])
+    waves = [wave(angle * k) for k in range(1, order + 1) for wave in (np.sin, np.cos)] if yearly else []
+    return np.stack([np.ones(len(t)), t, *(np.maximum(t - bend, 0) for bend in bends), *waves], axis=1)
+
+
+def ridge_curve(days, values, ahead):
+    """The additive curve by numpy's solver."""
+    n, first, span = len(days), days[0], max((days[-1] - days[0]).days, 1)
+    reach = int(n * 0.8)
+    count = min(25, max(reach - 1, 0))
+    bends = [(days[int(np.floor(j * (reach - 1) / count + 0.5))] - first).days / span for j in range(1, count + 1)]
+    yearly = (days[-1] - first).days >= 730
+    x, scale = design(days, first, span, bends, yearly), max(map(abs, values)) or 1.0
+    penalty = np.diag([1e-6] * 2 + [0.01] * (x.shape[1] - 2))
+    weights = np.linalg.solve(x.T @ x + penalty, x.T @ np.array(values) / scale)
+    return scale * x @ weights, scale * design(ahead, first, span, bends, yearly) @ weights
+
+
+def test_seasonal_trend_is_the_ridge_solution(spark):
+    rng = np.random.default_rng(5)
+    lines = {f"n{n}": list(rng.normal(50, 20, n).round(2)) for n in (1, 2, 3, 5, 12, 24, 25, 26, 60)} | {"zero": [0.0] * 30}
+    got = by_series(forecast.seasonal_trend(series(spark, *lines.items()), ["s"]))
+    for name, values in lines.items():
+        days = months(len(values) + 6)
+        fitted, ahead = ridge_curve(days[:-6], values, days[-6:])
+        assert [r.ds for r in got[name]] == days and [r.is_future for r in got[name]] == [False] * len(values) + [True] * 6
+        assert [r.yhat for r in got[name]] == pytest.approx([*fitted, *ahead], abs=1e-6)
+        band = 1.2816 * np.std(np.array(values) - fitted)
+        assert [r.yhat_upper - r.yhat for r in got[name]] == pytest.approx([band] * len(days), abs=1e-6)
+
+
+def test_seasonal_trend_finds_bends_and_waves(spark):
+    days = months(78)
+    t = np.arange(78.0)
+    angle = np.array([2 * np.pi / 365.25 * (day - date(1970, 1, 1)).days for day in days])
+    bent = 100 + 3 * t - 5 * np.maximum(t - 30, 0)  # the slope turns from 3 to -2
+    wave = 20 * np.sin(angle) - 8 * np.cos(2 * angle)
+    lines = ("bent", list(bent[:72])), ("wave", list(500 + wave[:72])), ("both", list(400 + bent[:72] + wave[:72]))
+    got = by_series(forecast.seasonal_trend(series(spark, *lines), ["s"]))
+    assert [r.yhat for r in got["bent"][-6:]] == pytest.approx(list(bent[72:]), abs=4)
+    assert [r.yhat for r in got["wave"][-6:]] == pytest.approx(list(500 + wave[72:]), abs=3)
+    assert [r.yhat for r in got["both"][-6:]] == pytest.approx(list(400 + bent[72:] + wave[72:]), abs=6)
+    assert max(abs(r.yhat - y) for r, y in zip(got["both"], 400 + bent + wave)) < 6
+
+
+def test_short_histories_have_no_yearly_part(spark):
     pattern = [0, 10, 20, 5, 0, -5, -10, 0, 3, 7, 1, 2]
-    long, short = [100 + pattern[i % 12] for i in range(36)], [100 + pattern[i % 12] for i in range(18)]
-    got = by_series(forecast.seasonal_trend(series(spark, ("long", long), ("short", short)), ["s"]))
-    assert len(got["long"]) == 42 and sum(r.is_future for r in got["long"]) == 6
-    slope, intercept = np.polyfit(range(36), long, 1)
-    residual = np.array(long) - (intercept + slope * np.arange(36))
-    wanted = [intercept + slope * (36 + k) + residual[k::12].mean() for k in range(6)]
-    assert [r.yhat for r in got["long"][36:]] == pytest.approx(wanted)
-    slope, intercept = np.polyfit(range(18), short, 1)
-    assert got["short"][-1].yhat == pytest.approx(intercept + slope * 23)
+    short = by_series(forecast.seasonal_trend(series(spark, ("s", [100 + pattern[i % 12] for i in range(18)])), ["s"]))["s"]
+    steps = np.diff([r.yhat for r in short[-7:]])
+    assert steps == pytest.approx([steps[0]] * 6, rel=0.2)  # a straight line, but for the lengths of months
 
 
 def test_flat_fallback(spark):
@@ -94,7 +137,7 @@ def test_lag_features(spark):
     assert len(got) == 3 and got[0].lags == pytest.approx([i / 14 for i in range(12)]) and got[0].target == pytest.approx(12 / 14)
 
 
-@pytest.mark.parametrize("learner", ["linear", "gbt"])
+@pytest.mark.parametrize("learner", ["network", "linear", "gbt"])
 def test_autoregressive(spark, learner):
     wave = [50 + 10 * np.sin(i / 2) for i in range(40)]
     history = series(spark, ("a", wave), ("b", [2 * y for y in wave]), ("short", [1, 2, 3]), ("constant", [9] * 20))
@@ -116,15 +159,83 @@ def test_autoregressive_single_series(spark):
     assert len(forecast.autoregressive(series(spark, ("a", [1, 2])).drop("s")).collect()) == 6
 
 
-def test_price_forest_follows_the_data(spark):
+def test_networks_know_their_own_series_only(spark):
+    rng = np.random.default_rng(8)
+    fast = [50 + 10 * np.sin(1.9 * i) for i in range(60)]
+    lines = ("slow", [50 + 10 * np.sin(i / 3) for i in range(60)]), ("fast", fast), ("noise", list(rng.normal(5, 1, 40)))
+    together = by_series(forecast.autoregressive(series(spark, *lines), ["s"]))
+    for line in lines:
+        alone = by_series(forecast.autoregressive(series(spark, line), ["s"]))
+        assert [tuple(r) for r in alone[line[0]]] == [tuple(r) for r in together[line[0]]]
+    pooled = by_series(forecast.autoregressive(series(spark, *lines), ["s"], learner="linear"))
+    for name in ("slow", "fast", "noise"):  # the band is the error in the sample
+        assert together[name][0].yhat_upper - together[name][0].yhat < pooled[name][0].yhat_upper - pooled[name][0].yhat
+    wanted = [50 + 10 * np.sin(1.9 * i) for i in range(60, 66)]
+    assert [r.yhat for r in together["fast"]] == pytest.approx(wanted, abs=4)
+
+
+def test_network_gradients():
+    rng = np.random.default_rng(2)
+    x, y, parts = rng.random((9, 12)), rng.random(9), network.initial(12, 1)
+    loss = lambda: float(np.mean((network.forward(parts, x)[-1][:, 0] - y) ** 2))
+    for part, slope in zip(parts, network.gradients(parts, x, y)):
+        place = tuple(rng.integers(0, size) for size in part.shape)
+        before = part[place]
+        part[place] = before + 1e-6
+        above = loss()
+        part[place] = before - 1e-6
+        assert slope[place] == pytest.approx((above - loss()) / 2e-6, abs=1e-6)
+        part[place] = before
+
+
+def grow(rows, quantity):
+    """What a plain regression tree, grown without limit over (x, y, times), says about a quantity."""
+    if len({y for _, y, _ in rows}) == 1 or len({x for x, _, _ in rows}) == 1:
+        return sum(y * n for _, y, n in rows) / sum(n for *_, n in rows)
+    best, values = None, sorted({x for x, _, _ in rows})
+    for a, b in zip(values, values[1:]):
+        sides = [row for row in rows if row[0] <= a], [row for row in rows if row[0] > a]
+        score = sum(sum(y * n for _, y, n in side) ** 2 / sum(n for *_, n in side) for side in sides)
+        if best is None or score > best[0]:
+            best = score, a / 2 + b / 2, sides
+    _, cut, (low, high) = best
+    return grow(low if quantity <= cut else high, quantity)
+
+
+@pytest.mark.parametrize("quantity", [0, 7, 7.5, 19, 100])
+def test_price_forest_is_that_of_grown_trees(spark, quantity):
+    rng = random.Random(9)
+    rows = [(None, rng.choice([1.0, 2.0, rng.random() * 9]), float(rng.choice([3, 5, 7, 8, 20, rng.randint(0, 40)]))) for _ in range(500)]
+    rows += [(None, 4.0, None), (None, None, 7.0), (None, float("nan"), 7.0)]
+    training = spark.createDataFrame(rows, "solfec date, solpre double, solcan double").repartition(3).cache()
+    trees = 12
+    near = forest.near(training, quantity)
+    times = F.array(*(forest._times(F.lit(tree), 42) for tree in range(trees))).alias("times")
+    drawn = near.select("x", "y", times).collect()
+    assert len(drawn) == 500 and 0.8 < sum(map(sum, (r.times for r in drawn))) / (500 * trees) < 1.2
+    wanted = [grow([(r.x, r.y, r.times[tree]) for r in drawn if r.times[tree]], quantity) for tree in range(trees)]
+    row = forest.price_forest(training, quantity, trees=trees).collect()[0]
+    assert row.solcan == float(quantity) and row.precio_estimado == pytest.approx(sum(wanted) / trees)
+
+
+def test_price_forest_looks_at_the_nearest_values(spark):
     training = spark.createDataFrame([(None, float(3 * q), float(q)) for q in range(1, 200)], "solfec date, solpre double, solcan double")
-    row = forecast.price_forest(training, trees=20).collect()[0]
+    assert forest.near(training, 100, nearest=5).select("x").distinct().count() == 10
+    row = forest.price_forest(training, trees=20).collect()[0]
     assert row.solcan == 100.0 and row.precio_estimado == pytest.approx(300, rel=0.1)
 
 
+def test_price_forest_without_rows(spark):
+    empty = spark.createDataFrame([(None, None, 5.0)], "solfec date, solpre double, solcan double")
+    assert forest.price_forest(empty).collect() == []
+    assert forest.price_forest(empty.limit(0)).collect() == []
+
+
 def test_months_already_observed_are_not_forecast(spark):
     history = series(spark, ("open", [1, 2, 3, 4, 5, None, None]), ("none", [None] * 14), ("model", [*range(14), None]))
     linear, seasonal = (by_series(f(history, ["s"])) for f in (forecast.linear_trend, forecast.seasonal_trend))
+    for found in (linear, seasonal):
+        assert [(r.ds, r.yhat, r.yhat_lower, r.yhat_upper) for r in found["none"]] == [(ds, 0.0, 0.0, 0.0) for ds in months(20)[14:]]
     assert [r.ds for r in linear["open"]] == months(13)[7:]
     assert [r.ds for r in seasonal["open"] if r.is_future] == months(13)[7:]
     assert [r.yhat for r in linear["open"]] == pytest.approx([6, 7, 8, 9, 10, 11])
