@@ -31,9 +31,7 @@ def build_silver(warehouse: Warehouse, bronze: Mapping[str, DataFrame], mode: st
 def build_normalized(warehouse: Warehouse) -> None:
     """Dimensions first: facts refer to the stored ones. Staged rows stay below the warehouse and go in the end."""
 
-    def stored(table, **options):
-        return warehouse.table("silver", table, **options)
-
+    stored = warehouse.snapshot("silver").table
     with warehouse.loading("normalizado"), staging(warehouse.spark, warehouse.root):
         groups = warehouse.load("normalizado", "grupos", normalized.groups(stored("grupos")))
         suppliers = warehouse.load("normalizado", "proveedores", normalized.suppliers(stored("proveedores")))
@@ -49,11 +47,11 @@ def build_normalized(warehouse: Warehouse) -> None:
 
 def build_gold(warehouse: Warehouse) -> None:
     """Supplier metrics from normalized receipts, demand from silver ones (their codes are the recorded ones)."""
-    receipts = warehouse.table("normalizado", "fact_recepcion")
-    suppliers = warehouse.table("normalizado", "proveedores")
+    normal, silver_now = warehouse.snapshot("normalizado"), warehouse.snapshot("silver")
     with warehouse.loading("gold"):
-        warehouse.load("gold", "metricas_prediccion_proveedor", gold.supplier_metrics(receipts, suppliers))
-        demand = gold.monthly_demand(warehouse.table("silver", "recepcion"), warehouse.table("silver", "grupos"))
+        metrics = gold.supplier_metrics(normal.table("fact_recepcion"), normal.table("proveedores"))
+        warehouse.load("gold", "metricas_prediccion_proveedor", metrics)
+        demand = gold.monthly_demand(silver_now.table("recepcion"), silver_now.table("grupos"))
         warehouse.load("gold", "prediccion_demanda_mensual", demand)
 
 

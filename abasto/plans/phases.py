@@ -30,7 +30,8 @@ class Report:
 
 
 def _stored(warehouse: Warehouse, layer: str, tables) -> dict[str, DataFrame]:
-    return {table: warehouse.table(layer, table) for table in tables}
+    layer_now = warehouse.snapshot(layer)
+    return {table: layer_now.table(table) for table in tables}
 
 
 def _uniqueness(tables: Mapping[str, DataFrame], layer: str) -> DataFrame:

@@ -43,11 +43,14 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder for staged tables: the one the cluster names in ``spark.checkpoint.dir``.
 
     Spark gives every application a folder of its own below it; where that one is set, it is used, so that staged tables
-    go when the application's checkpoints are cleared. Without either there is no folder all executors are known to reach.
+    go when the application's checkpoints are cleared. Without either there is no folder all executors are known to reach:
+    that is an error, except on one machine, where a folder in the warehouse will do.
     """
     named, own = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()
     if own is not None and (named is None or _parts(own)[: len(_parts(named))] == _parts(named)):
         return own.rstrip("/")
+    if named is None and spark.sparkContext.master.split("[")[0] == "local":
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     if named is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return named.rstrip("/")

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import functools
 import json
+import time
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from dataclasses import dataclass
+from datetime import timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,77 +111,138 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Conflict(RuntimeError):
+    """Another load of the layer became current first; nothing of this one is left."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """The tables of a layer as one pointer file names them. Later loads do not change what it reads."""
+
+    warehouse: Warehouse
+    layer: str
+    number: int
+    versions: Mapping[str, str]
+
+    def path(self, table: str) -> str:
+        if table not in self.versions:
+            raise LookupError(f"no table {self.layer}.{table} in {self.warehouse.root}")
+        return f"{self.warehouse.root}/{self.layer}/{table}/{self.versions[table]}"
+
+    def table(self, table: str, position: bool = False) -> DataFrame:
+        return read_parquet(self.warehouse.spark, self.path(table), struct_of(self.layer, table), position)
+
+
 class Warehouse:
     """Layer tables as parquet folders ``root/layer/table/version``.
 
-    Which version of which table is current is in the newest of the layer's small ``_current-*.json`` files. A load
-    writes a new version first and names it last, by one rename, so a load that fails changes nothing that can be read.
+    Which version of which table is current is in the newest of the layer's numbered ``_current-*.json`` files. A load
+    writes new versions first and names them last, by creating the next pointer file, which fails if that file is there:
+    of loads that began from the same pointer exactly one becomes current, on object stores too. Replaced versions
+    stay readable for ``keep`` after they were replaced, so readers with a ``snapshot`` can finish; ``keep`` has to be longer
+    than any load takes.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep: timedelta = timedelta(days=1)):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
         self._open: dict[str, dict[str, str]] = {}
 
-    def _pointers(self, layer: str) -> list[tuple[int, str]]:
-        filesystem, folder = _filesystem(self.spark, f"{self.root}/{layer}")
+    # -- pointers --------------------------------------------------------------------------------------------------
+
+    def _list(self, path: str) -> list[tuple[str, float]]:
+        """Names in a folder with the time they changed, in seconds."""
+        filesystem, folder = _filesystem(self.spark, path)
         if not filesystem.exists(folder):
             return []
-        names = [status.getPath().getName() for status in filesystem.listStatus(folder)]
-        numbers = [name[9:-5] for name in names if name.startswith("_current-") and name.endswith(".json")]
-        return sorted((int(number), f"{self.root}/{layer}/_current-{number}.json") for number in numbers)
+        return [(status.getPath().getName(), status.getModificationTime() / 1000) for status in filesystem.listStatus(folder)]
+
+    def _pointer(self, layer: str, number: int) -> str:
+        return f"{self.root}/{layer}/_current-{number:08d}.json"
+
+    def _pointers(self, layer: str) -> list[tuple[int, float]]:
+        """Numbers of the pointer files, ascending, with their times."""
+        names = self._list(f"{self.root}/{layer}")
+        found = [(name[9:-5], time) for name, time in names if name.startswith("_current-") and name.endswith(".json")]
+        return sorted((int(number), time) for number, time in found)
+
+    def _read(self, layer: str, number: int) -> dict[str, str] | None:
+        """What a pointer names; nothing while it is being written."""
+        filesystem, path = _filesystem(self.spark, self._pointer(layer, number))
+        stream = filesystem.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        except json.JSONDecodeError:
+            return None
+        finally:
+            stream.close()
+
+    def snapshot(self, layer: str) -> Snapshot:
+        """The layer as it is now."""
+        for number, _ in reversed(self._pointers(layer)):
+            if (found := self._read(layer, number)) is not None:
+                return Snapshot(self, layer, number, found)
+        return Snapshot(self, layer, 0, {})
 
     def versions(self, layer: str) -> dict[str, str]:
         """Table to current version; inside ``loading``, with the tables loaded so far."""
-        found = {}
-        if pointers := self._pointers(layer):
-            filesystem, path = _filesystem(self.spark, pointers[-1][1])
-            stream = filesystem.open(path)
-            try:
-                found = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-            finally:
-                stream.close()
-        return found | self._open.get(layer, {})
+        return dict(self.snapshot(layer).versions) | self._open.get(layer, {})
 
     def path(self, layer: str, table: str) -> str:
-        versions = self.versions(layer)
-        if table not in versions:
-            raise LookupError(f"no table {layer}.{table} in {self.root}")
-        return f"{self.root}/{layer}/{table}/{versions[table]}"
-
-    def _publish(self, layer: str, tables: Mapping[str, str]) -> None:
-        pointers, before = self._pointers(layer), self.versions(layer)
-        number = pointers[-1][0] + 1 if pointers else 1
-        target = f"{self.root}/{layer}/_current-{number:08d}.json"
-        filesystem, hidden = _filesystem(self.spark, f"{self.root}/{layer}/_{uuid.uuid4().hex}.tmp")
-        out = filesystem.create(hidden)
-        out.write(bytearray(json.dumps(before | dict(tables)), "utf-8"))
-        out.close()
-        if not filesystem.rename(hidden, _filesystem(self.spark, target)[1]):
-            raise RuntimeError(f"another load of {layer} came first")
-        for _, path in pointers:
-            delete_folder(self.spark, path)
-        for table, version in before.items():
-            if tables.get(table, version) != version:
-                delete_folder(self.spark, f"{self.root}/{layer}/{table}/{version}")
+        return Snapshot(self, layer, 0, self.versions(layer)).path(table)
+
+    def table(self, layer: str, table: str, position: bool = False) -> DataFrame:
+        return Snapshot(self, layer, 0, self.versions(layer)).table(table, position)
+
+    # -- loads -----------------------------------------------------------------------------------------------------
+
+    def _publish(self, before: Snapshot, tables: Mapping[str, str]) -> None:
+        """Make versions current after ``before``, or raise ``Conflict``."""
+        layer, number = before.layer, before.number + 1
+        pointers = dict(self._pointers(layer))
+        if number in pointers and pointers[number] < time.time() - self.keep.total_seconds() and self._read(layer, number) is None:
+            delete_folder(self.spark, self._pointer(layer, number))  # begun by a load that died
+        filesystem, path = _filesystem(self.spark, self._pointer(layer, number))
+        content = bytearray(json.dumps(dict(before.versions) | dict(tables)), "utf-8")
+        builder = filesystem.createFile(path).recursive().overwrite(False)
+        try:
+            # Where a store can make creation conditional, the check happens when the file is completed.
+            out = builder.opt("fs.option.create.conditional.overwrite", "true").build()
+            out.write(content)
+            out.close()
+        except Py4JJavaError as error:
+            name = error.java_exception.getClass().getSimpleName()
+            if name == "FileAlreadyExistsException" or "already exists" in str(error.java_exception.getMessage()):
+                raise Conflict(f"another load of {layer} came first") from None
+            raise
+
+    def _drop_versions(self, layer: str, tables: Mapping[str, str]) -> None:
+        for table, version in tables.items():
+            delete_folder(self.spark, f"{self.root}/{layer}/{table}/{version}")
 
     @contextmanager
     def loading(self, layer: str) -> Iterator[None]:
         """Loads inside become current together in the end, or not at all."""
         if layer in self._open:
             raise RuntimeError(f"{layer} is being loaded already")
-        self._open[layer] = {}
+        before, loaded = self.snapshot(layer), {}
+        self._open[layer] = loaded
         try:
             yield
-            loaded = self._open.pop(layer)
-            self._publish(layer, loaded)
+            self._publish(before, loaded)
         except BaseException:
-            for table, version in self._open.pop(layer, {}).items():
-                delete_folder(self.spark, f"{self.root}/{layer}/{table}/{version}")
+            self._drop_versions(layer, loaded)
             raise
+        finally:
+            del self._open[layer]
+        self.vacuum(layer)
 
     def load(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace a table by ``df``, cast to the declared schema, and return the stored table."""
+        if layer not in self._open:
+            with self.loading(layer):
+                return self.load(layer, table, df, partition_by)
         schema, version = struct_of(layer, table), uuid.uuid4().hex
         typed = df.select(*(F.col(field.name).cast(field.dataType) for field in schema))
         path = f"{self.root}/{layer}/{table}/{version}"
@@ -186,14 +251,26 @@ class Warehouse:
         except BaseException:
             delete_folder(self.spark, path)
             raise
-        if layer in self._open:
-            self._open[layer][table] = version
-        else:
-            self._publish(layer, {table: version})
+        self._open[layer][table] = version
         return read_parquet(self.spark, path, schema)
 
-    def table(self, layer: str, table: str, position: bool = False) -> DataFrame:
-        return read_parquet(self.spark, self.path(layer, table), struct_of(layer, table), position)
+    def vacuum(self, layer: str, keep: timedelta | None = None) -> None:
+        """Delete pointers that were replaced longer than ``keep`` ago, and versions of that age that no pointer left names."""
+        oldest = time.time() - (self.keep if keep is None else keep).total_seconds()
+        current, pointers = self.snapshot(layer).number, self._pointers(layer)
+        stale = [number for (number, _), (_, replaced) in zip(pointers, pointers[1:], strict=False) if replaced < oldest and number < current]
+        named: set[tuple[str, str]] = set()
+        for number, _ in pointers:
+            if number not in stale:
+                named |= set((self._read(layer, number) or {}).items())
+        for table, _ in self._list(f"{self.root}/{layer}"):
+            if table.startswith("_"):
+                continue
+            for version, changed in self._list(f"{self.root}/{layer}/{table}"):
+                if changed < oldest and (table, version) not in named and self._open.get(layer, {}).get(table) != version:
+                    delete_folder(self.spark, f"{self.root}/{layer}/{table}/{version}")
+        for number in stale:
+            delete_folder(self.spark, self._pointer(layer, number))
 
 
 def load_catalog_table(df: DataFrame, database: str, table: str) -> DataFrame:

@@ -51,9 +51,6 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
-        if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-            # A session that names no shared folder: use a place beside its warehouse.
-            spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str, position: bool = False) -> DataFrame:

@@ -1,5 +1,7 @@
 import json
 import os
+import time
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,7 +91,80 @@ def test_a_failed_load_leaves_the_stored_table(spark, tmp_path):
         warehouse.load("silver", "grupos", good.withColumn("nombre", F.lit("new")))
         assert tables.Warehouse(spark, str(tmp_path)).table("silver", "grupos").first().nombre == "n"
     assert warehouse.table("silver", "grupos").first().nombre == "new"
-    assert len(list((tmp_path / "silver" / "grupos").iterdir())) == 1
+    assert len(versions(tmp_path)) == 2  # the replaced one can still be read
+    warehouse.vacuum("silver", timedelta(0))
+    assert len(versions(tmp_path)) == 1 and warehouse.table("silver", "grupos").first().nombre == "new"
+
+
+def versions(root, layer="silver", table="grupos"):
+    return sorted(path.name for path in (root / layer / table).iterdir())
+
+
+def groups(spark, name):
+    return spark.createDataFrame([("g", name)], "artgrinv string, nombre string")
+
+
+def test_a_snapshot_outlives_loads(spark, tmp_path):
+    warehouse = tables.Warehouse(spark, str(tmp_path))
+    warehouse.load("silver", "grupos", groups(spark, "old"))
+    before = warehouse.snapshot("silver")
+    read = before.table("grupos")
+    with warehouse.loading("silver"):
+        warehouse.load("silver", "grupos", groups(spark, "new"))
+    assert read.first().nombre == "old" and before.table("grupos").first().nombre == "old"
+    assert warehouse.snapshot("silver").table("grupos").first().nombre == "new"
+    assert (before.number, warehouse.snapshot("silver").number) == (1, 2)
+    with pytest.raises(LookupError):
+        before.table("articulos")
+    warehouse.keep = timedelta(0)
+    warehouse.load("silver", "grupos", groups(spark, "newest"))
+    assert len(versions(tmp_path)) == 1 and warehouse.table("silver", "grupos").first().nombre == "newest"
+    assert len(list((tmp_path / "silver").glob("_current-*.json"))) == 1
+
+
+def test_of_two_loads_one_wins(spark, tmp_path):
+    one, other = tables.Warehouse(spark, str(tmp_path)), tables.Warehouse(spark, str(tmp_path))
+    with pytest.raises(tables.Conflict), one.loading("silver"):
+        one.load("silver", "grupos", groups(spark, "first"))
+        with other.loading("silver"):
+            other.load("silver", "grupos", groups(spark, "second"))
+    assert one.table("silver", "grupos").first().nombre == "second" and len(versions(tmp_path)) == 1
+    one.load("silver", "grupos", groups(spark, "third"))
+    assert other.table("silver", "grupos").first().nombre == "third"
+
+
+def test_a_failed_publication_leaves_nothing(spark, tmp_path, monkeypatch):
+    warehouse = tables.Warehouse(spark, str(tmp_path))
+    warehouse.load("silver", "grupos", groups(spark, "old"))
+
+    def fail(*_):
+        raise OSError("no pointer")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.Warehouse, "_publish", fail)
+        for act in (warehouse.load, lambda *given: in_one(warehouse, *given)):
+            with pytest.raises(OSError):
+                act("silver", "grupos", groups(spark, "new"))
+    assert len(versions(tmp_path)) == 1 and warehouse.table("silver", "grupos").first().nombre == "old"
+
+
+def in_one(warehouse, layer, table, df):
+    with warehouse.loading(layer):
+        warehouse.load(layer, table, df)
+
+
+def test_unfinished_pointers_are_passed_over(spark, tmp_path):
+    warehouse = tables.Warehouse(spark, str(tmp_path))
+    warehouse.load("silver", "grupos", groups(spark, "old"))
+    (tmp_path / "silver" / "_current-00000002.json").write_text("")  # being written, or left by a load that died
+    assert warehouse.table("silver", "grupos").first().nombre == "old"
+    with pytest.raises(tables.Conflict):
+        warehouse.load("silver", "grupos", groups(spark, "new"))
+    assert len(versions(tmp_path)) == 1
+    warehouse.keep = timedelta(0)
+    time.sleep(0.01)
+    warehouse.load("silver", "grupos", groups(spark, "new"))
+    assert warehouse.table("silver", "grupos").first().nombre == "new"
 
 
 def test_staging_ends_without_a_trace(spark, tmp_path):
@@ -101,7 +176,7 @@ def test_staging_ends_without_a_trace(spark, tmp_path):
 
 def test_shared_folder_has_to_be_named(spark):
     class Context:
-        own = None
+        own, master = None, "spark://host:7077"
 
         def getCheckpointDir(self):
             return self.own
@@ -109,14 +184,16 @@ def test_shared_folder_has_to_be_named(spark):
     class Conf:
         named = None
 
-        def get(self, name, default):
-            return self.named
+        def get(self, name, default=None):
+            return self.named if name == "spark.checkpoint.dir" else "/w/"
 
     class Session:
         sparkContext, conf = Context(), Conf()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+    Session.sparkContext.master = "local[4]"
+    assert shared_folder(Session()) == "/w/checkpoints"
     Session.conf.named, Session.sparkContext.own = "/data/ck", "file:/data/ck2/x"
     assert shared_folder(Session()) == "/data/ck"
     Session.sparkContext.own = "file:/data/ck/x"
