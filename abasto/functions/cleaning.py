@@ -66,13 +66,12 @@ def whole_number(value: Column | str, mode: str = "strict", target: str = "int")
 def calendar_day(value: Column | str, mode: str = "strict") -> Column:
     """``yymmdd`` or ``yyyy-mm-dd``; any other text is NULL. Lenient mode trims first.
 
-    The short layout is spelt out in the long one, so that one plain cast reads both.
+    The short layout is spelt out in the long one, so that one plain cast reads both. Lengths are compared before patterns.
     """
     lenient = _check(mode)
     value = F.trim(_column(value)) if lenient else _column(value)
     year, month, day = (F.substring(value, start, 2) for start in (1, 3, 5))
     century = F.when(year >= CENTURY_PIVOT, "19").otherwise("20")
-    text = F.when(value.rlike(SIX_DIGITS), F.concat(century, year, F.lit("-"), month, F.lit("-"), day)).when(
-        value.rlike(ISO_DAY), value
-    )
+    short, long = (F.length(value) == 6) & value.rlike(SIX_DIGITS), (F.length(value) == 10) & value.rlike(ISO_DAY)
+    text = F.when(short, F.concat(century, year, F.lit("-"), month, F.lit("-"), day)).when(long, value)
     return text.try_cast("date") if lenient else text.cast("date")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Runtime settings. Months and timestamps are UTC, malformed values are errors, and joins on a hot key are split at
-# run time even when the split costs one more exchange.
+# run time even when the split costs one more exchange. A stage whose generated method is longer than what the JVM compiles
+# (8,000 bytes of bytecode) is run operator by operator: the loads of wide text tables would be interpreted otherwise.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -13,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
