@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from abasto.session import shared_folder
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -37,9 +39,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """A new folder that all executors share: under ``spark.checkpoint.dir``, or the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/abasto-staging/{uuid.uuid4().hex}"
+    """A new folder that all executors share, under ``spark.checkpoint.dir``; on one machine the warehouse will do."""
+    return f"{shared_folder(spark)}/abasto-staging/{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -6,12 +6,15 @@ the pair; the longest one whose words are free on both sides becomes a tile, wha
 until no match of ``least`` words is free. A document is contaminated by an item when tiles cover at least ``cover`` of
 the item's words, in any order. An item shorter than ``least`` words has to occur as a whole.
 
+Where seeds repeat so often that a pair shares more than ``MOST_PLACES`` places (long loops of few words), matches are found
+by their length instead: Karp-Rabin hashes of all free runs of one length on both sides, from the longest length down.
+
 While the benchmark has at most ``broadcast_words`` words (counted first), its hashes are broadcast and every document
-is read once, without a shuffle; beyond that, seeds are joined by a shuffle and texts follow for the pairs that are left.
+is read once, without a shuffle. Beyond that, seeds are joined by a shuffle, pairs that share too few seeds to be covered
+go, and texts follow for those left. Both ways give one row per document row and item row (tested).
 
 Null or empty text: no words, neither found nor searched. Null ``doc_id`` or ``item_id``: reported with null. Repeated
-rows: each document row is reported for itself in the first way, once per ``doc_id`` and text in the second; rows of one
-``item_id`` are items of their own. Empty tables: no rows. Other columns are not read.
+rows, of documents or items: each is reported for itself. Empty tables: no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abasto.llm.common import as_long, gram_hashes, mix, place_in_text, prepare, slices, word_hashes
+from abasto.llm.common import as_long, gram_hashes, place_in_text, prepare, slices, word_hashes
 
 LEAST, COVER = 5, 0.6
+MOST_PLACES = 1 << 20  # places that a document and an item share, listed at once
 BROADCAST_WORDS = 1 << 20  # 8 bytes a word, and as much for the seeds: 16 MB at most
 
 _MARKS = bytes(set(range(128)) - set(b"0123456789abcdefghijklmnopqrstuvwxyz"))
@@ -71,6 +75,53 @@ def tile(item: np.ndarray, at_item: np.ndarray, at_doc: np.ndarray, least: int)
     return tiles
 
 
+def tile_by_length(item: np.ndarray, doc: np.ndarray, least: int) -> list[list[int]]:
+    """The tiles of greedy string tiling, in memory that grows with the words and not with the places they share."""
+    sides = [item, doc]
+    used = [np.zeros(len(side), dtype=bool) for side in sides]
+
+    def free_runs(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        found = []
+        for side, taken in zip(sides, used, strict=True):
+            if len(side) < size:
+                return []
+            sums = np.concatenate([[0], np.cumsum(taken)])
+            starts = np.flatnonzero(sums[size:] == sums[:-size])
+            found.append((starts, gram_hashes(side, size)[starts]))
+        return found
+
+    def common(size: int) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        runs = free_runs(size)
+        return runs if runs and len(np.intersect1d(runs[0][1], runs[1][1])) else None
+
+    tiles, most = [], min(len(item), len(doc))
+    while most >= least and common(least):
+        low, high = least, most  # the longest common free run is at least ``low``
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if common(middle) else (low, middle - 1)
+        most = low
+        (starts, hashes), (places, names) = common(most)
+        order = np.argsort(hashes, kind="stable")
+        hashes, starts = hashes[order], starts[order]
+        first = np.searchsorted(hashes, names)
+        last = np.searchsorted(hashes, names, side="right")
+        at_of = {}  # the next place of each run in the item
+        for b, begin, end in zip(places.tolist(), first.tolist(), last.tolist(), strict=True):
+            if begin == end or used[1][b : b + most].any():
+                continue
+            at = at_of.get(begin, begin)
+            while at < end and used[0][starts[at] : starts[at] + most].any():
+                at += 1
+            at_of[begin] = at
+            if at < end:
+                a = int(starts[at])
+                used[0][a : a + most] = used[1][b : b + most] = True
+                tiles.append([a, b, most])
+        most -= 1
+    return tiles
+
+
 class Benchmark:
     """Word hashes of items, and their seeds in hash order with a small filter in front."""
 
@@ -113,10 +164,12 @@ class Benchmark:
 
     def leaks(self, words: np.ndarray, places: np.ndarray, entries: np.ndarray, cover: float) -> list[tuple]:
         """(item, its words, covered, longest tile, tiles) of the items that one document covers."""
-        ends = np.searchsorted(self.seeds, self.seeds[entries], side="right")
-        counts = ends - entries
-        spread = np.repeat(entries - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        at_doc, owner, at_item = np.repeat(places, counts), self.owner[spread], self.place[spread]
+        places = places[np.argsort(entries, kind="stable")]
+        seeds, times = np.unique(entries, return_counts=True)
+        first = np.cumsum(times) - times  # where a seed's places in the document begin
+        counts = np.searchsorted(self.seeds, self.seeds[seeds], side="right") - seeds
+        spread = np.repeat(seeds - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        seed, owner, place = np.repeat(np.arange(len(seeds)), counts), self.owner[spread], self.place[spread]
         order = np.argsort(owner, kind="stable")
         cuts = np.flatnonzero(np.diff(owner[order])) + 1
         found = []
@@ -124,11 +177,17 @@ class Benchmark:
             number = int(owner[chosen[0]])
             item = self.words[number]
             least = min(self.least, len(item))
-            touched = np.unique(at_item[chosen])
+            touched = np.unique(place[chosen])
             reach = np.minimum(np.diff(touched, append=touched[-1] + least), least).sum()
             if reach < cover * len(item):
                 continue
-            tiles = tile(item, at_item[chosen], at_doc[chosen], least)
+            own = times[seed[chosen]]
+            if own.sum() > MOST_PLACES:
+                tiles = tile_by_length(item, words, least)
+            else:
+                ends = np.cumsum(own)
+                at_doc = places[np.repeat(first[seed[chosen]] - ends + own, own) + np.arange(ends[-1])]
+                tiles = tile(item, np.repeat(place[chosen], own), at_doc, least)
             covered = sum(size for _, _, size in tiles)
             if covered >= cover * len(item):
                 found.append((self.ids[number], len(item), covered, max(size for _, _, size in tiles), tiles))
@@ -176,20 +235,30 @@ def search_all(items, least: int, cover: float):
 
 
 def seed_rows(least: int, short: list[int]):
-    """(id, text) to (seed, id), each once a text; seeds of the given shorter lengths too."""
+    """(name, text) to (seed, name, places, words): each seed once a text, in how many places, of how many words; seeds of
+    the given shorter lengths too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
             words, bounds = word_hashes(plain(texts))
-            seeds, owners = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+            none = np.zeros(0, dtype=np.int64)
+            seeds, owners, places = [none.astype(np.uint64)], [none], [none]
             for row, (start, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
                 for size in {least, *short}:
                     if end - start >= size:
-                        seeds.append(np.unique(gram_hashes(words[start:end], size) + np.uint64(size)))
-                        owners.append(np.full(len(seeds[-1]), row))
-            owner = pa.array(np.concatenate(owners))
+                        found, times = np.unique(gram_hashes(words[start:end], size) + np.uint64(size), return_counts=True)
+                        seeds.append(found)
+                        places.append(times)
+                        owners.append(np.full(len(found), row))
+            owner = np.concatenate(owners)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(as_long(np.concatenate(seeds))), part.column(0).take(owner)], ["seed", "name"]
+                [
+                    pa.array(as_long(np.concatenate(seeds))),
+                    part.column(0).take(pa.array(owner)),
+                    pa.array(np.concatenate(places)),
+                    pa.array(np.diff(bounds)[owner]),
+                ],
+                ["seed", "name", "places", "words"],
             )
 
     return run
@@ -207,17 +276,6 @@ def length_rows(least: int):
     return run
 
 
-def named_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (name, id, text); equal ids with equal texts get one name."""
-    for part, texts in slices(batches):
-        ids = part.column(0).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.uint64)
-        sums = [int(h.sum(dtype=np.uint64)) if len(h := word_hashes([text])[0]) else 0 for text in texts]
-        names = mix(mix(ids) ^ np.array(sums, dtype=np.uint64) ^ np.array([len(text) for text in texts], np.uint64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(as_long(names)), part.column(0), part.column(1)], ["name", "id", "text"]
-        )
-
-
 def pair_rows(least: int, cover: float):
     """(doc_id, text, item_id, item text) to report rows."""
 
@@ -254,15 +312,19 @@ def report(
     if size <= broadcast_words:  # no more words than characters
         shared = spark.sparkContext.broadcast([(row.id, row.text.encode()) for row in items.collect()])
         return texts.mapInArrow(search_all(shared, least, cover), SCHEMA)
-    named = "name bigint, id bigint, text string"
-    texts, items = texts.filter("text IS NOT NULL").mapInArrow(named_rows, named), items.mapInArrow(named_rows, named)
-    seeds = "seed bigint, name bigint"
-    lengths = items.select("name", "text").mapInArrow(length_rows(least), "length int").distinct().collect()
+    # A row's name: 128 bits of its id and its text. Rows with one name are equal, and each comes back in the joins.
+    name = F.struct(F.xxhash64("id", "text").alias("high"), F.xxhash64(F.lit(1), "text", "id").alias("low")).alias("name")
+    texts, items = (rows.filter("text IS NOT NULL").select(name, "id", "text") for rows in (texts, items))
+    seeds = "seed bigint, name struct<high: bigint, low: bigint>, places bigint, words bigint"
+    lengths = items.select("text", F.lit(0)).mapInArrow(length_rows(least), "length int").distinct().collect()
     short = [row.length for row in lengths]  # at most ``least`` values
-    ours = texts.select("name", "text").mapInArrow(seed_rows(least, short), seeds).toDF("seed", "doc")
-    theirs = items.select("name", "text").mapInArrow(seed_rows(least, short), seeds).toDF("seed", "item")
-    pairs = ours.join(theirs, "seed").select("doc", "item").distinct()
-    pairs = pairs.join(texts.dropDuplicates(["name"]).toDF("doc", "doc_id", "text"), "doc")
+    ours = texts.select("name", "text").mapInArrow(seed_rows(least, short), seeds).select("seed", F.col("name").alias("doc"))
+    theirs = items.dropDuplicates(["name"]).select("name", "text").mapInArrow(seed_rows(least, short), seeds)
+    shared = ours.distinct().join(theirs.withColumnRenamed("name", "item"), "seed").groupBy("doc", "item")
+    # A shared seed covers at most so many words as it has, in each of its places in the item.
+    enough = F.sum("places") * least >= F.lit(cover) * F.max("words")
+    pairs = shared.agg(enough.alias("enough")).filter("enough").select("doc", "item")
+    pairs = pairs.join(texts.toDF("doc", "doc_id", "text"), "doc")
     pairs = pairs.join(items.toDF("item", "item_id", "item_text"), "item")
     return pairs.select("doc_id", "text", "item_id", "item_text").mapInArrow(pair_rows(least, cover), SCHEMA)
 

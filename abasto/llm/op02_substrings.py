@@ -9,9 +9,9 @@ together to maximal ones. Only ids, places and hashes are shuffled for this, and
 A window is removed where its words also start earlier: in a smaller ``doc_id``, or before it in its document.
 Windows are judged on the input. Hashes have 64 bits and windows are compared under the seed's hash too.
 
-Null text: no words. Null ``doc_id``: kept whole and compared with nothing. Rows that repeat a ``doc_id``
-count as one document when they have the same text; each row is returned. Empty table: no rows. Other columns are not
-read.
+Null text: no words. Null ``doc_id``: kept whole and compared with nothing. Rows that repeat a ``doc_id`` with the same text
+count as one document; with different texts they are documents in the order of the texts' hashes. Each row is returned.
+Empty table: no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def _flagged(places: list, bounds: np.ndarray, windows: np.ndarray, seeds: np.nd
 
 
 def window_rows(span: int, gram: int):
-    """(doc_id, text, places of repeated seeds) to one row per window that picked such a seed."""
+    """(doc_id, text, places of repeated seeds, nth) to one row per window that picked such a seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
@@ -88,20 +88,21 @@ def window_rows(span: int, gram: int):
                     pa.array(as_long(gram_hashes(words, span)[windows])) if len(windows) else pa.array([], pa.int64()),
                     pa.array((grams[seeds] >> np.uint64(40)).astype(np.int32)),
                     part.column(0).take(pa.array(owner)),
+                    part.column(3).take(pa.array(owner)),
                     pa.array((windows - bounds[owner]).astype(np.int32)),
                 ],
-                ["window", "seed", "doc_id", "place"],
+                ["window", "seed", "doc_id", "nth", "place"],
             )
 
     return run
 
 
 def result_rows(span: int, gram: int):
-    """(doc_id, text, places of repeated seeds, places of first windows) to the kept words and the removed spans."""
+    """(doc_id, text, places of repeated seeds, nth, places of first windows) to the kept words and the removed spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
-            places, firsts = part.column(2).to_pylist(), part.column(3).to_pylist()
+            places, firsts = part.column(2).to_pylist(), part.column(4).to_pylist()
             split = [text.split() for text in texts]
             removed, spans, kept = [0] * len(texts), [[] for _ in texts], [b" ".join(words) for words in split]
             if any(places):
@@ -145,10 +146,15 @@ def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     repeated = seeds.groupBy("seed", F.hash("seed").alias("half")).agg(F.count("*").alias("n")).filter("n > 1")
     repeated = repeated.select("seed")
     hits = seeds.join(repeated, "seed", "left_semi").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    hits = stage(hits)  # few rows from the largest shuffle: written once, read twice
-    found = texts.join(hits.hint("shuffle_hash"), "doc_id", "left")
-    windows = found.mapInArrow(window_rows(span, gram), "window bigint, seed int, doc_id bigint, place int")
-    earliest = windows.groupBy("window", "seed").agg(F.min(F.struct("doc_id", "place")).alias("at"))
-    firsts = earliest.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list("at.place").alias("firsts"))
+    several = texts.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", F.lit(True).alias("several"))
+    hits = stage(hits.join(several, "doc_id", "left"))  # few rows from the largest shuffle: written once, read twice
+    # Which row of its id a row is: the hash of its text, where there are several rows; nothing to send otherwise.
+    nth = F.when(F.col("several"), F.xxhash64("text")).otherwise(0).alias("nth")
+    found = texts.join(hits.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "places", nth)
+    windows = found.mapInArrow(window_rows(span, gram), "window bigint, seed int, doc_id bigint, nth bigint, place int")
+    earliest = windows.groupBy("window", "seed").agg(F.min(F.struct("doc_id", "nth", "place")).alias("at"))
+    firsts = earliest.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.nth").alias("nth"))
+    firsts = firsts.agg(F.collect_list("at.place").alias("firsts"))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, spans array<array<bigint>>, kept string"
-    return found.join(firsts.hint("shuffle_hash"), "doc_id", "left").mapInArrow(result_rows(span, gram), schema)
+    rows = found.join(firsts.hint("shuffle_hash"), ["doc_id", "nth"], "left").select("doc_id", "text", "places", "nth", "firsts")
+    return rows.mapInArrow(result_rows(span, gram), schema)

@@ -13,8 +13,9 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SIZE = 65_537  # prime, more than 100 slots a shard for some hundred shards
 
@@ -60,5 +61,13 @@ def place(df: DataFrame, key: str, shards: list[str], size: int = SIZE) -> DataF
 
 
 def write_shards(df: DataFrame, key: str, shards: list[str], folder: str, size: int = SIZE) -> None:
-    """One folder per shard. A shard's rows are written by as many tasks as hold them."""
-    place(df, key, shards, size).write.partitionBy("shard").parquet(folder)
+    """One folder per shard. Rows are brought together by shard first, and a large shard is dealt over several tasks."""
+    placed = place(df, key, shards, size).hint("rebalance", F.col("shard"))
+    placed.write.partitionBy("shard").option("compression", "zstd").parquet(folder)
+
+
+def read_shards(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """The rows of all shards, with the shard's name; ``schema`` is that of the table that was sharded."""
+    kept = [field for field in schema if field.name not in ("slot", "shard")]
+    extra = [T.StructField("slot", T.IntegerType()), T.StructField("shard", T.StringType())]
+    return spark.read.schema(T.StructType([*kept, *extra])).parquet(folder)

@@ -42,10 +42,11 @@ CLASSES = (
     (re.compile(r"[A-Za-z0-9]{20,}"), 3.6),
     (re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.8),
 )
-ALLOWED = re.compile(
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|.*(example|sample|placeholder|dummy|changeme|your[_-]).*",
-    re.IGNORECASE | re.DOTALL,
-)
+ALLOWED = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+# Words of samples: one that stands on its own clears itself only, one inside other characters the value around it.
+SAMPLES = "example|sample|placeholder|dummy|changeme|your"
+SAMPLE = re.compile(SAMPLES, re.IGNORECASE)
+OWN = re.compile(f"(?<![A-Za-z0-9+])(?:[a-z]*(?:{SAMPLES})[a-z]*)(?![A-Za-z0-9+])", re.IGNORECASE)
 # A link behind its scheme: to the first character that no link holds as such, and therein user, host with path.
 LINK = re.compile(r"""://[^\s"'`<>(){}\[\]|\\^,;]*""")
 _PLACE = re.compile(r"://([^/?#&@]*(?:@[^/?#&@]*)*@)?[^?#&]*")
@@ -82,12 +83,22 @@ def link_places(text: str) -> Iterator[tuple[int, int]]:
             yield (place.start() if place[1] is None else place.end(1)), place.end()
 
 
+def values_of(candidate: str) -> Iterator[tuple[int, str]]:
+    """What of a candidate has to be tested, with its place: without the words of samples, and the values that hold one."""
+    if not SAMPLE.search(candidate):
+        yield 0, candidate
+        return
+    bare = OWN.sub(lambda word: "." * len(word[0]), candidate)
+    for value in re.finditer(r"[^=.]+", bare):
+        if len(value[0]) >= WINDOW and not SAMPLE.search(value[0]):
+            yield value.start(), value[0]
+
+
 def allowed(candidate: str) -> bool:
-    """Whether a candidate is no secret for sure, whatever stands around it."""
+    """Whether a value is no secret for sure, whatever stands around it."""
     steps = sum(abs(ord(b) - ord(a)) <= 1 for a, b in zip(candidate, candidate[1:], strict=False))
     return (
-        bool(ALLOWED.fullmatch(candidate))
-        or len(set(candidate)) < 8
+        len(set(candidate)) < 8
         or 2 * steps > len(candidate)
         or not (re.search("[0-9]", candidate) and re.search("[A-Za-z]", candidate))
     )
@@ -117,12 +128,13 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
             place = next(places, None)
         if candidate[0].isalpha() or (place and place[0] <= start and candidate.end() <= place[1]):
             continue
-        if allowed(candidate[0]):
+        if ALLOWED.fullmatch(candidate[0]):
             continue
-        for kind, bound in CLASSES:
-            for run in kind.finditer(candidate[0]):
-                at = start + run.start()
-                spans += [(at + a, at + b) for a, b in window_spans(run[0], bound)]
+        for shift, value in values_of(candidate[0]):
+            for kind, bound in CLASSES if not allowed(value) else ():
+                for run in kind.finditer(value):
+                    at = start + shift + run.start()
+                    spans += [(at + a, at + b) for a, b in window_spans(run[0], bound)]
     merged: list[tuple[int, int]] = []
     for start, end in sorted(spans):
         if merged and start <= merged[-1][1]:

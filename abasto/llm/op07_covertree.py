@@ -12,7 +12,7 @@ The pivots only decide where pruning works: every class is placed and every node
 walked, so the result is exact. Vectors of different lengths have no cosine and are not compared.
 
 Null label, null, zero or non-finite vectors: no links, their own component. Null ``vec_id``: not compared, its component
-is null. Repeated ``vec_id``: rows count as vectors of their own in the links of others. Empty table: no rows. Other columns
+is null. Repeated ``vec_id``: every row is a vector of its own, with the links and the component of its vector. Empty table: no rows. Other columns
 are not read.
 """
 
@@ -285,20 +285,19 @@ def join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     )
     schema = "vec_id bigint, label int, length int, name binary, vector binary"
     rows = stage(given.mapInArrow(vector_rows, schema))
+    # A class, all equal vectors of a label, is known by a hash, as a ``vec_id`` may be given to different vectors.
     classes = rows.filter("name IS NOT NULL").groupBy("label", "name").agg(
-        F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("length").alias("length"), F.first("vector").alias("vector")
+        F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("length").alias("length"), F.first("vector").alias("vector")
     )
-    classes = stage(classes.select("label", "name", "vec_id", "copies", "length", "vector"))
-    links = _links(classes.select("label", "length", "vec_id", "copies", "vector"), cosine)
-    roots = components(links.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).toDF("first", "root")
-    counts = links.groupBy("vec_id").agg(F.sum("links").alias("links")).withColumnRenamed("vec_id", "first")
-    named = classes.select("label", "name", F.col("vec_id").alias("first"), "copies")
-    named = named.join(counts, "first", "left").join(roots, "first", "left")
-    named = named.select(
-        "label", "name",
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("root", "first").alias("component_id"),
-    )
+    classes = stage(classes.select(F.xxhash64("label", "name").alias("class"), "label", "name", "first", "copies", "length", "vector"))
+    links = _links(classes.select("label", "length", F.col("class").alias("vec_id"), "copies", "vector"), cosine)
+    roots = components(links.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).toDF("class", "root")
+    counts = links.groupBy("vec_id").agg(F.sum("links").alias("links")).withColumnRenamed("vec_id", "class")
+    placed = classes.select("class", "label", "name", "first", "copies").join(roots, "class", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "class"))
+    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = placed.join(least, "root").join(counts, "class", "left")
+    named = named.select("label", "name", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     found = rows.select("vec_id", "label", "name").join(named, ["label", "name"], "left")
     component = F.coalesce("component_id", "vec_id")
     return found.select(

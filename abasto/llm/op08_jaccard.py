@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abasto.llm.common import as_long, gram_hashes, mix, prepare, slices, stage, word_hashes
@@ -112,17 +112,18 @@ def names_of(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, n_shingles, sid, sketch)."""
+    """(doc_id, text, digest) to (doc_id, digest, n_shingles, sid, sketch)."""
     for part, texts in slices(batches):
         sets = shingle_sets(texts)
         yield pa.RecordBatch.from_arrays(
             [
                 part.column(0),
+                part.column(2),
                 pa.array([len(members) for members in sets], pa.int64()),
                 pa.array(names_of(sets)),
                 pa.array([bit_sketch(members).tobytes() for members in sets], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "sid", "sketch"],
+            ["doc_id", "digest", "n_shingles", "sid", "sketch"],
         )
 
 
@@ -387,16 +388,49 @@ def _open_cells(everyone: DataFrame, small: DataFrame, links: DataFrame) -> Data
     return cells.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest ``doc_id`` reachable by links."""
+def digest_of(text: Column) -> Column:
+    """What tells rows of one ``doc_id`` apart."""
+    return F.xxhash64(text.cast("string"))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, digest (of its text), n_shingles, component_id, and root, a hash that names its group.
+
+    ``component_id`` alone does not name a group where different texts share a ``doc_id``. ``root`` is null without a set.
+    """
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stage(texts.mapInArrow(set_rows, "doc_id bigint, n_shingles bigint, sid bigint, sketch binary"))
+    marked = texts.select("doc_id", "text", digest_of(F.col("text")).alias("digest"))
+    sets = stage(marked.mapInArrow(set_rows, "doc_id bigint, digest bigint, n_shingles bigint, sid bigint, sketch binary"))
     classes, links = _linked_classes(texts, sets)
     roots = components(links).toDF("sid", "root")
     placed = classes.select("sid", "doc_id").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = placed.join(least, "root").select("sid", "component_id")
-    found = sets.select("doc_id", "n_shingles", F.when(F.expr("n_shingles > 0 AND doc_id IS NOT NULL"), F.col("sid")).alias("sid"))
-    found = found.join(named, "sid", "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = placed.join(least, "root").select("sid", "component_id", "root")
+    has_set = F.expr("n_shingles > 0 AND doc_id IS NOT NULL")
+    found = sets.select("doc_id", "digest", "n_shingles", F.when(has_set, F.col("sid")).alias("sid")).join(named, "sid", "left")
+    return found.select("doc_id", "digest", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "root")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest ``doc_id`` reachable by links."""
+    return groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Of every group the row with the smallest ``doc_id``, with its columns; documents without an id are all kept.
+
+    Where rows share that id, the one with the smallest hash of its text stays, and of rows with the same text the one with
+    the smallest hash of all columns: a rerun keeps the same rows. Texts without words are groups of equal texts of one id.
+    """
+    found = groups(docs).filter("doc_id IS NOT NULL")
+    group = F.when(F.col("root").isNull(), F.struct("doc_id", "digest")).alias("alone")
+    kept = found.groupBy("root", group).agg(F.min(F.struct("doc_id", "digest")).alias("least"))
+    kept = kept.select(F.col("least.doc_id").alias("_kept_id"), F.col("least.digest").alias("_kept_digest")).distinct()
+    packed = docs.filter("doc_id IS NOT NULL").select(F.struct("*").alias("row"))
+    packed = packed.select(
+        F.col("row.doc_id").cast("bigint").alias("_kept_id"), digest_of(F.col("row.text")).alias("_kept_digest"), "row"
+    )
+    own = packed.join(kept, ["_kept_id", "_kept_digest"], "left_semi").groupBy("_kept_id", "_kept_digest")
+    own = own.agg(F.min(F.struct(F.xxhash64("row").alias("order"), "row")).alias("least")).select("least.row.*")
+    return own.unionByName(docs.filter("doc_id IS NULL"))

@@ -184,7 +184,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> bytes | N
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    drawn = texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+    drawn = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id")
+    # Of several rows of one id, the same one every time.
+    drawn = drawn.agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"), F.first("label").alias("label"))
+    drawn = drawn.select("doc_id", "least.text", "label")
     models = drawn.coalesce(1).mapInArrow(fit_rows, "model binary").collect()
     return bytes(models[0].model) if models else None
 

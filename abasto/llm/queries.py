@@ -22,7 +22,7 @@ from abasto.llm import op10_quality as quality
 from abasto.llm import op11_alignment as alignment
 from abasto.llm import op12_filter_audit as filter_audit
 from abasto.llm import op13_quality_rules as quality_rules
-from abasto.llm.common import table
+from abasto.llm.common import staging_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,7 +54,10 @@ def op3_html(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    return op04_sharding.place(table(spark, folder, "documents").select("doc_id"), "doc_id", SHARDS)
+    """Whole documents are written shard by shard; the rows are those of the files."""
+    docs, target = table(spark, folder, "documents"), staging_folder(spark)
+    op04_sharding.write_shards(docs, "doc_id", SHARDS, target)
+    return op04_sharding.read_shards(spark, target, docs.schema).select("doc_id", "slot", "shard")
 
 
 @query

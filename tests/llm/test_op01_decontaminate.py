@@ -128,3 +128,41 @@ def test_long_document(spark):
     doc = " ".join(f"w{i % 9973}" for i in range(100_000)) + " here comes the one item of it all"
     left, right = frames(spark, [(1, doc)], [(1, "here comes the one item of it all")])
     assert [(r.covered, r.longest) for r in op.report(left, right).collect()] == [(8, 8)]
+
+
+def test_one_row_for_each_document_row_and_item_row(spark):
+    passage, turned = "one two three four five six seven eight", "five six seven eight one two three four"
+    docs = [(1, passage), (1, passage), (1, turned), (2, turned), (2, passage), (None, passage), (None, turned), (None, passage)]
+    docs += [(3, "eight seven six five four three two one"), (3, None)]
+    items = [(5, passage), (5, passage), (None, passage), (6, turned), (7, None), (8, "four five")]
+    left, right = frames(spark, docs, items)
+    found = [
+        sorted((r.doc_id or 0, r.item_id or 0, r.covered, r.longest) for r in op.report(left, right, broadcast_words=limit).collect())
+        for limit in (op.BROADCAST_WORDS, 0)
+    ]
+    assert found[0] == found[1]
+    wanted = sum(len(expected([(0, text)], [(0, item)])) for _, text in docs for _, item in items)
+    assert len(found[0]) == wanted == 5 * 3 + 3 + 5
+
+
+def test_tiles_by_length():
+    rng = np.random.default_rng(4)
+    for _ in range(150):
+        item, doc = (rng.integers(0, 3, size).astype(np.uint64) for size in (rng.integers(3, 15), rng.integers(3, 40)))
+        tiles, brute = op.tile_by_length(item, doc, 3), tiles_by_search(item.tolist(), doc.tolist(), 3)
+        assert (not tiles) == (not brute) and (not brute or tiles[0][2] == brute[0][2])
+        for side, words_ in ((0, item), (1, doc)):
+            taken = [place for t in tiles for place in range(t[side], t[side] + t[2])]
+            assert len(taken) == len(set(taken))
+        assert all((item[i : i + n] == doc[j : j + n]).all() for i, j, n in tiles)
+        free = [[None if place in {p for t in tiles for p in range(t[k], t[k] + t[2])} else w for place, w in enumerate(side.tolist())]
+                for k, side in enumerate((item, doc))]
+        grams = [{tuple(side[i : i + 3]) for i in range(len(side) - 2) if None not in side[i : i + 3]} for side in free]
+        assert not grams[0] & grams[1]  # nothing is left
+
+
+def test_loops_of_one_word(spark):
+    left, right = frames(spark, [(1, "ha " * 8000), (2, "ha " * 3000)], [(1, "ha " * 8000), (2, "ha he " * 2000)])
+    for limit in (op.BROADCAST_WORDS, 0):
+        found = op.report(left, right, broadcast_words=limit).collect()
+        assert [(r.doc_id, r.item_id, r.covered) for r in found] == [(1, 1, 8000)]

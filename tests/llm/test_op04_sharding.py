@@ -61,5 +61,8 @@ def test_place(spark, tmp_path):
         assert (row.slot, row.shard) == (slot, NAMES[table[slot]])
     assert op.place(df.limit(0), "doc_id", NAMES, 101).collect() == []
     op.write_shards(df.drop("shard"), "doc_id", NAMES, str(tmp_path / "shards"), 101)
-    assert spark.read.parquet(str(tmp_path / "shards")).count() == len(rows)
+    back = op.read_shards(spark, str(tmp_path / "shards"), df.schema)
+    assert back.columns == found.columns and sorted(map(str, back.collect())) == sorted(map(str, got))
+    op.write_shards(df.limit(0), "doc_id", NAMES, str(tmp_path / "none"), 101)
+    assert op.read_shards(spark, str(tmp_path / "none"), df.schema).collect() == []
     assert np.unique(table).size == len(NAMES)

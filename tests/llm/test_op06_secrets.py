@@ -74,6 +74,15 @@ def test_what_entropy_adds_and_what_is_allowed():
         assert spans(text) == []
 
 
+def test_words_of_samples_clear_themselves_only():
+    secret = "sK9xQ2mP7vL4tR8wZ1nB6cY3"
+    for text in (f"example_key={secret}", f"path/sample/{secret}", f"{secret}/placeholder", f"your-{secret}", f"a=sample=dummy={secret}"):
+        found = spans(text)
+        assert len(found) == 1 and secret in found[0], text
+    for text in (f"{secret}EXAMPLEKEY", f"key={secret[:12]}changeme{secret[12:]}", "path/sample/example_key=changeme-placeholder/dummy1"):
+        assert spans(text) == [], text
+
+
 def test_links_end_where_no_link_goes_on():
     secret, path = "sK9xQ2mP7vL4tR8wZ1nB6cY3", "pQ7zT3vX9mK2rL8wB5nD1cF6"
     for text in (

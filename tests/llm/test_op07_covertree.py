@@ -86,3 +86,9 @@ def test_odd_rows(spark):
     found = sorted((r.vec_id or 0, r.n_links, r.component_id or 0) for r in op.join(frame(spark, rows)).collect())
     assert found == [(0, 0, 0), (4, 2, 4), (4, 2, 4), (9, 2, 4), (10, 0, 10)]
     assert op.join(frame(spark, []).limit(0)).collect() == []
+
+
+def test_different_vectors_of_one_id(spark):
+    rows = [(4, [1.0, 0.0], 1), (4, [0.0, 1.0], 1), (9, [1.0, 0.1], 1), (7, [0.1, 1.0], 1), (8, [0.05, 1.0], 1)]
+    found = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in op.join(frame(spark, rows)).collect())
+    assert found == [(4, 1, 4, True), (4, 2, 4, True), (7, 2, 4, False), (8, 2, 4, False), (9, 1, 4, False)]

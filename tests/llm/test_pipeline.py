@@ -47,10 +47,19 @@ def test_rows_without_id_and_copies_of_an_id(spark):
     assert corpus_pipeline.near_copies(spark, docs.limit(0), FOLDER).collect() == []
 
 
+def test_of_an_id_with_two_texts_the_copy_goes(spark):
+    a, b = (" ".join(f"{letter}{i}" for i in range(30)) for letter in "ab")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (2, b, "y"), (3, "", "x"), (3, "", "y"), (3, None, "x"), (4, "", "x"), (5, a + " end", "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    found = [sorted(map(tuple, corpus_pipeline.near_copies(spark, docs.repartition(n), FOLDER).collect()), key=str) for n in (1, 3)]
+    assert found[0] == found[1]
+    assert [(doc, text) for doc, text, _ in found[0]] == sorted([(1, a), (2, b), (3, ""), (3, None), (4, "")], key=str)
+
+
 def test_run_and_entries(spark):
     assert corpus_pipeline.run(spark, FOLDER).columns == [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
     ]
     names = [name.split("_")[0] for name in entry.queries() if name.startswith("op")]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14)) and "pipeline" in entry.queries()
     assert zlib.crc32(b"5") % 3 in (0, 1, 2)
