@@ -1,42 +1,49 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again before the next one.
 
-Every stage works on all rows that the one before it kept, and all but the last return the columns of the documents.
-Rows without a ``doc_id`` pass the stages that compare documents; rows that repeat a ``doc_id`` count as copies of one.
+Every stage works on all rows that the one before it kept, and all but the last return the columns of the documents. No
+documents give no rows in any stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from abasto.llm import op01_decontaminate, op05_packing, op06_secrets, op08_jaccard, op10_quality
 from abasto.llm.common import stage, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Fit the classifier on the labelled ones of the documents and leave out what it rejects."""
+    """Fit the classifier on the labelled ones of the documents and leave out what it rejects.
+
+    A null text is scored as an empty one. Repeated rows are scored alike; without usable labels nothing is rejected.
+    """
     return op10_quality.accept(docs, op10_quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents, keep the one with the smallest ``doc_id``."""
-    kept = op08_jaccard.join(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    own = docs.join(kept, docs["doc_id"].cast("bigint") == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return own.unionByName(docs.filter("doc_id IS NULL"))
+    """Of every group of linked documents, keep the one with the smallest ``doc_id``.
+
+    Rows without an id stay. A null text is linked with nothing. Of rows that share an id, one stays for each group they
+    are the first of: by the hash of the text, then of all columns.
+    """
+    return op08_jaccard.keep_one(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave out documents that hold a benchmark item."""
+    """Leave out documents that hold a benchmark item.
+
+    Rows without an id or a text stay. All rows of an id go where one of them holds an item.
+    """
     return op01_decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put a mark in the place of every secret."""
+    """Put a mark in the place of every secret. Every row stays, a null text too."""
     return op06_secrets.redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences. Every row is packed on its own; a null text is its end id."""
     return op05_packing.pack(docs)
 
 
