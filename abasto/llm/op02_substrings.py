@@ -153,8 +153,9 @@ def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     found = texts.join(hits.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "places", nth)
     windows = found.mapInArrow(window_rows(span, gram), "window bigint, seed int, doc_id bigint, nth bigint, place int")
     earliest = windows.groupBy("window", "seed").agg(F.min(F.struct("doc_id", "nth", "place")).alias("at"))
-    firsts = earliest.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.nth").alias("nth"))
-    firsts = firsts.agg(F.collect_list("at.place").alias("firsts"))
+    # Both joins are by the id alone: the texts are exchanged once.
+    firsts = earliest.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("at.nth", "at.place")).alias("firsts"))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, spans array<array<bigint>>, kept string"
-    rows = found.join(firsts.hint("shuffle_hash"), ["doc_id", "nth"], "left").select("doc_id", "text", "places", "nth", "firsts")
+    own = F.transform(F.filter("firsts", lambda first: first["nth"] == F.col("nth")), lambda first: first["place"])
+    rows = found.join(firsts.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "places", "nth", own.alias("firsts"))
     return rows.mapInArrow(result_rows(span, gram), schema)
