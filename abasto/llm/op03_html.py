@@ -3,7 +3,7 @@
 The builder closes what HTML lets an author leave out (paragraphs, list items, definition terms, options, table rows and
 cells), ignores end tags that match nothing, and keeps at most ``DEPTH`` open elements: deeper ones become siblings, as
 browsers do it. Invisible are the head, scripts, styles, templates and other non-rendered elements, the ``hidden``
-attribute, hidden inputs, closed details but for their summary, and the inline styles ``display:none`` and
+attribute, hidden inputs, closed dialogs, closed details but for their summary, and the inline styles ``display:none`` and
 ``visibility:hidden`` (a descendant may set ``visibility:visible``). Paragraph-like blocks stand apart by an empty line,
 other blocks by a line end; white space collapses outside ``pre``. List items carry bullets or numbers and are indented
 by nesting; table cells are padded to the width of their column. What stands in a table outside its cells and caption is
@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -362,6 +364,8 @@ def seen(node: Node, visible: bool) -> bool | None:
     """Whether the element's text shows; None where nothing below it can show."""
     if node.name in UNSEEN or (node.name == "input" and (node.attribute("type") or "").lower() == "hidden"):
         return None
+    if node.name == "dialog" and node.attribute("open") is None:
+        return None
     if not node.attributes:
         return visible
     if node.attribute("hidden") is not None:
@@ -460,21 +464,29 @@ def list_items(node: Node, page: Page, visible: bool) -> None:
             page.box(lines, mark, " " * len(mark))
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    """How many columns or rows a cell fills: at least one, at most what the standard allows."""
+    digits = re.match(r"\s*\+?(\d+)", cell.attribute(name) or "")
+    return max(1, min(int(digits[1][:9]), most)) if digits else 1
+
+
 def table_lines(node: Node, visible: bool) -> list[str]:
     """A caption, then rows with their cells padded to the columns' widths."""
     lines: list[str] = []
     rows: list[list[tuple[int, int, list[str]]]] = []
-    taken: dict[int, int] = {}  # column to the rows that a cell from above still fills
+    above: list[tuple[int, int, int]] = []  # columns from, to, and the row until which cells from above fill them
+    number = 0
 
     def row(element: Node, shows: bool) -> None:
-        cells, column = [], 0
+        nonlocal number
+        cells, column, filled = [], 0, iter(above)
+        next_filled, added = next(filled, None), []
         for cell in element.children:
             if isinstance(cell, str) or (own := seen(cell, shows)) is None:
                 continue
-            while taken.get(column, 0):
-                column += 1
-            span = [cell.attribute(name) for name in ("colspan", "rowspan")]
-            wide, high = (min(int(s), 1000) if s and re.fullmatch(r"\d{1,6}", s) and int(s) else 1 for s in span)
+            while next_filled and next_filled[0] <= column:
+                column, next_filled = max(column, next_filled[1]), next(filled, None)
+            wide, high = (_span(cell, name, most) for name, most in (("colspan", 1000), ("rowspan", 65534)))
             inner = Page()
             holder = cell
             if cell.name not in ("td", "th"):
@@ -482,13 +494,15 @@ def table_lines(node: Node, visible: bool) -> list[str]:
                 holder.children = [cell]
             render(holder, inner, own)
             cells.append((column, wide, inner.done()))
-            for place in range(column, column + wide):
-                taken[place] = high
+            added.append((column, column + wide, number + high))
             column += wide
-        for place in list(taken):
-            taken[place] -= 1
-            if taken[place] <= 0:
-                del taken[place]
+        number += 1
+        left = sorted(place for place in [*above, *added] if place[2] > number)
+        above.clear()
+        for place in left:  # neighbours that end in one row are one
+            if above and above[-1][1] == place[0] and above[-1][2] == place[2]:
+                place = (above.pop()[0], *place[1:])
+            above.append(place)
         if any(text for _, _, text in cells):
             rows.append(cells)
 
@@ -500,7 +514,7 @@ def table_lines(node: Node, visible: bool) -> list[str]:
                 row(child, own)
             elif child.name in ROWS:
                 walk(child, own)
-                taken.clear()
+                above.clear()
             elif child.name == "caption":
                 inner = Page()
                 render(child, inner, own)
@@ -516,16 +530,14 @@ def table_lines(node: Node, visible: bool) -> list[str]:
         for column, wide, text in cells:
             if wide == 1:
                 widths[column] = max(widths.get(column, 0), *(len(line) for line in text), 0) if text else widths.get(column, 0)
-    starts, total = {}, 0
-    for column in range(max((cells[-1][0] for cells in rows), default=-1) + 1):
-        starts[column] = total
-        total += widths.get(column, 0) + 2 if widths.get(column, 0) else 0
+    shown = sorted(column for column, width in widths.items() if width)
+    edges = [0, *accumulate(widths[column] + 2 for column in shown)]  # columns without text take no room
     for cells in rows:
         for height in range(max(len(text) for _, _, text in cells)):
             out, at = [], 0
             for column, _, text in cells:
                 if height < len(text):
-                    gap = starts[column] - at
+                    gap = edges[bisect_left(shown, column)] - at
                     gap = gap if gap > 1 or not at else 2  # behind a cell that is wider than its columns
                     out += [" " * gap, text[height]]
                     at += gap + len(text[height])

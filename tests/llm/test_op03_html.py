@@ -1,5 +1,6 @@
 import html
 import random
+import time
 
 import pytest
 
@@ -133,3 +134,18 @@ def test_rows(spark):
     found = sorted(((r.page_id or 0, r.text, r.n_lines) for r in op.extract(df).collect()), key=str)
     assert found == sorted([(0, "x", 1), (1, "a\n\nb", 3), (1, "a\n\nb", 3), (2, None, None), (3, "", 0)], key=str)
     assert op.extract(df.limit(0)).collect() == []
+
+
+def test_wide_and_high_cells():
+    started = time.process_time()
+    wide = "<table>" + "<tr>" + "<td colspan=1000>x</td>" * 20_000 + "</tr></table>"
+    assert op.to_text(wide) == "  ".join(["x"] * 20_000)
+    assert time.process_time() - started < 5
+    high = "<table><tr><td rowspan=70000>a<td>b</tr>" + "<tr><td>c</tr>" * 1500 + "</table>"
+    assert op.to_text(high).split("\n") == ["a  b"] + ["   c"] * 1500
+    spans = "<table><tr><td rowspan=2>a<td>b<td rowspan=3>c<tr><td>d<tr><td>e<td>f<tr><td>g<td>h<td>i</table>"
+    assert op.to_text(spans).split("\n") == ["a  b  c", "   d", "e  f", "g  h  i"]
+
+
+def test_dialogs():
+    assert op.to_text("<p>a<dialog>hidden <b>too</b></dialog><dialog open>shown</dialog>") == "a\n\nshown"
