@@ -40,7 +40,7 @@ def build_normalized(warehouse: Warehouse) -> None:
             "normalizado", "fact_solicitudes", normalized.requests(stored("solicitudes"), items, suppliers)
         )
         receipts = normalized.receipts(stored("recepcion", position=True), requests, items)
-        warehouse.load("normalizado", "fact_recepcion", receipts)
+        warehouse.load("normalizado", "fact_recepcion", receipts, month_of="nrcfec")  # they come in date order
         warehouse.load("normalizado", "fact_stock", normalized.stock(stored("articulos")))
         require_constraints(warehouse, "normalizado")
 

@@ -9,7 +9,7 @@ from abasto.functions.measures import exact_mean, month_of
 from abasto.operators.lookups import attach_to_few, lookup, not_in
 from abasto.operators.ranking import top
 from abasto.operators.shares import share_of_total
-from abasto.sources.tables import union_all
+from abasto.sources.tables import MONTH_PART, union_all
 
 # Fixed value: the label of items without a known group.
 NO_GROUP = "(sin grupo)"
@@ -122,9 +122,17 @@ def request_counts_monthly(requests: DataFrame, series: tuple[str, ...] = ()) ->
 
 
 def trailing_year(receipts: DataFrame) -> DataFrame:
-    """Receipts of the twelve months up to the latest receipt, the bound included."""
-    latest = receipts.agg(F.max("nrcfec")).scalar()
-    return receipts.filter(F.col("nrcfec") >= F.add_months(latest, -12))
+    """Receipts of the twelve months up to the latest receipt, the bound included.
+
+    Where receipts come with the month they are stored by, the latest one is looked for in the last month, and months before
+    the bound are not read.
+    """
+    by_month, newest = MONTH_PART in receipts.columns, receipts
+    if by_month:
+        newest = receipts.filter(F.col(MONTH_PART) == receipts.agg(F.max(MONTH_PART)).scalar())
+    bound = F.add_months(newest.agg(F.max("nrcfec")).scalar(), -12)
+    kept = receipts.filter(F.col("nrcfec") >= bound)
+    return kept.filter(F.col(MONTH_PART) >= F.trunc(bound, "MM")).drop(MONTH_PART) if by_month else kept
 
 
 def product_share(receipts: DataFrame, items: DataFrame, groups: DataFrame) -> DataFrame:

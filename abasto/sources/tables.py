@@ -10,7 +10,8 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
+from decimal import Decimal
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,9 @@ from abasto.session import shared_folder
 # Where a row sits in its file: the same at every reading, so it can order rows that are otherwise equal.
 POSITION = ["_file", "_row"]
 
+# The column by which tables are partitioned that are stored by month.
+MONTH_PART = "month_part"
+
 # The names the schema listing gives to types.
 TYPE_NAMES = {
     T.StringType: "text",
@@ -68,11 +72,49 @@ def jdbc_options(
     return options
 
 
+def histogram_query(table: str, column: str, splits: int) -> str:
+    """SQL for the database: the key values that part a table into equal numbers of rows, as one row ``b1, b2, ...``."""
+    if splits < 2:
+        raise ValueError("a histogram parts a table in two at least")
+    bounds = (
+        f"percentile_disc({number / splits:.6f}) WITHIN GROUP (ORDER BY {column}) AS b{number}" for number in range(1, splits)
+    )
+    return f"SELECT {', '.join(bounds)} FROM {table}"
+
+
+def balanced_predicates(column: str, bounds: Sequence) -> list[str]:
+    """Conditions that part the rows of a table at the bounds, each row in exactly one; NULL keys come first.
+
+    A key that fills several parts gives equal bounds: its rows are one part, as they cannot be told apart by the key.
+    """
+    marks = [_literal(bound) for bound in sorted({bound for bound in bounds if bound is not None})]
+    if not marks:
+        return ["1 = 1"]
+    inner = [f"{column} > {low} AND {column} <= {high}" for low, high in zip(marks, marks[1:], strict=False)]
+    return [f"{column} IS NULL OR {column} <= {marks[0]}", *inner, f"{column} > {marks[-1]}"]
+
+
+def _literal(value) -> str:
+    if isinstance(value, bool) or not isinstance(value, int | float | Decimal | str | date):
+        raise TypeError(f"no bound: {value!r}")
+    return str(value) if isinstance(value, int | float | Decimal) else "'" + str(value).replace("'", "''") + "'"
+
+
 def read_jdbc(spark: SparkSession, properties: Mapping[str, str] | None = None, **options) -> DataFrame:
     """A table of an external database. Credentials go in ``properties``."""
     return spark.read.format("jdbc").options(**jdbc_options(**options), **(properties or {})).load()
 
 
+def read_jdbc_balanced(
+    spark: SparkSession, url: str, table: str, split_on: str, splits: int, properties: Mapping[str, str] | None = None, fetch: int = 10_000
+) -> DataFrame:
+    """A table read by tasks with about as many rows each, however its key is spread: the database gives the bounds first."""
+    query = f"({histogram_query(table, split_on, splits)}) histogram"
+    bounds = list(read_jdbc(spark, properties, url=url, table=query).first())
+    given = {**(properties or {}), "fetchsize": str(fetch)}
+    return spark.read.jdbc(url, table, predicates=balanced_predicates(split_on, bounds), properties=given)
+
+
 # Where staged tables go while ``staging`` is open.
 _STAGING: ContextVar[str | None] = ContextVar("staging", default=None)
 
@@ -129,8 +171,12 @@ class Snapshot:
             raise LookupError(f"no table {self.layer}.{table} in {self.warehouse.root}")
         return f"{self.warehouse.root}/{self.layer}/{table}/{self.versions[table]}"
 
-    def table(self, table: str, position: bool = False) -> DataFrame:
-        return read_parquet(self.warehouse.spark, self.path(table), struct_of(self.layer, table), position)
+    def table(self, table: str, position: bool = False, month: bool = False) -> DataFrame:
+        """The declared columns; with ``month`` also the partition column of a table that is stored by month."""
+        declared = struct_of(self.layer, table)
+        stored = read_parquet(self.warehouse.spark, self.path(table), declared, position)
+        wanted = [*declared.names, *(POSITION if position else []), *([MONTH_PART] if month and MONTH_PART in stored.columns else [])]
+        return stored if stored.columns == wanted else stored.select(*wanted)
 
 
 class Warehouse:
@@ -192,8 +238,8 @@ class Warehouse:
     def path(self, layer: str, table: str) -> str:
         return Snapshot(self, layer, 0, self.versions(layer)).path(table)
 
-    def table(self, layer: str, table: str, position: bool = False) -> DataFrame:
-        return Snapshot(self, layer, 0, self.versions(layer)).table(table, position)
+    def table(self, layer: str, table: str, position: bool = False, month: bool = False) -> DataFrame:
+        return Snapshot(self, layer, 0, self.versions(layer)).table(table, position, month)
 
     # -- loads -----------------------------------------------------------------------------------------------------
 
@@ -238,21 +284,27 @@ class Warehouse:
             del self._open[layer]
         self.vacuum(layer)
 
-    def load(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Replace a table by ``df``, cast to the declared schema, and return the stored table."""
+    def load(self, layer: str, table: str, df: DataFrame, month_of: str | None = None) -> DataFrame:
+        """Replace a table by ``df``, cast to the declared schema, and return the stored table.
+
+        With ``month_of``, a date column, there is a folder for each month. Give rows in date order, so that a task has few.
+        """
         if layer not in self._open:
             with self.loading(layer):
-                return self.load(layer, table, df, partition_by)
+                return self.load(layer, table, df, month_of)
         schema, version = struct_of(layer, table), uuid.uuid4().hex
         typed = df.select(*(F.col(field.name).cast(field.dataType) for field in schema))
         path = f"{self.root}/{layer}/{table}/{version}"
         try:
-            typed.write.partitionBy(*partition_by).parquet(path)
+            if month_of is None:
+                typed.write.parquet(path)
+            else:
+                typed.withColumn(MONTH_PART, F.trunc(month_of, "MM")).write.partitionBy(MONTH_PART).parquet(path)
         except BaseException:
             delete_folder(self.spark, path)
             raise
         self._open[layer][table] = version
-        return read_parquet(self.spark, path, schema)
+        return self.table(layer, table)
 
     def vacuum(self, layer: str, keep: timedelta | None = None) -> None:
         """Delete pointers that were replaced longer than ``keep`` ago, and versions of that age that no pointer left names."""

@@ -358,8 +358,7 @@ def _older_receipts(t, **needs):
     return rows.filter(~((F.col("soltip") == "R") & (F.col("solord") == 2))).withColumn("artcitem", provisional)
 
 
-@query(
-    "reconcile_demand",
+_RECONCILED = (
     _OLDER_STATE
     + """
     pairs AS (SELECT s.mes IS NOT NULL AS st, c.mes IS NOT NULL AS co,
@@ -371,8 +370,11 @@ def _older_receipts(t, **needs):
     UNION ALL SELECT 'repro_total', count(*) FILTER (co) FROM pairs
     UNION ALL SELECT 'sin_key', count(*) FILTER (st AND NOT co) FROM pairs
     UNION ALL SELECT 'extras', count(*) FILTER (co AND NOT st) FROM pairs
-    UNION ALL SELECT 'dif_total', count(*) FILTER (st AND co AND differ) FROM pairs""",
+    UNION ALL SELECT 'dif_total', count(*) FILTER (st AND co AND differ) FROM pairs"""
 )
+
+
+@query("reconcile_demand", _RECONCILED)
 def reconcile_demand(t):
     stored = gold.monthly_demand(
         _older_receipts(t, request_date=False),
@@ -382,6 +384,12 @@ def reconcile_demand(t):
     return reconcile.demand(stored, monthly_demand(t))
 
 
+@query("reconcile_by_digests", _RECONCILED)
+def reconcile_by_digests(t):
+    stored = gold.monthly_demand(_older_receipts(t, request_date=False), t.groups())
+    return reconcile.demand(stored, monthly_demand(t), by_digests=True)
+
+
 @query(
     "reconcile_metrics",
     """WITH timed AS (SELECT solpro, solusr, solcan, nrcfec - solfec AS days, soltip = 'R' AND solord = 2 AS late

@@ -179,6 +179,40 @@ def test_compare_matches_null_keys_and_full_grain(spark):
     assert other == {"gold_total": 2, "repro_total": 3, "sin_key": 0, "extras": 1, "dif_total": 1}
 
 
+def test_digests_give_the_same_counts(spark):
+    schema = "k string, m int, v double, w decimal(10,2)"
+    rows = [(f"k{i % 97}" if i % 5 else None, i, None if i % 7 == 0 else i / 3, None if i % 3 else Decimal(i)) for i in range(400)]
+    one = spark.createDataFrame(rows, schema)
+    compare, keys, measures = reconcile.compare_by_digests, ["k", "m"], ["v", "w"]
+    same = compare(one, one.repartition(3), keys, measures)
+    assert tuple(same.first()) == (400, 400, 0, 0, 0)
+    assert "LogicalRDD" in same._jdf.queryExecution().optimizedPlan().toString()  # no row of either table is in the plan
+    swapped = one.withColumns({"v": F.when(F.col("v").isNull(), 0.0).otherwise(F.col("v"))})
+    for other in (one.limit(380), swapped, one.filter("m % 50 <> 7"), one.withColumn("w", F.col("w") + 1), one.limit(0)):
+        for left, right in ((one, other), (other, one)):
+            found = compare(left, right, keys, measures, buckets=16).first()
+            assert tuple(found) == tuple(reconcile.compare_tables(left, right, keys, measures).first())
+
+
+def test_a_trailing_year_reads_its_months_only(spark, tmp_path, settings):
+    months = [f"{2021 + i // 12}-{i % 12 + 1:02d}" for i in range(36)]
+    rows = [{"nrcfec": f"{month}-{day}", "artstock": 1} for month in months for day in ("03", "21")] + [{"nrcfec": None}]
+    df = receipts(spark, *rows).withColumn("id_recepcion", F.monotonically_increasing_id()).coalesce(1)
+    warehouse = Warehouse(spark, str(tmp_path))
+    stored = warehouse.load("normalizado", "fact_recepcion", df, month_of="nrcfec")
+    assert stored.columns == warehouse.table("normalizado", "fact_recepcion").columns and "month_part" not in stored.columns
+    assert stored.count() == len(rows)
+    settings(spark__sql__adaptive__enabled="false")
+    recent = reports.trailing_year(warehouse.table("normalizado", "fact_recepcion", month=True))
+    assert recent.columns == stored.columns
+    assert sorted(map(tuple, recent.collect())) == sorted(map(tuple, reports.trailing_year(stored).collect()))
+    plan = recent._jdf.queryExecution().executedPlan()
+    assert recent._jdf.queryExecution().toRdd().count() == 25  # from 21 December 2022 on
+    leaves = plan.collectLeaves()
+    scan = next(leaves.apply(i) for i in range(leaves.size()) if "FileScan" in leaves.apply(i).toString())
+    assert scan.metrics().apply("numFiles").value() == 13
+
+
 def test_expected_counts(spark):
     expectations = spark.createDataFrame([("x", 2), ("y", 5)], "table_name string, expected bigint")
     checked = reconcile.expected_counts({"x": spark.range(2), "y": spark.range(4)}, expectations)

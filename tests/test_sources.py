@@ -20,6 +20,25 @@ def test_jdbc_options():
         tables.jdbc_options("u", "t", split_on="solnum")
 
 
+def test_balanced_reads(spark):
+    assert tables.histogram_query("silver.recepcion", "solnum", 4) == (
+        "SELECT percentile_disc(0.250000) WITHIN GROUP (ORDER BY solnum) AS b1, "
+        "percentile_disc(0.500000) WITHIN GROUP (ORDER BY solnum) AS b2, "
+        "percentile_disc(0.750000) WITHIN GROUP (ORDER BY solnum) AS b3 FROM silver.recepcion"
+    )
+    with pytest.raises(ValueError):
+        tables.histogram_query("t", "k", 1)
+    with pytest.raises(TypeError):
+        tables.balanced_predicates("k", [b"x"])
+    # A key with a third of the rows: by equal ranges one task has most rows, by the histogram none has more than that key.
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 100 = 1 THEN NULL ELSE id * id END AS k")
+    bounds = list(df.selectExpr(*(f"percentile_disc({i / 8}) WITHIN GROUP (ORDER BY k)" for i in range(1, 8))).first())
+    parts = [df.filter(condition).count() for condition in tables.balanced_predicates("k", bounds)]
+    assert sum(parts) == 3000 and max(parts) < 1500 and min(parts) > 100
+    assert tables.balanced_predicates("k", [None]) == ["1 = 1"]
+    assert tables.balanced_predicates("k", ["o'x", "a", "a"]) == ["k IS NULL OR k <= 'a'", "k > 'a' AND k <= 'o''x'", "k > 'o''x'"]
+
+
 def test_query_read(spark):
     df = spark.range(5)
     assert tables.read_sql(spark, "SELECT count(*) AS n FROM {numbers}", numbers=df).collect()[0].n == 5
