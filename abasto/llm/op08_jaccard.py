@@ -8,7 +8,7 @@ similar to: of the one of two similar documents whose parts end first, at least
 both. A document joins in its own band and in the band of the largest set it may be similar to. One with too few
 filled parts gives all of its parts, the empty ones too.
 
-Documents that share a key are candidates. Each set also has a parity bit sketch of about two bits a shingle: the
+Documents that share a key are candidates. Each set also has a parity bit sketch of four to eight bits a shingle: the
 Hamming distance of two is at most their difference, so a larger one rules a pair out. What is left is verified on the
 whole sets. In a group of one key, all are first compared with the smallest member; linked ones form components. Then
 every set is compared with the one nearest by Hamming distance in another component, and in the end all that are still
@@ -92,8 +92,8 @@ def part_keys(members: np.ndarray) -> np.ndarray:
 
 
 def bit_sketch(members: np.ndarray) -> np.ndarray:
-    """Parities of the members that fall on each bit, as bytes; a power of two of at least two bits a member."""
-    bits = min(_MOST_BITS, max(_LEAST_BITS, 1 << (2 * len(members) - 1).bit_length())) if len(members) else _LEAST_BITS
+    """Parities of the members that fall on each bit, as bytes; a power of two of at least four bits a member."""
+    bits = min(_MOST_BITS, max(_LEAST_BITS, 1 << (4 * len(members) - 1).bit_length())) if len(members) else _LEAST_BITS
     counts = np.bincount((mix(members ^ np.uint64(0x5DEECE66D)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8))
 
