@@ -180,6 +180,12 @@ def _regressor(learner: str, rounds: int):
     raise ValueError(f"learner is network, linear or gbt, not {learner!r}")
 
 
+def _features(window: str) -> Column:
+    """A window as a vector. Rows with fewer months are filtered out, but may meet the model before: they get zeros."""
+    whole = F.when(F.size(window) == LAGS, F.col(window)).otherwise(F.array_repeat(F.lit(0.0), LAGS))
+    return array_to_vector(whole)
+
+
 def _flat_rows(history: DataFrame, series: Sequence[str], horizon: int) -> DataFrame:
     """The coming months of the series that no model is fitted to."""
     ends = history.groupBy(*series).agg(F.max("ds").alias("_end"))
@@ -198,7 +204,7 @@ def _pooled(history: DataFrame, series: Sequence[str], horizon: int, learner: st
     """One learner fitted over the windows of all series; none where there is no window."""
     history = stage(history, "series")  # read several times: by the fit, the bands and the last windows
     lagged = _lagged(history, series, LAGS)
-    training = lagged.filter(F.size("lags") == LAGS).withColumn("features", array_to_vector("lags"))
+    training = lagged.filter(F.size("lags") == LAGS).withColumn("features", _features("lags"))
     if training.isEmpty():
         return None
     model = _regressor(learner, rounds).fit(training)
@@ -219,7 +225,7 @@ def _pooled(history: DataFrame, series: Sequence[str], horizon: int, learner: st
     state = tails.withColumn("_path", F.array().cast("array<double>"))
     for _ in range(horizon):
         state = (
-            model.transform(state.withColumn("features", array_to_vector("_window")))
+            model.transform(state.withColumn("features", _features("_window")))
             .withColumn("_window", F.concat(F.slice("_window", 2, LAGS - 1), F.array("_predicted")))
             .withColumn("_path", F.concat("_path", F.array("_predicted")))
             .drop("features", "_predicted")
