@@ -225,9 +225,9 @@ def join_latest_stock(t):
 
 @query(
     "fk_null_exists",
-    """SELECT nullif(solnum, CASE WHEN solnum NOT IN (SELECT solnum FROM b_requests) THEN solnum END) AS solnum,
-              nullif(artcitem, CASE WHEN artcitem NOT IN (SELECT artcitem FROM b_items) THEN artcitem END) AS artcitem,
-              solord, nrcfec FROM b_receipts""",
+    """SELECT q.solnum, i.artcitem, r.solord, r.nrcfec FROM b_receipts r
+       LEFT JOIN (SELECT DISTINCT solnum FROM b_requests) q ON r.solnum = q.solnum
+       LEFT JOIN (SELECT DISTINCT artcitem FROM b_items) i ON r.artcitem = i.artcitem""",
 )
 def fk_null_exists(t):
     rows = normalized.receipts_without_id(t.receipts(request_date=False, catalogue=False), t.requests(), t.items())
