@@ -54,6 +54,22 @@ def test_surrogate_key_is_dense_over_partitions(spark, settings, tmp_path, copie
     assert [(row.a, row.b) for row in numbered] == sorted(source, key=lambda row: (-row[0], row[1]))
 
 
+def test_surrogate_key_orders_nulls_and_types(spark):
+    """NULLs first in both directions, over dates, decimals, timestamps and texts; an empty table has no ids."""
+    rng = random.Random(3)
+    values = [["2024-01-31", "2024-02-01"], ["1.50", "-2.25"], ["2024-01-01 10:00:00.000001"], ['q"\\', "ñ"]]
+    rows = [(*(rng.choice([None, *some]) for some in values), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "d string, n string, t string, s string, i int").selectExpr(
+        "cast(d AS date) AS d", "cast(n AS decimal(18,2)) AS n", "cast(t AS timestamp) AS t", "s", "i"
+    )
+    order = [F.desc_nulls_first("d"), F.asc_nulls_first("n"), F.desc_nulls_first("t"), F.asc_nulls_first("s"), F.desc("i")]
+    found = keys.surrogate_key(df.repartition(5), "id", order, start=10).orderBy("id").collect()
+    wanted = df.coalesce(1).sortWithinPartitions(*order).collect()
+    assert [tuple(row)[1:] for row in found] == [tuple(row) for row in wanted]
+    assert [row.id for row in found] == list(range(10, 510))
+    assert keys.surrogate_key(df.limit(0), "id", order).collect() == []
+
+
 def test_range_partitions_split_copies(spark, settings, tmp_path):
     """The row position spreads equal rows over tasks."""
     settings(spark__sql__adaptive__coalescePartitions__enabled="false")
