@@ -65,7 +65,7 @@ def surrogate_key(df: DataFrame, name: str, order_by: Sequence[Column], start: i
     """
     local_bits = 33  # monotonically_increasing_id keeps the place in the partition in its low 33 bits
     ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    placed = stage(ordered.withColumn("_place", F.monotonically_increasing_id()), f"{name}-order")
+    placed = stage(ordered.withColumn("_place", F.monotonically_increasing_id()), f"{name}-order", compression="zstd")
     partition = F.shiftright("_place", local_bits)
     local = F.col("_place").bitwiseAND(F.lit((1 << local_bits) - 1))
     # One row per range partition: a few thousand at most.

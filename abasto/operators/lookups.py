@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,6 +37,18 @@ def known_or_null(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str)
     return joined.withColumn(fact_key, F.col("_dim_key")).drop("_dim_key")
 
 
+def mark_known(fact: DataFrame, dim: DataFrame, fact_key: str | Column, dim_key: str, name: str) -> DataFrame:
+    """Keep every fact row once and as it is; ``name`` says whether the dimension has its key.
+
+    A key that is an expression travels to the join only.
+    """
+    side = distinct_keys(dim, dim_key, "_dim_key")
+    keyed = fact if isinstance(fact_key, str) else fact.withColumn("_key", fact_key)
+    key = fact_key if isinstance(fact_key, str) else "_key"
+    joined = keyed.join(side, F.col(key) == F.col("_dim_key"), "left")
+    return joined.select(*fact.columns, F.col("_dim_key").isNotNull().alias(name))
+
+
 def orphan_rows(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Fact rows without a dimension row; a NULL key is an orphan too."""
     side = dim.select(F.col(dim_key).alias("_dim_key"))

@@ -142,14 +142,15 @@ def staging(spark: SparkSession, folder: str) -> Iterator[str]:
         delete_folder(spark, own)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write a frame to the staging folder and read it back: one evaluation, and a lost executor costs nothing.
 
     Outside ``staging`` the table goes to the shared folder and stays there as long as the application's checkpoints.
+    ``compression`` is a parquet codec other than the session's.
     """
     spark = df.sparkSession
     path = f"{_STAGING.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -461,7 +461,8 @@ def norm_requests(t):
     FROM numbered r LEFT JOIN b_requests q ON r.solnum = q.solnum LEFT JOIN b_items i ON r.artcitem = i.artcitem""",
 )
 def norm_receipts(t):
-    return normalized.receipts(t.receipts(catalogue=False, position=True), t.requests(), t.items())
+    rows, values = t.receipt_values(catalogue=False, position=True, known_request=True)
+    return normalized.receipts(rows, None, t.items(), values)
 
 
 @query("norm_stock", f"SELECT artcitem, ubialm, {doubles('ubistock')}, artuptrn, artfureq FROM b_stock")

@@ -1,3 +1,4 @@
+import os
 from datetime import date
 from decimal import Decimal
 
@@ -6,7 +7,8 @@ from pyspark.sql import functions as F
 
 from abasto.plans import build, gold, normalized, outlook, phases, quality, reconcile, reports, silver
 from abasto.schemas import BRONZE, GOLD, NORMALIZED, SILVER, columns_of, struct_of
-from abasto.sources.tables import Warehouse
+from abasto.sources.tables import Warehouse, staging
+from abasto.workload.bindings import Tables
 
 RECEIPT = {"solnum": 1, "artcitem": "a", "artgrinv": "g", "solcan": "2", "nrdcac": "1", "artstock": "5", "solpre": "10",
            "nrcfec": "2024-01-10", "solfec": "2024-01-01", "nrcnum": 1, "solord": 1, "solpro": "p"}
@@ -251,6 +253,54 @@ def test_trailing_year_clamps_at_month_end(spark):
     assert sorted(r.nrcfec for r in reports.trailing_year(df).collect()) == [date(2023, 2, 28), date(2024, 2, 29)]
 
 
+def test_numbered_receipts_travel_as_given(spark, tmp_path):
+    """Columns given as expressions are made after the numbering; ids and references are those of whole receipts."""
+    source = [(i % 9 - 4 if i % 9 else None, i % 5, i % 3, i) for i in range(60)]
+    df = spark.createDataFrame(source, "k bigint, p int, d int, v int")
+    values = {
+        "solnum": -F.col("k"),
+        "artcitem": F.concat(F.lit("ART-"), "p"),
+        "nrcfec": F.when(F.col("d") != 1, F.date_add(F.lit("2024-01-01").cast("date"), F.col("d"))),
+        "solord": F.col("v") % 4,
+        "solcan": F.col("v").cast("decimal(15,2)"),
+        "solpro": F.concat(F.lit("PRV-"), "v"),
+    }
+    fields = {field.name: field.dataType for field in struct_of("silver", "recepcion")}
+    values = {name: values.get(name, F.lit(None)).cast(kind) for name, kind in fields.items()}
+    requests = spark.createDataFrame([(1,), (-2,), (-2,), (None,)], "solnum bigint")
+    items = spark.createDataFrame([("ART-1",), ("ART-3",)], "artcitem string")
+    with staging(spark, str(tmp_path)) as folder:
+        found = normalized.receipts(df, requests, items, values).collect()
+        (staged,) = os.listdir(folder)
+        assert set(spark.read.parquet(f"{folder}/{staged}").columns) == {*df.columns, *normalized.KNOWN.values(), "_place"}
+    whole = normalized.receipts(df.select(*(value.alias(name) for name, value in values.items())), requests, items)
+    assert sorted(found) == sorted(whole.collect()) and len(found) == 60
+    order = sorted(source, key=lambda r: ((r[2] != 1, -r[2]), r[0] is not None, -(r[0] or 0), r[3] % 4, r[3]))
+    assert [r.solpro for r in sorted(found)] == [f"PRV-{r[3]}" for r in order]
+    by_row = {f"PRV-{r[3]}": r for r in source}
+    for row in found:
+        k, p = by_row[row.solpro][:2]
+        assert row.solnum == (-k if k in (-1, 2) else None) and row.artcitem == (f"ART-{p}" if p in (1, 3) else None)
+
+
+def test_requests_of_receipts_are_known_by_the_order(spark, tmp_path):
+    """Numbers and their negatives, repeated, missing and NULL ones: the flag is that of a lookup by the number."""
+    lines = [(k, n, f, s) for k in (1, 2, 3, -3, 4, 0) for n in (5, 6) for f in ("N", None) for s in ("O", "F")]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_returnflag string, l_linestatus string").select(
+        "*", *(F.lit(1).cast(kind).alias(name) for name, kind in (("l_partkey", "bigint"), ("l_suppkey", "bigint"))),
+        *(F.lit(1.0).alias(name) for name in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("l_shipdate"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(1, "2024-01-02"), (-2, "2024-01-03"), (-2, "2024-01-03"), (3, None), (0, "2024-01-04"), (None, None)]
+    spark.createDataFrame(orders, "o_orderkey bigint, day string").selectExpr(
+        "o_orderkey", "cast(day AS timestamp_ntz) AS o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    rows, values = Tables(spark, str(tmp_path)).receipt_values(catalogue=False, known_request=True)
+    found = rows.select(values["solnum"].alias("solnum"), normalized.KNOWN["solnum"]).collect()
+    assert len(found) == len(lines) and {name for name in values} >= {"solfec", "solpro"}
+    assert all(known == (number in {1, -2, 3, 0}) for number, known in found) and {known for _, known in found} == {True, False}
+
+
 def test_normalization_keeps_rows(spark):
     df = receipts(spark, {}, {"solnum": 5}, {"artcitem": "b", "solnum": None})
     requests = spark.createDataFrame([(1,)], "solnum bigint")
