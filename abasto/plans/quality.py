@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abasto.functions.cleaning import is_blank
 from abasto.functions.measures import differs, percent
@@ -113,11 +114,14 @@ def partial_deliveries(receipts: DataFrame) -> DataFrame:
 def full_row_duplicates(df: DataFrame, name: str) -> DataFrame:
     """Rows beyond the first of every group of rows equal in all columns, NULLs being equal.
 
-    Hashes are counted first; only rows whose hash occurs more than once are shuffled and compared in full.
+    The table is read once and every row shuffled once, in full. Text columns travel as one text, which is as different as
+    they are: a NULL is a mark, any other value follows its length.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
-    again = hashed.groupBy("_hash").agg(F.count("*").alias("_rows")).filter("_rows > 1").select("_hash")
-    copies = hashed.join(again, "_hash", "left_semi").groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    texts = [field.name for field in df.schema if field.dataType == T.StringType()]
+    if len(texts) > 1:
+        marked = (F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")) for text in texts)
+        df = df.select(*(column for column in df.columns if column not in texts), F.concat(*marked).alias("_texts"))
+    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     surplus = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
     return copies.agg(surplus.alias("duplicate_rows")).select(F.lit(name).alias("table_name"), "duplicate_rows")
 

@@ -113,6 +113,12 @@ def dup_business_key(t):
     )
 
 
+def _entered_twice(rows, condition):
+    """All rows, those of the condition twice; the table is read once."""
+    times = F.when(condition, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select("*", F.explode(times).alias("_time")).drop("_time")
+
+
 @query(
     "dup_full_rows",
     """WITH entered AS (SELECT * FROM z_recepcion UNION ALL SELECT * FROM z_recepcion WHERE soltip = 'R' AND solord = '#3'),
@@ -126,9 +132,8 @@ def dup_business_key(t):
 def dup_full_rows(t):
     """Bronze rows of all text columns, some entered twice; ``codigos`` are three columns of receipts."""
     codes = t.receipts(False, False).select("solpro", "nrcfec", "solcan")
-    entered, held = t.bronze_receipts(), t.bronze_stock()
-    entered = entered.union(entered.filter((F.col("soltip") == "R") & (F.col("solord") == "#3")))
-    held = held.union(held.filter(F.trim("ubialm") == "41"))
+    entered = _entered_twice(t.bronze_receipts(), (F.col("soltip") == "R") & (F.col("solord") == "#3"))
+    held = _entered_twice(t.bronze_stock(), F.trim("ubialm") == "41")
     frames = {"recepcion": entered, "articulos": held, "codigos": codes}
     return union_all([quality.full_row_duplicates(df, name) for name, df in frames.items()])
 

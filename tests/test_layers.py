@@ -237,6 +237,17 @@ def test_full_row_duplicates(spark):
     assert quality.full_row_duplicates(df.limit(0), "t").collect()[0].duplicate_rows == 0
 
 
+def test_full_row_duplicates_read_the_table_once(spark, tmp_path):
+    """Texts that would run together, marks of NULL and empty texts stay apart; a row is shuffled once."""
+    rows = [("a", "b", 1), ("ab", "", 1), ("", "ab", 1), (None, "ab", 1), ("-", "ab", 1), ("1:a", "b", 1), ("a1:", "b", 1), ("a", "b", 2),
+            ("-", None, 1), (None, "-", 1), (None, None, 1), (None, None, None)]
+    spark.createDataFrame(rows + rows[3:] + rows[:1] * 2, "a string, b string, n int").write.parquet(str(tmp_path / "t"))
+    found = quality.full_row_duplicates(spark.read.parquet(str(tmp_path / "t")), "t")
+    assert found.collect()[0].duplicate_rows == len(rows) - 3 + 2
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Join" not in plan
+
+
 def test_worst_key_tie_goes_to_the_smallest(spark):
     df = spark.createDataFrame([("b", 1), ("b", 2), ("a", 3), ("a", 4), ("c", 5)], "k string, v int")
     assert sorted(r.v for r in quality.rows_of_worst_key(df, "k").collect()) == [3, 4]
