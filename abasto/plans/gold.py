@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from abasto.functions.measures import exact_mean, month_of
@@ -44,26 +44,38 @@ def supplier_metrics(receipts: DataFrame, suppliers: DataFrame, quantity: str =
     )
 
 
-def latest_stock(receipts: DataFrame) -> DataFrame:
-    """The receipt that closes each (item, month): last date, then highest number (a missing number first)."""
-    dated = receipts.filter(F.col("nrcfec").isNotNull() & F.col("artstock").isNotNull())
-    order = [
+def _closing_first() -> list[Column]:
+    """The order in which the receipt that closes a month comes first."""
+    return [
         F.desc_nulls_first("nrcfec"),
         F.desc_nulls_first("nrcnum"),
         *(F.asc_nulls_first(name) for name in STOCK_TIES),
     ]
-    return first_per_group(dated.withColumn("mes", month_of("nrcfec")), ["artcitem", "mes"], order)
+
+
+def latest_stock(receipts: DataFrame) -> DataFrame:
+    """The receipt that closes each (item, month): last date, then highest number (a missing number first)."""
+    dated = receipts.filter(F.col("nrcfec").isNotNull() & F.col("artstock").isNotNull())
+    return first_per_group(dated.withColumn("mes", month_of("nrcfec")), ["artcitem", "mes"], _closing_first())
 
 
 def demand(receipts: DataFrame, groups: DataFrame, quantity: str = "solcan") -> DataFrame:
-    """Per (item, group, month): quantity, distinct requests and mean price. Group names join after the reduction."""
+    """Per (item, group, month): quantity, distinct requests, mean price and the closing stock of the item in the month.
+
+    Receipts are exchanged once, by item and month: what closes the month is found there, and the sums need no exchange of
+    their own. Receipts without an item have no closing stock. Group names join after the reduction.
+    """
+    order = [F.asc(F.col("artstock").isNull()), *_closing_first()]
+    closing = F.first("artstock").over(Window.partitionBy("artcitem", "mes").orderBy(*order))
+    dated = receipts.filter(F.col("nrcfec").isNotNull()).withColumn("mes", month_of("nrcfec"))
     reduced = (
-        receipts.filter(F.col("nrcfec").isNotNull())
-        .groupBy("artcitem", "artgrinv", month_of("nrcfec").alias("mes"))
+        dated.withColumn("_closing", closing)
+        .groupBy("artcitem", "artgrinv", "mes")
         .agg(
             F.sum(quantity).alias("cantidad"),
             F.count_distinct("solnum").alias("frecuencia"),
             exact_mean("solpre").alias("precio"),
+            F.max(F.when(F.col("artcitem").isNotNull(), F.col("_closing"))).alias("ultimo_stock"),
         )
     )
     return lookup(reduced, groups.withColumnRenamed("nombre", "grupo_nombre"), "artgrinv", "artgrinv", ["grupo_nombre"])
@@ -78,15 +90,9 @@ def with_latest_stock(demand: DataFrame, stock: DataFrame) -> DataFrame:
     return demand.join(closing, on, "left").drop("_item", "_mes")
 
 
-def monthly_demand(
-    receipts: DataFrame, groups: DataFrame, quantity: str = "solcan", movements: DataFrame | None = None
-) -> DataFrame:
-    """Monthly item demand, from silver receipts: their request and item codes are still the recorded ones.
-
-    ``movements`` are the receipts as read for the closing stock, where a narrower reading of them is at hand.
-    """
-    rows = with_latest_stock(demand(receipts, groups, quantity), latest_stock(movements or receipts))
-    return rows.select(
+def monthly_demand(receipts: DataFrame, groups: DataFrame, quantity: str = "solcan") -> DataFrame:
+    """Monthly item demand, from silver receipts: their request and item codes are still the recorded ones."""
+    return demand(receipts, groups, quantity).select(
         "artcitem",
         "artgrinv",
         "grupo_nombre",

@@ -8,7 +8,7 @@ from abasto.operators import keys
 from abasto.plans import forecast, forest, gold, normalized, outlook, quality, reconcile, reports
 from abasto.plans import silver as silver_plans
 from abasto.schemas import BRONZE
-from abasto.sources.tables import union_all
+from abasto.sources.tables import stage, union_all
 from abasto.workload.bindings import monthly_demand
 from abasto.workload.oracle import demand_sql, latest_sql
 from abasto.workload.registry import doubles, query
@@ -381,18 +381,16 @@ _RECONCILED = (
 
 @query("reconcile_demand", _RECONCILED)
 def reconcile_demand(t):
-    stored = gold.monthly_demand(
-        _older_receipts(t, request_date=False),
-        t.groups(),
-        movements=_older_receipts(t, request_date=False, catalogue=False),
-    )
+    stored = gold.monthly_demand(_older_receipts(t, request_date=False), t.groups())
     return reconcile.demand(stored, monthly_demand(t))
 
 
 @query("reconcile_by_digests", _RECONCILED)
 def reconcile_by_digests(t):
+    """Both tables are staged: the digests read them first, then the comparison of the buckets that differ."""
     stored = gold.monthly_demand(_older_receipts(t, request_date=False), t.groups())
-    return reconcile.demand(stored, monthly_demand(t), by_digests=True)
+    sides = (stage(side, "demand", compression="zstd") for side in (stored, monthly_demand(t)))
+    return reconcile.demand(*sides, by_digests=True)
 
 
 @query(

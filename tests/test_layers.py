@@ -181,6 +181,24 @@ def test_compare_matches_null_keys_and_full_grain(spark):
     assert other == {"gold_total": 2, "repro_total": 3, "sin_key": 0, "extras": 1, "dif_total": 1}
 
 
+def test_monthly_demand_exchanges_receipts_once(spark, settings):
+    """Months without stock, items without a code and several groups in a month; only the row that has stock closes it."""
+    settings(spark__sql__adaptive__enabled="false")
+    groups = silver_frame(spark, "grupos", {"artgrinv": "g", "nombre": "G"})
+    later = {"nrcfec": "2024-01-20"}
+    df = receipts(
+        spark, {}, {**later, "artgrinv": "h", "artstock": 7, "solnum": 2}, {**later, "artstock": None}, {"nrcfec": None},
+        {"artcitem": None}, {"artcitem": "b", "artstock": None}, {"artcitem": "b", "artgrinv": None, "nrcfec": "2024-02-01"},
+    )
+    rows = gold.monthly_demand(df, F.broadcast(groups))
+    found = {(r.artcitem, r.artgrinv, r.periodo_mes.month): (r.grupo_nombre, r.frecuencia_pedidos, r.ultimo_stock_registrado) for r in rows.collect()}
+    assert found == {
+        ("a", "g", 1): ("G", 1, 7), ("a", "h", 1): (None, 1, 7), (None, "g", 1): ("G", 1, None),
+        ("b", "g", 1): ("G", 1, None), ("b", None, 2): (None, 1, 5),
+    }
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_digests_give_the_same_counts(spark):
     schema = "k string, m int, v double, w decimal(10,2)"
     rows = [(f"k{i % 97}" if i % 5 else None, i, None if i % 7 == 0 else i / 3, None if i % 3 else Decimal(i)) for i in range(400)]
